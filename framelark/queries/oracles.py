@@ -7,7 +7,7 @@ PARTS = {
         SELECT event_id, ts, value, printf('shard-%05d.jsonl', date_diff('day', DATE '1970-01-01', ts)) AS file,
           CASE WHEN value < 1.0 THEN body WHEN value < 1.2 THEN '  ' ELSE body || '}' END AS raw
         FROM (
-          SELECT *, '{' || CASE WHEN value >= 1500 THEN '' ELSE '"id": ' || user_id || ', ' END
+          SELECT *, '{' || CASE WHEN value >= 200 THEN '' ELSE '"id": ' || user_id || ', ' END
             || CASE WHEN event_type = 'error'
                THEN '"error": ' || CASE WHEN value >= 100 AND value < 120 THEN 'null'
                     ELSE '"load: ' || replace(props, '"', '\"') || '"' END || ', "prompt": "error"'
