@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelark.functions import letter_count, ngrams, repeated_count, script_count, words
+from framelark.functions.once import once
 from framelark.operators.dedup import last_per_key, top_per_group
 from framelark.operators.layout import MAX_GROUP_ROWS, with_previous
 from framelark.schemas import CONFIDENCE_LEVELS, LABEL, MAX_ACTIONS, MAX_OBJECTS, QA_PAIRS
@@ -20,12 +21,13 @@ def validated(answers: DataFrame, answer: str = "answer") -> DataFrame:
 
     An answer with neither actions nor questions is right when its confidence is low: nothing happened in the video.
     """
+    rec = answers.withColumn("_json", once(is_json_object(answer)))
     # Of a broken text from_json may still fill the first fields, so only whole objects are parsed.
-    rec = answers.withColumn("_label", F.from_json(F.when(is_json_object(answer), F.col(answer)), LABEL))
+    rec = rec.withColumn("_label", once(F.from_json(F.when(F.col("_json"), F.col(answer)), LABEL)))
     label = {k: F.col(f"_label.{k}") for k in ("scene", "actions", "objects", "camera", "summary", "qa", "confidence")}
     n_qa = F.size(label["qa"])
     rules = {
-        "ok_json": is_json_object(answer),
+        "ok_json": F.col("_json"),
         "ok_no_fence": ~F.contains(F.col(answer), F.lit("```")),
         "ok_text": label["scene"].isNotNull() & label["camera"].isNotNull() & label["summary"].isNotNull(),
         "ok_actions": F.size(label["actions"]) <= MAX_ACTIONS,
@@ -41,7 +43,7 @@ def validated(answers: DataFrame, answer: str = "answer") -> DataFrame:
     every = F.lit(True)
     for name in rules:
         every = every & F.col(name)
-    return checked.withColumn("valid", every).drop("_label")
+    return checked.withColumn("valid", every).drop("_label", "_json")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -50,7 +52,7 @@ def _share(part: Column, whole: Column) -> Column:
 
 def with_text_measures(answers: DataFrame, text: str, script: str, n: int = 2, prefix: str = "") -> DataFrame:
     """Counts that the rates are made of: n-grams, repeated n-grams, letters, letters of the wanted script."""
-    grams = answers.withColumn("_w", words(text)).withColumn("_g", ngrams("_w", n))
+    grams = answers.withColumn("_w", once(words(text))).withColumn("_g", once(ngrams("_w", n)))
     return grams.withColumns(
         {
             f"{prefix}n_words": F.size("_w").cast("bigint"),
@@ -64,7 +66,7 @@ def with_text_measures(answers: DataFrame, text: str, script: str, n: int = 2, p
 
 def repetition(answers: DataFrame, text: str, n: int = 2) -> DataFrame:
     """Repeated n-grams per answer: count, and share of all n-grams (0 for answers with none)."""
-    grams = answers.withColumn("_w", words(text)).withColumn("_g", ngrams("_w", n))
+    grams = answers.withColumn("_w", once(words(text))).withColumn("_g", once(ngrams("_w", n)))
     measured = grams.withColumns(
         {
             "n_words": F.size("_w").cast("bigint"),

@@ -4,32 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelark.functions import run_id
 from framelark.operators.dedup import last_with_first_seen
 from framelark.schemas import RESULT
-from framelark.sources.jsonl import well_formed
+from framelark.sources.jsonl import with_fields
 
 
 def classified(lines: DataFrame, raw: str = "raw") -> DataFrame:
-    """Well-formed lines with their id and whether they are errors.
+    """Well-formed lines with their id, their fields, and whether they are errors.
 
     A line is an error if it has the key ``error``, whatever its value. The raw text stays, and with it any fields
     that are not known here.
     """
-    kept = well_formed(lines, raw)
-    return kept.withColumns(
-        {
-            "id": F.from_json(raw, "id string")["id"],
-            "is_error": F.array_contains(F.json_object_keys(raw), "error"),
-        }
+    return with_fields(lines, raw).withColumns(
+        {"id": F.col("fields")["id"], "is_error": F.map_contains_key("fields", "error")}
     )
 
 
 def parsed(log: DataFrame, raw: str = "raw") -> DataFrame:
     """Known fields of a log as columns."""
-    rest = [c for c in log.columns if c not in (raw, "id")]
-    return log.select(*rest, F.from_json(raw, RESULT).alias("_rec")).select(*rest, "_rec.*")
+    rest = [c for c in log.columns if c not in (raw, "fields", "id")]
+    known = {f.name: F.col("fields")[f.name] for f in T.StructType.fromDDL(RESULT).fields}
+    known["images"] = F.from_json(known["images"], "array<string>")
+    return log.select(*rest, *[c.alias(name) for name, c in known.items()])
 
 
 def merged(log: DataFrame, order_by: list[str]) -> DataFrame:

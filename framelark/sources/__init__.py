@@ -1,8 +1,8 @@
 from framelark.sources.files import list_files, read_shards, shard_paths
-from framelark.sources.jsonl import parse_strict, read_lines, well_formed
+from framelark.sources.jsonl import parse_strict, read_lines, with_fields
 from framelark.sources.media import read_frame_bytes, read_frames, read_results
 
 __all__ = [
     "list_files", "parse_strict", "read_frame_bytes", "read_frames", "read_lines", "read_results", "read_shards",
-    "shard_paths", "well_formed",
+    "shard_paths", "with_fields",
 ]

@@ -27,7 +27,7 @@ def append_log(lines: DataFrame, log_path: str, checkpoint: str) -> StreamingQue
     """Write the classified lines of all files present, then stop; started again, it goes on with new files."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        classified(numbered_lines(batch)).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        classified(numbered_lines(batch)).drop("fields").write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 
     return (
         lines.writeStream.foreachBatch(write)
