@@ -4,46 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelark.functions import letter_count, ngrams, repeated_count, script_count, words
+from framelark.functions.json import with_json_fields
 from framelark.functions.once import once
 from framelark.operators.dedup import last_per_key, top_per_group
 from framelark.operators.layout import MAX_GROUP_ROWS, with_previous
 from framelark.schemas import CONFIDENCE_LEVELS, LABEL, MAX_ACTIONS, MAX_OBJECTS, QA_PAIRS
 
 
-def is_json_object(answer: str) -> Column:
-    return F.json_object_keys(answer).isNotNull()
-
-
 def validated(answers: DataFrame, answer: str = "answer") -> DataFrame:
     """One boolean per rule of the label schema, and ``valid`` for all of them.
 
     An answer with neither actions nor questions is right when its confidence is low: nothing happened in the video.
     """
-    rec = answers.withColumn("_json", once(is_json_object(answer)))
-    # Of a broken text from_json may still fill the first fields, so only whole objects are parsed.
-    rec = rec.withColumn("_label", once(F.from_json(F.when(F.col("_json"), F.col(answer)), LABEL)))
-    label = {k: F.col(f"_label.{k}") for k in ("scene", "actions", "objects", "camera", "summary", "qa", "confidence")}
+    rec = with_json_fields(answers, answer, "_fields")
+    # Field by field, so that one of a wrong type does not cost the others.
+    fields = T.StructType.fromDDL(LABEL).fields
+    typed = [
+        (F.col("_fields")[f.name] if f.dataType == T.StringType() else F.from_json(F.col("_fields")[f.name], f.dataType))
+        .alias(f.name)
+        for f in fields
+    ]
+    rec = rec.withColumn("_label", once(F.struct(*typed)))
+    label = {f.name: F.col("_label")[f.name] for f in fields}
     n_qa = F.size(label["qa"])
     rules = {
-        "ok_json": F.col("_json"),
+        "ok_json": F.col("_fields").isNotNull(),
         "ok_no_fence": ~F.contains(F.col(answer), F.lit("```")),
         "ok_text": label["scene"].isNotNull() & label["camera"].isNotNull() & label["summary"].isNotNull(),
         "ok_actions": F.size(label["actions"]) <= MAX_ACTIONS,
         "ok_objects": (F.size(label["objects"]) <= MAX_OBJECTS)
         & (F.size(F.array_distinct(label["objects"])) == F.size(label["objects"])),
         "ok_qa": (n_qa == QA_PAIRS) | ((n_qa == 0) & (label["confidence"] == "low")),
-        "ok_qa_fields": F.forall(
-            label["qa"], lambda p: p["q"].isNotNull() & p["a"].isNotNull()
-        ),
+        "ok_qa_fields": F.forall(label["qa"], lambda p: p["q"].isNotNull() & p["a"].isNotNull()),
         "ok_confidence": label["confidence"].isin(*CONFIDENCE_LEVELS),
     }
     checked = rec.withColumns({name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()})
     every = F.lit(True)
     for name in rules:
         every = every & F.col(name)
-    return checked.withColumn("valid", every).drop("_label", "_json")
+    return checked.withColumn("valid", every).drop("_label", "_fields")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -79,9 +81,10 @@ def repetition(answers: DataFrame, text: str, n: int = 2) -> DataFrame:
 
 def language_compliance(answers: DataFrame, text: str, script: str, least: float = 0.5) -> DataFrame:
     """Share of letters in the wanted script, and whether that is at least ``least``."""
-    counted = answers.withColumns({"n_letters": letter_count(text), "n_script": script_count(text, script)})
+    both = F.struct(letter_count(text).alias("n_letters"), script_count(text, script).alias("n_script"))
+    counted = answers.withColumn("_counts", once(both)).select(*answers.columns, "_counts.*")
     share = F.coalesce(_share(F.col("n_script"), F.col("n_letters")), F.lit(0.0))
-    return counted.withColumn("script_share", share).withColumn("compliant", F.col("script_share") >= least)
+    return counted.withColumn("script_share", share).withColumn("compliant", share >= least)
 
 
 def label_quality(answers: DataFrame, by: str, answer: str = "answer") -> DataFrame:

@@ -344,7 +344,7 @@ def repetition_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 def language_compliance(spark: SparkSession, sf: str) -> DataFrame:
     texts = fx.table(spark, sf, "documents").select("doc_id", "lang", "text")
-    return labels.language_compliance(texts, "text", "[A-Za-z]", least=0.95).drop("text")
+    return labels.language_compliance(texts, "text", "A-Za-z", least=0.95).drop("text")
 
 
 def field_agreement(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,13 +366,13 @@ def teacher_student_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def teacher_student_report(spark: SparkSession, sf: str) -> DataFrame:
-    return training.comparison_report(teacher_student_join(spark, sf), "[A-Za-z]")
+    return training.comparison_report(teacher_student_join(spark, sf), "A-Za-z")
 
 
 def sft_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = training.training_rows(
-        fx.manifest(spark, sf), fx.frames(spark, sf), fx.conversation_labels(spark, sf), ["turn"]
-    )
+    entries = fx.manifest(spark, sf)
+    plan = frame_plans.frame_plan(entries, fx.PREFIX)
+    rows = training.training_rows(entries, plan, fx.conversation_labels(spark, sf), ["turn"])
     return rows.select(
         "video_id",
         "category",

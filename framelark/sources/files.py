@@ -8,23 +8,21 @@ from pyspark.sql import functions as F
 from framelark.schemas import SHARD_ROW
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
-    """One row per file (also the empty ones): path and length. File contents are not read."""
+def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> list[str]:
+    """Sorted paths of the files (also the empty ones) below ``path``. No file is opened.
+
+    This is the list the driver holds to plan a scan of them.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return reader.option("recursiveFileLookup", str(recursive).lower()).load(path).select("path", "length")
+    found = reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
+    return sorted(found.inputFiles())
 
 
 def shard_paths(
     spark: SparkSession, path: str, prefix: str = "train-", suffix: str = ".parquet", cap: int | None = None
 ) -> list[str]:
-    """Sorted paths of the source shards, at most ``cap`` of them.
-
-    A list of file names, which the driver holds anyway to plan the scan.
-    """
-    found = list_files(spark, path, f"{prefix}*{suffix}", recursive=False).orderBy("path")
-    if cap is not None:
-        found = found.limit(cap)
-    return [row.path for row in found.collect()]
+    """Sorted paths of the source shards, at most ``cap`` of them."""
+    return list_files(spark, path, f"{prefix}*{suffix}", recursive=False)[:cap]
 
 
 def read_shards(spark: SparkSession, paths: list[str], schema: str = SHARD_ROW) -> DataFrame:

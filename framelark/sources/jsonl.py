@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelark.functions.once import once
+from framelark.functions.json import only_element, parsed_once, with_json_fields
 
 LINE_ORDER = ["file", "block", "line"]
 
@@ -35,34 +35,20 @@ def read_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.jso
     return numbered_lines(reader.text(path).select(*line_columns()))
 
 
-# JSON as Python's parser takes it: NaN is allowed, single quotes are not.
-_DIALECT = {"allowSingleQuotes": "false"}
-
-
-def _parsed(raw: str, element: str, **options: str) -> Column:
-    """Parse a line as the only element of an array: text after the object then makes the whole line broken."""
-    return once(F.from_json(F.concat(F.lit("["), F.col(raw), F.lit("]")), f"array<{element}>", {**_DIALECT, **options}))
-
-
-def _holds_one(column: str) -> Column:
-    return F.transform(column, lambda item: item.isNotNull()) == F.array(F.lit(True))
-
-
 def with_fields(lines: DataFrame, raw: str = "raw", name: str = "fields") -> DataFrame:
     """Lenient scan: lines that hold one JSON object, with its top-level fields as a map of text.
 
-    Blank and broken lines are dropped. A key whose value is null is in the map; nested values are JSON text.
+    Blank and broken lines are dropped.
     """
-    parsed = lines.withColumn("_parsed", _parsed(raw, "map<string, string>"))
-    return parsed.filter(_holds_one("_parsed")).withColumn(name, F.get("_parsed", 0)).drop("_parsed")
+    return with_json_fields(lines, raw, name).filter(F.col(name).isNotNull())
 
 
 def parse_strict(lines: DataFrame, schema: str, raw: str = "raw") -> DataFrame:
     """Strict scan: blank lines are dropped, a broken line fails the job."""
     kept = lines.filter(F.regexp_like(F.col(raw), F.lit(r"(?U)\S")))
     fields = T.StructType.fromDDL(schema).simpleString()
-    parsed = kept.withColumn("_parsed", _parsed(raw, fields, mode="FAILFAST"))
+    parsed = kept.withColumn("_parsed", parsed_once(raw, fields, mode="FAILFAST"))
     broken = F.raise_error(F.concat(F.lit("not one JSON object: "), F.col(raw)))
-    record = F.when(_holds_one("_parsed"), F.get("_parsed", 0)).otherwise(broken)
     rest = [c for c in lines.columns if c != raw]
-    return parsed.select(*rest, record.alias("_record")).select(*rest, "_record.*")
+    record = F.coalesce(only_element("_parsed"), broken).alias("_record")
+    return parsed.select(*rest, record).select(*rest, "_record.*")
