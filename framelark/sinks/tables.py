@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelark.operators.dedup import last_per_key
 
@@ -56,7 +57,10 @@ def write_single_results(results: DataFrame, path: str) -> None:
 
 def current_results(spark: SparkSession, path: str) -> DataFrame:
     """Newest result of each video and run: a repeated run replaces, a new prompt adds."""
-    stored = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    found = spark.read.parquet(path).schema
+    # Folder names are given their type here: a run named 0042 or 77e1 would be taken for a number.
+    schema = T.StructType([T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in found])
+    stored = spark.read.schema(schema).parquet(path)
     return last_per_key(stored, ["video_id", "run_id"], ["created_at", "answer"])
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     found = reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return sorted(found.inputFiles())
+    return sorted(unquote(f) for f in found.inputFiles())
 
 
 def shard_paths(
@@ -25,14 +28,25 @@ def shard_paths(
     return list_files(spark, path, f"{prefix}*{suffix}", recursive=False)[:cap]
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
 def read_shards(spark: SparkSession, paths: list[str], schema: str = SHARD_ROW) -> DataFrame:
     """Rows of the listed shards with ``shard`` (place of the file in the list) and ``row_pos`` (place in the file).
 
-    Both come from file metadata, so a query that does not select ``mp4`` never reads the media bytes.
+    Both come from file metadata, so a query that does not select ``mp4`` never reads the media bytes. ``paths`` are
+    full paths, as ``shard_paths`` gives them.
     """
-    rows = spark.read.schema(schema).parquet(*paths).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("row_pos")
+    rows = spark.read.schema(schema).parquet(*paths)
+    # Spark reports paths URL-encoded, and with differing numbers of slashes after the scheme.
+    reported = {re.sub(_SCHEME, "", unquote(f)): re.sub(_SCHEME, "", f) for f in rows.inputFiles()}
+    numbers = [(reported[re.sub(_SCHEME, "", p)], i) for i, p in enumerate(paths)]
+    placed = rows.select(
+        "*",
+        F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_file"),
+        F.col("_metadata.row_index").alias("row_pos"),
     )
-    # One short row per listed file: the size is that of the driver's own file list.
-    numbers = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "_file string, shard int")
-    return rows.join(numbers, "_file").drop("_file")
+    # One short row per listed file, so never larger than the driver's own file list; without the hint the media
+    # bytes would be shuffled to number them.
+    named = F.broadcast(spark.createDataFrame(numbers, "_file string, shard int"))
+    return placed.join(named, "_file").drop("_file")
