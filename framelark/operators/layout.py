@@ -7,6 +7,10 @@ looked at to turn that into a global number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +22,28 @@ MAX_GROUP_ROWS = 1_000_000
 CHUNK_ROWS = 250_000
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group: a narrow count, combined map-side."""
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return top[0] or 0
+def by_group_size(
+    df: DataFrame,
+    keys: list[str],
+    most: int,
+    small: Callable[[DataFrame], DataFrame],
+    large: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Apply ``small`` to the groups of at most ``most`` rows and ``large`` to the others.
+
+    Groups are counted first, on the key columns alone and combined map-side. At most (rows / ``most``) groups can be
+    large, so their keys are few enough for the driver and for a broadcast.
+    """
+    found = df.groupBy(*keys).count().filter(F.col("count") > most).drop("count")
+    hot = found.collect()
+    if not hot:
+        return small(df)
+    renamed = [f"_hot_{i}" for i in range(len(keys))]
+    listed = F.broadcast(df.sparkSession.createDataFrame(hot, found.schema).toDF(*renamed))
+    # Null is a group too, so keys are compared null-safely.
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
+    rest = small(df.join(listed, same, "left_anti"))
+    return rest.unionByName(large(df.join(listed, same, "left_semi")))
 
 
 def _sorted_files(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
@@ -63,14 +85,19 @@ def with_row_index(
 ) -> DataFrame:
     """Add a dense 0-based row number in the given order, overall or per group of ``within``.
 
-    ``order_by`` must leave no ties. Groups are numbered by an ordinary window if the largest one is small
-    enough for a task, else through the sorted table. Keep wide columns (media bytes) out of ``df``.
+    ``order_by`` must leave no ties. Groups small enough for a task are numbered by an ordinary window, larger ones
+    through the sorted table. Keep wide columns (media bytes) out of ``df``.
     """
-    if within and largest_group(df, within) <= max_group_rows:
-        w = Window.partitionBy(*within).orderBy(*order_by)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    groups = list(within or [])
-    return _index_sorted(_sorted_files(df, [*groups, *order_by]), groups, name)
+    if not within:
+        return _index_sorted(_sorted_files(df, order_by), [], name)
+    w = Window.partitionBy(*within).orderBy(*order_by)
+    return by_group_size(
+        df,
+        within,
+        max_group_rows,
+        lambda rows: rows.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")),
+        lambda rows: _index_sorted(_sorted_files(rows, [*within, *order_by]), within, name),
+    )
 
 
 def with_previous(
@@ -83,23 +110,27 @@ def with_previous(
 ) -> DataFrame:
     """Add values of the previous row of the same key: ``values`` maps new columns to the ones looked back at.
 
-    If some key has more rows than a task should hold, the whole sorted table is cut in chunks of equal size and the last
-    row of each chunk is also handed to the next one, so that every row meets its predecessor in its own chunk.
+    Keys with more rows than a task should hold are sorted together and cut in chunks of equal size; the last row of each
+    chunk is also handed to the next one, so that every row meets its predecessor in its own chunk.
     """
-    if largest_group(df, keys) <= max_group_rows:
+
+    def in_groups(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumns({new: F.lag(old).over(w) for new, old in values.items()})
-    rows = with_row_index(df, [*keys, *order_by], name="_i")
-    chunk = F.col("_i").cast("bigint") - F.col("_i") % chunk_rows
-    ends_chunk = F.col("_i") % chunk_rows == chunk_rows - 1
-    copies = F.when(ends_chunk, F.array(chunk, chunk + chunk_rows)).otherwise(F.array(chunk))
-    rows = rows.withColumn("_chunk", F.explode(copies))
-    w = Window.partitionBy("_chunk").orderBy("_i")
-    key = F.struct(*keys)
-    same_key = F.lag(key).over(w).eqNullSafe(key)
-    found = rows.withColumns({new: F.when(same_key, F.lag(old).over(w)) for new, old in values.items()})
-    own = F.col("_i") >= F.col("_chunk")
-    return found.filter(own).drop("_i", "_chunk")
+        return rows.withColumns({new: F.lag(old).over(w) for new, old in values.items()})
+
+    def in_chunks(rows: DataFrame) -> DataFrame:
+        rows = with_row_index(rows, [*keys, *order_by], name="_i")
+        chunk = F.col("_i") - F.col("_i") % chunk_rows
+        ends_chunk = F.col("_i") % chunk_rows == chunk_rows - 1
+        copies = F.when(ends_chunk, F.array(chunk, chunk + chunk_rows)).otherwise(F.array(chunk))
+        rows = rows.withColumn("_chunk", F.explode(copies))
+        w = Window.partitionBy("_chunk").orderBy("_i")
+        key = F.struct(*keys)
+        same_key = F.lag(key).over(w).eqNullSafe(key)
+        found = rows.withColumns({new: F.when(same_key, F.lag(old).over(w)) for new, old in values.items()})
+        return found.filter(F.col("_i") >= F.col("_chunk")).drop("_i", "_chunk")
+
+    return by_group_size(df, keys, max_group_rows, in_groups, in_chunks)
 
 
 def with_running_total(counts: DataFrame, order_by: str, value: str, name: str, block: int = 1024) -> DataFrame:

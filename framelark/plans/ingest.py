@@ -10,6 +10,9 @@ from framelark.operators.dedup import first_per_key
 from framelark.operators.layout import MAX_GROUP_ROWS, with_row_index
 from framelark.operators.pending import ingest_pending
 
+# A million ids and places are some tens of megabytes.
+MAX_BROADCAST_ROWS = 1_000_000
+
 FIELDS = {
     "fine_category": "content_fine_category",
     "channel": "youtube_channel",
@@ -83,9 +86,16 @@ def build_manifest(
     return entry.select(*MANIFEST_COLUMNS, "shard", "row_pos")
 
 
-def media_rows(shards: DataFrame, entries: DataFrame) -> DataFrame:
-    """Media bytes and metadata of the given manifest entries, by their place in the source."""
-    return shards.join(entries.select("video_id", "shard", "row_pos"), ["shard", "row_pos"])
+def media_rows(shards: DataFrame, entries: DataFrame, category: str, most_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Media bytes and metadata of the given manifest entries of a category, by their place in the source.
+
+    The entries are counted first. Up to ``most_broadcast`` of them are sent to the media, which then stay where they were
+    read; beyond that both sides are shuffled by place, which no two rows share.
+    """
+    places = entries.select("video_id", "shard", "row_pos")
+    if places.limit(most_broadcast + 1).count() <= most_broadcast:
+        places = F.broadcast(places)
+    return in_category(shards, category).join(places, ["shard", "row_pos"])
 
 
 def summary(manifest: DataFrame, category: str, prefix: str, n_shards: int | None = None) -> DataFrame:

@@ -128,7 +128,7 @@ def manifest_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def media_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ingest.media_rows(fx.shard_rows(spark, sf), fx.manifest(spark, sf))
+    rows = ingest.media_rows(fx.shard_rows(spark, sf), fx.manifest(spark, sf), fx.CATEGORY)
     return rows.select(
         "video_id",
         F.length("mp4").cast("bigint").alias("n_bytes"),
