@@ -145,3 +145,9 @@ def token_budget(frames: DataFrame, limits: tuple[int, ...], tokens: str = "imag
             "div", F.lit(limit).cast("bigint"), F.nullif(F.col(tokens), F.lit(0).cast("bigint"))
         )
     return frames.withColumns(added)
+
+
+def budget_summary(budget: DataFrame, limits: tuple[int, ...], by: list[str], tokens: str = "image_tokens") -> DataFrame:
+    """Records, tokens, and how many records fit each context limit."""
+    fits = [F.count_if(f"fits_{limit}").alias(f"n_fits_{limit}") for limit in limits]
+    return budget.groupBy(*by).agg(F.count(F.lit(1)).alias("n_records"), F.sum(tokens).alias("total_tokens"), *fits)

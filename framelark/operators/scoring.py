@@ -35,6 +35,7 @@ def score(
     batch_size: int = BATCH_SIZE,
     max_images: int | None = None,
     partitions: int | None = None,
+    spread_by: str | Column = "id",
     keep_model_as: str | None = None,
 ) -> DataFrame:
     """Score records in batches; every record yields one result row of its own.
@@ -42,7 +43,8 @@ def score(
     ``model_factory`` runs in the task, once, and only if the task has a record to score. ``load_image`` failing for
     a record gives that record an error and leaves the rest of its batch alone; the model failing gives each record
     of the batch an error. A model that cannot be made fails the task. Batches are refilled over Arrow batch borders,
-    so only a task's last one is short. ``keep_model_as`` names the model in its Python worker, so that later tasks of
+    so only a task's last one is short. An image that several records of a batch share is loaded once. ``partitions``
+    spreads the records by the hash of ``spread_by``. ``keep_model_as`` names the model in its Python worker, so that later tasks of
     a reused worker find it loaded; use more partitions than workers then, to even out slow ones.
     """
     columns = ["id", "prompt", "images", "output", "model", "error"]
@@ -58,18 +60,20 @@ def score(
 
         def results(batch):
             nonlocal generate
-            rows, ready = [], []
+            rows, ready, images = [], [], {}
             for rec in batch:
                 refs = [str(r) for r in rec["images"]]
                 try:
                     if max_images is not None and len(refs) > max_images:
                         raise ValueError(f"{len(refs)} images, at most {max_images} allowed")
-                    loaded = [load_image(r) for r in refs]
+                    for r in refs:
+                        if r not in images:
+                            images[r] = load_image(r)
                 except Exception as e:
                     rows.append((rec["id"], rec["prompt"], None, None, None, f"image_load: {e}"))
                 else:
                     messages = [{"role": m["role"], "content": m["content"]} for m in rec["messages"]]
-                    ready.append((rec, refs, {"prompt": rec["prompt"], "messages": messages, "images": loaded}))
+                    ready.append((rec, refs, {"prompt": rec["prompt"], "messages": messages, "images": [images[r] for r in refs]}))
             if ready and generate is None:
                 generate = model_factory()
                 if keep_model_as is not None:
@@ -96,5 +100,5 @@ def score(
         if held:
             yield results(held)
 
-    spread = records.repartition(partitions, "id") if partitions else records
+    spread = records.repartition(partitions, spread_by) if partitions else records
     return spread.select("id", "prompt", "images", "messages").mapInPandas(run, RESULT)

@@ -14,7 +14,7 @@ from framelark.operators.dedup import first_per_key
 from framelark.operators.layout import with_row_index
 from framelark.operators.scoring import score, scoring_input
 from framelark.plans import frames as frame_plans
-from framelark.plans import ingest, results, training
+from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
 from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
 from framelark.session import new_path
@@ -215,6 +215,10 @@ def token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return labels.token_budget(rows, CONTEXT_LIMITS).fillna(0)
 
 
+def token_budget_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.budget_summary(token_budget(spark, sf), CONTEXT_LIMITS, ["tiles"])
+
+
 # Scoring, with a stand-in model that answers with a hash of its message
 
 
@@ -244,6 +248,18 @@ def batch_infer(spark: SparkSession, sf: str) -> DataFrame:
     return _shown_results(score(scoring_input(fx.inference_records(spark, sf)), make, load, fx.MODEL))
 
 
+def probe_infer(spark: SparkSession, sf: str) -> DataFrame:
+    make, load = _stub_model()
+    scored = score(labelling.probe_records(fx.frames(spark, sf)), make, load, fx.MODEL)
+    return labelling.probe_answers(scored).select("video_id", "probe", "prompt", "answer", "model")
+
+
+def video_infer(spark: SparkSession, sf: str) -> DataFrame:
+    make, load = _stub_model()
+    found, _ = labelling.labelled_videos(fx.frames(spark, sf), "Describe the clip.", make, load, fx.MODEL)
+    return found.select("video_id", "model", "prompt", "answer", "run_id", "sampling_params.*", "frames_ref.*")
+
+
 def _result_records(spark: SparkSession, sf: str) -> DataFrame:
     answers = fx.label_results(spark, sf).withColumns(
         {
@@ -433,7 +449,7 @@ QUERIES: dict[str, Query] = {
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,
-        prompt_fill, probe_expand, token_budget, batch_infer, result_records, single_result_store, latest_label,
+        prompt_fill, probe_expand, token_budget, token_budget_summary, batch_infer, probe_infer, video_infer, result_records, single_result_store, latest_label,
         label_changes, label_changes_hot_video, cache_pending, dev_subset, label_validate, label_quality,
         repetition_rate, language_compliance, field_agreement, teacher_student_join, teacher_student_report,
         sft_rows, stream_merge, stream_compact, stream_infer,

@@ -306,6 +306,25 @@ BODIES: dict[str, tuple[str, list[str]]] = {
                  FROM listed, (VALUES (1), (12)) AS v(tiles))""",
         ["listed"],
     ),
+    "token_budget_summary": (
+        """SELECT tiles, count(*) AS n_records, CAST(sum(len(refs) * tiles * 256) AS BIGINT) AS total_tokens,
+             count(*) FILTER (len(refs) * tiles * 256 < 8192) AS n_fits_8192,
+             count(*) FILTER (len(refs) * tiles * 256 < 16384) AS n_fits_16384
+           FROM listed, (VALUES (1), (12)) AS v(tiles) GROUP BY tiles""",
+        ["listed"],
+    ),
+    "probe_infer": (
+        f"""SELECT video_id, probe, prompt, sha256({_TAGS} || prompt) AS answer, '/models/teacher' AS model
+            FROM manifest, {_PROBE_ROWS}""",
+        ["manifest"],
+    ),
+    "video_infer": (
+        f"""SELECT video_id, '/models/teacher' AS model, prompt, sha256({_TAGS} || prompt) AS answer, {_RUN} AS run_id,
+             0.2::DOUBLE AS temperature, 0.9::DOUBLE AS top_p, 512 AS max_tokens, 16 AS num_frames,
+             '448x448' AS frame_size, 'uniform' AS sampling, 'd587a6' AS sampling_config_hash
+           FROM (SELECT video_id, 'Describe the clip.' AS prompt FROM manifest)""",
+        ["manifest"],
+    ),
     "batch_infer": _SCORED,
     "stream_infer": _SCORED,
     "result_records": (

@@ -3,7 +3,9 @@
 import pytest
 
 from framelark.operators.scoring import score, scoring_input
-from framelark.schemas import BATCH_PROMPT, INFERENCE_MANIFEST
+from framelark.plans import labelling
+from framelark.plans.frames import frame_plan
+from framelark.schemas import BATCH_PROMPT, INFERENCE_MANIFEST, PROBES
 
 
 def records(spark, n, parts=1):
@@ -93,3 +95,34 @@ def test_defaults_are_filled_in(spark):
     assert shown["a"] == (BATCH_PROMPT, ["one.jpg"], [("system", "sys"), ("user", f"<image>\n{BATCH_PROMPT}")])
     assert shown["b"][:2] == (BATCH_PROMPT, [])
     assert shown["c"][2][1] == ("user", "Image-1: <image>\nImage-2: <image>\np")
+
+
+def test_shared_images_are_loaded_once_per_batch(spark, tmp_path):
+    frames = spark.createDataFrame([(v, [f"{v}/1.jpg", f"{v}/2.jpg"]) for v in "abc"], "video_id string, frames array<string>")
+    folder = str(tmp_path)
+
+    def load(reference):
+        with open(f"{folder}/{reference.replace('/', '-')}", "a") as f:
+            f.write("x")
+        return reference
+
+    probes = labelling.probe_records(frames)
+    rows = score(probes, echo_model(), load, "m", partitions=2, spread_by=labelling.video_of_probe())
+    answers = labelling.probe_answers(rows).collect()
+    assert {(r.video_id, r.probe) for r in answers} == {(v, k) for v in "abc" for k, _ in PROBES}
+    assert [p.read_text() for p in sorted(tmp_path.iterdir())] == ["x"] * 6
+
+
+def test_labelled_videos(spark):
+    manifest = spark.createDataFrame([("v", 62, "640x360"), ("w", 30, "640x360")], "video_id string, duration int, resolution string")
+
+    def load(reference):
+        if "/w/" in reference:
+            raise OSError("gone")
+        return reference
+
+    found, failed = labelling.labelled_videos(frame_plan(manifest, "p"), "이 영상을 한국어로 설명해줘.", echo_model(), load, "/models/internvl3-78b")
+    row = found.first()
+    assert found.count() == 1 and row.video_id == "v" and row.run_id == "042dd539417d"
+    assert row.frames_ref.sampling_config_hash == "d587a6" and row.sampling_params.max_tokens == 512
+    assert [(r.id, r.error) for r in failed.collect()] == [("w", "image_load: gone")]
