@@ -12,16 +12,20 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_id(file_name: ColumnOrName, shard: ColumnOrName, row: ColumnOrName) -> Column:
-    """Id made from a file name: its stem with everything but letters, digits, ``_`` and ``-`` turned to ``_``.
+def file_stem(file_name: ColumnOrName) -> Column:
+    """A file name without folder and extension, everything but letters, digits, ``_`` and ``-`` turned to ``_``.
 
-    Outer underscores are dropped. A name with nothing left gets ``shard00000_row000000`` from its position.
+    Outer underscores are dropped, so the result may be empty.
     """
     base = F.regexp_replace(F.coalesce(_col(file_name), F.lit("")), r"(?s)^.*/", "")
     stem = F.regexp_replace(base, r"(?s)^(\.*[^.].*)\.[^.]*$", "$1")
-    clean = F.btrim(F.regexp_replace(stem, r"[^A-Za-z0-9_-]", "_"), F.lit("_"))
-    position = F.format_string("shard%05d_row%06d", _col(shard), _col(row))
-    return F.when(clean != "", clean).otherwise(position)
+    return F.btrim(F.regexp_replace(stem, r"[^A-Za-z0-9_-]", "_"), F.lit("_"))
+
+
+def safe_id(file_name: ColumnOrName, shard: ColumnOrName, row: ColumnOrName) -> Column:
+    """The file's stem as an id; ``shard00000_row000000`` from its position where the stem is empty."""
+    stem = file_stem(file_name)
+    return F.when(stem != "", stem).otherwise(F.format_string("shard%05d_row%06d", _col(shard), _col(row)))
 
 
 def shard_file(shard: ColumnOrName) -> Column:

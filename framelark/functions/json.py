@@ -12,14 +12,19 @@ _DIALECT = {"allowSingleQuotes": "false"}
 
 
 def parsed_once(raw: str, element: str, **options: str) -> Column:
-    """Parse text as the only element of an array: anything after the object then makes the whole text broken."""
-    return once(F.from_json(F.concat(F.lit("["), F.col(raw), F.lit("]")), f"array<{element}>", {**_DIALECT, **options}))
+    """Parse text as an array of it and an end mark.
+
+    By itself the parser stops at the end of the first object. Here, text with anything after the object is broken,
+    or makes an array in which the end mark is not the second element.
+    """
+    marked = F.concat(F.lit("["), F.col(raw), F.lit(',{"_end":1}]'))
+    return once(F.from_json(marked, f"array<{element}>", {**_DIALECT, **options}))
 
 
 def only_element(column: str) -> Column:
-    """The element of a one-element array; null for all other arrays."""
-    holds_one = F.transform(column, lambda item: item.isNotNull()) == F.array(F.lit(True))
-    return F.when(holds_one, F.get(column, 0))
+    """The object before the end mark; null where the text was not exactly one object."""
+    ended = (F.size(column) == 2) & (F.get(column, 1)["_end"] == "1")
+    return F.when(ended, F.get(column, 0))
 
 
 def with_json_fields(df: DataFrame, raw: str, name: str = "fields") -> DataFrame:

@@ -123,7 +123,7 @@ def latest_label(results: DataFrame, order_by: list[str | Column], keys: list[st
 
 
 def label_changes(
-    results: DataFrame, order_by: list[str], answer: str = "answer", max_group_rows: int = MAX_GROUP_ROWS
+    results: DataFrame, order_by: list[str], answer: str = "answer", max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Each result with the previous answer for the same video, and whether the answer changed."""
     found = with_previous(results, ["video_id"], order_by, {"previous_answer": answer}, max_group_rows)

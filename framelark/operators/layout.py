@@ -25,15 +25,18 @@ CHUNK_ROWS = 250_000
 def by_group_size(
     df: DataFrame,
     keys: list[str],
-    most: int,
+    most: int | None,
     small: Callable[[DataFrame], DataFrame],
     large: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Apply ``small`` to the groups of at most ``most`` rows and ``large`` to the others.
 
     Groups are counted first, on the key columns alone and combined map-side. At most (rows / ``most``) groups can be
-    large, so their keys are few enough for the driver and for a broadcast.
+    large, so with a bound of a million rows their keys are few enough for the driver and for a broadcast. Without a
+    bound (``None``) nothing is counted and all groups are taken as large.
     """
+    if most is None:
+        return large(df)
     found = df.groupBy(*keys).count().filter(F.col("count") > most).drop("count")
     hot = found.collect()
     if not hot:
@@ -81,7 +84,7 @@ def with_row_index(
     order_by: list[str | Column],
     within: list[str] | None = None,
     name: str = "row_index",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add a dense 0-based row number in the given order, overall or per group of ``within``.
 
@@ -105,7 +108,7 @@ def with_previous(
     keys: list[str],
     order_by: list[str],
     values: dict[str, str],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add values of the previous row of the same key: ``values`` maps new columns to the ones looked back at.

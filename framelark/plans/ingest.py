@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelark.functions import media_key, metadata_key, safe_id
+from framelark.functions import file_stem, media_key, metadata_key, safe_id
 from framelark.operators.dedup import first_per_key
 from framelark.operators.layout import MAX_GROUP_ROWS, with_row_index
 from framelark.operators.pending import ingest_pending
@@ -51,15 +51,19 @@ def preview(shards: DataFrame, n: int = 5) -> DataFrame:
     return nested_fields(shards).orderBy("shard", "row_pos").limit(n)
 
 
-def identified(shards: DataFrame, category: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Rows of a category with their number in the shard and their id; of rows that share an id, the first."""
+def identified(shards: DataFrame, category: str, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Rows of a category with their id; of rows that share an id, the first."""
     narrow = in_category(shards, category).select(
         "shard",
         "row_pos",
         F.col("json.original_video_filename").alias("file_name"),
         *[F.col(f"json.{source}").alias(name) for name, source in FIELDS.items()],
     )
-    numbered = with_row_index(narrow, ["row_pos"], ["shard"], "row_in_shard", max_group_rows)
+    # Only a file without a usable name is named by its number, and numbering shuffles; so look for one first.
+    if narrow.filter(file_stem("file_name") == "").isEmpty():
+        numbered = narrow.withColumn("row_in_shard", F.lit(None).cast("bigint"))
+    else:
+        numbered = with_row_index(narrow, ["row_pos"], ["shard"], "row_in_shard", max_group_rows)
     named = numbered.withColumn("video_id", safe_id("file_name", "shard", "row_in_shard"))
     return first_per_key(named, ["video_id"], ["shard", "row_pos"])
 

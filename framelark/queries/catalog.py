@@ -317,8 +317,8 @@ def label_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_changes_hot_video(spark: SparkSession, sf: str) -> DataFrame:
-    """The same by the way that splits videos with very many labels."""
-    return _changes(spark, sf, max_group_rows=0)
+    """The same by the way that splits videos with very many labels, here taken for all."""
+    return _changes(spark, sf, max_group_rows=None)
 
 
 def cache_pending(spark: SparkSession, sf: str) -> DataFrame:
@@ -425,7 +425,7 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_compact(spark: SparkSession, sf: str) -> DataFrame:
     compacted = new_path(spark, "compact-log")
-    compact_log(spark, _stream_log(spark, sf), compacted)
+    compact_log(spark, compacted, _stream_log(spark, sf))
     return merged_log(spark, compacted).select("id", "raw", "n_records")
 
 

@@ -31,7 +31,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    Cuts lineage with a table that outlives executors. One file per task, in task order.
+    Cuts lineage with a table that outlives executors. One file per task, in task order. The table stays until the
+    shared folder is cleared.
     """
     path = new_path(df.sparkSession, name)
     df.write.option("maxRecordsPerFile", 0).parquet(path)

@@ -46,9 +46,10 @@ def with_fields(lines: DataFrame, raw: str = "raw", name: str = "fields") -> Dat
 def parse_strict(lines: DataFrame, schema: str, raw: str = "raw") -> DataFrame:
     """Strict scan: blank lines are dropped, a broken line fails the job."""
     kept = lines.filter(F.regexp_like(F.col(raw), F.lit(r"(?U)\S")))
-    fields = T.StructType.fromDDL(schema).simpleString()
-    parsed = kept.withColumn("_parsed", parsed_once(raw, fields, mode="FAILFAST"))
+    fields = T.StructType.fromDDL(schema)
+    element = T.StructType([*fields, T.StructField("_end", T.StringType())]).simpleString()
+    parsed = kept.withColumn("_parsed", parsed_once(raw, element, mode="FAILFAST"))
     broken = F.raise_error(F.concat(F.lit("not one JSON object: "), F.col(raw)))
     rest = [c for c in lines.columns if c != raw]
     record = F.coalesce(only_element("_parsed"), broken).alias("_record")
-    return parsed.select(*rest, record).select(*rest, "_record.*")
+    return parsed.select(*rest, record).select(*rest, *[F.col("_record")[f].alias(f) for f in fields.names])

@@ -7,6 +7,8 @@ whatever way the files were cut into batches.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,15 +39,19 @@ def append_log(lines: DataFrame, log_path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def merged_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """Train records of everything logged so far."""
-    log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
-    return merged(log, LINE_ORDER)
+def _read_log(spark: SparkSession, log_paths: tuple[str, ...]) -> DataFrame:
+    logs = [spark.read.schema(LOG_SCHEMA).parquet(path).drop("batch") for path in log_paths]
+    return reduce(DataFrame.unionByName, logs)
+
+
+def merged_log(spark: SparkSession, *log_paths: str) -> DataFrame:
+    """Train records of everything logged so far, in one log or several (such as a compacted one and its successor)."""
+    return merged(_read_log(spark, log_paths), LINE_ORDER)
 
 
-def compact_log(spark: SparkSession, log_path: str, path: str) -> None:
+def compact_log(spark: SparkSession, path: str, *log_paths: str) -> None:
     """Write a log that holds, of every id, the last ok line, and all error lines; merging it gives the same records."""
-    log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    log = _read_log(spark, log_paths)
     last = merged(log, LINE_ORDER).select("raw", "last_seen.*", "id", F.lit(False).alias("is_error"))
     rest = log.filter(F.col("is_error") | F.col("id").isNull()).select(*last.columns)
     last.unionByName(rest).write.mode("overwrite").parquet(f"{path}/batch=0")

@@ -39,7 +39,8 @@ def score_manifest_stream(
     """Score the manifest files present, file by file; results are committed per micro-batch.
 
     Records whose id already has a result are skipped. A batch that is repeated after a failure ignores and replaces
-    its own earlier results.
+    its own earlier results. Batches are told apart by the numbers the checkpoint keeps, so a results folder belongs to
+    one checkpoint.
     """
     empty = spark.createDataFrame([], RESULT)
     # The folder has to exist before the first batch reads it.

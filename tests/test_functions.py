@@ -31,6 +31,7 @@ def test_safe_id(spark, name, expected):
 
 
 def test_hashes_equal_the_recorded_ones(spark):
+    # A prompt and a model path with the run id they were stored under.
     assert one(spark, fn.config_hash(16)) == "d587a6"
     run = fn.run_id(F.lit("이 영상을 한국어로 설명해줘."), F.lit("/models/internvl3-78b"), fn.config_hash(16))
     assert one(spark, run) == "042dd539417d"
@@ -62,9 +63,9 @@ def test_duration_halves_go_to_even(spark):
 
 
 def test_frame_keys_and_times(spark):
-    keys = one(spark, fn.frame_keys("finevideo/sports", F.lit("09buIj5Z5lk")))
-    assert keys[0] == "finevideo/sports/09buIj5Z5lk/frames/frame_001.jpg"
-    assert keys[-1] == "finevideo/sports/09buIj5Z5lk/frames/frame_016.jpg"
+    keys = one(spark, fn.frame_keys("media/sports", F.lit("09buIj5Z5lk")))
+    assert keys[0] == "media/sports/09buIj5Z5lk/frames/frame_001.jpg"
+    assert keys[-1] == "media/sports/09buIj5Z5lk/frames/frame_016.jpg"
     assert keys == sorted(keys) and len(keys) == 16
     times = one(spark, fn.frame_times(F.lit(32), 16))
     assert times == [2.0 * k for k in range(16)]

@@ -136,10 +136,10 @@ def test_manifest_files(spark, shards, tmp_path):
 
 def test_frame_plan_equals_the_recorded_one(spark):
     manifest = spark.createDataFrame([("09buIj5Z5lk", 62.4, "640x360")], "video_id string, duration double, resolution string")
-    plan = frame_plans.frame_plan(manifest, "finevideo/sports").first()
+    plan = frame_plans.frame_plan(manifest, "media/sports").first()
     assert plan.num_frames == 16 and plan.sampling == "uniform" and plan.frame_size == "448x448"
     assert plan.source_duration == 62 and plan.sampling_config_hash == "d587a6"
-    assert plan.frames == [f"finevideo/sports/09buIj5Z5lk/frames/frame_{i:03d}.jpg" for i in range(1, 17)]
+    assert plan.frames == [f"media/sports/09buIj5Z5lk/frames/frame_{i:03d}.jpg" for i in range(1, 17)]
 
 
 def test_frames_are_gathered_in_listed_order(spark, shards, tmp_path):

@@ -28,15 +28,16 @@ def test_row_index_is_the_place_in_order(spark, skewed):
 
 def test_row_index_within_groups_splits_large_ones(skewed):
     plain = with_row_index(skewed, ["v"], ["g"])
-    split = with_row_index(skewed, ["v"], ["g"], max_group_rows=10)
-    assert plain.count() == 1000 and same(plain, split)
+    assert plain.count() == 1000
+    for most in (10, None):
+        assert same(plain, with_row_index(skewed, ["v"], ["g"], max_group_rows=most))
 
 
 def test_previous_row_splits_large_groups(skewed):
     plain = with_previous(skewed, ["g"], ["v"], {"before": "v"})
     assert plain.filter("before IS NULL").count() == skewed.select("g").distinct().count()
-    for chunk in (1, 3, 64, 5000):
-        assert same(plain, with_previous(skewed, ["g"], ["v"], {"before": "v"}, max_group_rows=10, chunk_rows=chunk))
+    for most, chunk in ((10, 1), (10, 3), (10, 5000), (None, 64)):
+        assert same(plain, with_previous(skewed, ["g"], ["v"], {"before": "v"}, max_group_rows=most, chunk_rows=chunk))
 
 
 def test_row_index_of_nothing(spark, skewed):

@@ -146,7 +146,7 @@ def test_strict_scan(spark):
     good = spark.createDataFrame([('{"id": 1, "images": ["a"]}',), ("  ",), ("",), ('{"id": true, "prompt": null}',)], "raw string")
     rows = parse_strict(good, INFERENCE_MANIFEST).orderBy("id").collect()
     assert [(r.id, r.prompt, r.images) for r in rows] == [("1", None, ["a"]), ("true", None, None)]
-    for bad in ('{"id": 1', '{"id": 1} x', "null", "5", '{"id": 1},{"id": 2}'):
+    for bad in ('{"id": 1', '{"id": 1} x', "null", "5", '{"id": 1},{"id": 2}', '{"id": 1}] [{"id": 2}'):
         with pytest.raises(Exception):
             parse_strict(spark.createDataFrame([(bad,)], "raw string"), INFERENCE_MANIFEST).collect()
 

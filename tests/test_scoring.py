@@ -2,8 +2,11 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from framelark.operators.pending import resume_pending
 from framelark.operators.scoring import score, scoring_input
-from framelark.plans import labelling
+from framelark.plans import labelling, results
 from framelark.plans.frames import frame_plan
 from framelark.schemas import BATCH_PROMPT, INFERENCE_MANIFEST, PROBES
 
@@ -126,3 +129,27 @@ def test_labelled_videos(spark):
     assert found.count() == 1 and row.video_id == "v" and row.run_id == "042dd539417d"
     assert row.frames_ref.sampling_config_hash == "d587a6" and row.sampling_params.max_tokens == 512
     assert [(r.id, r.error) for r in failed.collect()] == [("w", "image_load: gone")]
+
+
+def test_resuming_after_a_cut_equals_one_run(spark):
+    def load(reference):
+        if reference == "img/4/0":
+            raise OSError("gone")
+        return reference
+
+    rows = [(f"r{i}", f"say {i}", None, [f"img/{i}/0"] * (i % 2 + 1)) for i in range(20)]
+    manifest = spark.createDataFrame(rows, INFERENCE_MANIFEST)
+
+    def run(pending):
+        return score(scoring_input(pending), echo_model(), load, "m", batch_size=5)
+
+    def shown(scored):
+        return {(r.id, r.prompt, (r.output or "").split("|")[0], r.error) for r in scored.collect()}
+
+    whole = shown(run(manifest))
+    for cut in (0, 7, 20):
+        first = run(manifest.filter(F.substring("id", 2, 9).cast("int") < cut))
+        lines = first.select(F.to_json(F.struct(*first.columns)).alias("raw"))
+        rest = resume_pending(manifest, results.classified(lines))
+        assert rest.count() == 20 - cut
+        assert shown(first) | shown(run(rest)) == whole

@@ -31,9 +31,11 @@ def test_files_in_two_steps_merge_as_one_batch(spark, tmp_path):
     assert run() == found
 
     compacted = str(tmp_path / "compact")
-    compact_log(spark, log, compacted)
+    compact_log(spark, compacted, log)
     again = sorted((r.id, r.raw) for r in merged_log(spark, compacted).collect())
     assert again == [(i, raw) for i, raw, _ in found]
+    both = sorted((r.id, r.raw) for r in merged_log(spark, compacted, log).collect())
+    assert both == again
     assert spark.read.parquet(compacted).filter("is_error").count() == 1
 
 
