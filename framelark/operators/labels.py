@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelark.functions import letter_count, ngrams, repeated_count, script_count, words
+from framelark.functions import letter_count, letters, ngrams, repeated_count, script_count, words
 from framelark.functions.json import with_json_fields
 from framelark.functions.once import once
 from framelark.operators.dedup import last_per_key, top_per_group
@@ -52,37 +52,40 @@ def _share(part: Column, whole: Column) -> Column:
     return part / F.nullif(whole, F.lit(0).cast("bigint"))
 
 
-def with_text_measures(answers: DataFrame, text: str, script: str, n: int = 2, prefix: str = "") -> DataFrame:
-    """Counts that the rates are made of: n-grams, repeated n-grams, letters, letters of the wanted script."""
+def _with_repeats(answers: DataFrame, text: str, n: int, prefix: str = "") -> DataFrame:
+    """Words, n-grams and repeated n-grams of a text."""
     grams = answers.withColumn("_w", once(words(text))).withColumn("_g", once(ngrams("_w", n)))
     return grams.withColumns(
         {
             f"{prefix}n_words": F.size("_w").cast("bigint"),
             f"{prefix}n_ngrams": F.size("_g").cast("bigint"),
             f"{prefix}n_repeated": repeated_count("_g"),
-            f"{prefix}n_letters": letter_count(text),
-            f"{prefix}n_script": script_count(text, script),
         }
     ).drop("_w", "_g")
 
 
+def _with_letters(answers: DataFrame, text: str, script: str, prefix: str = "") -> DataFrame:
+    """Letters of a text, and those of the wanted script."""
+    found = answers.withColumn("_letters", once(letters(text)))
+    return found.withColumns(
+        {f"{prefix}n_letters": letter_count("_letters"), f"{prefix}n_script": script_count("_letters", script)}
+    ).drop("_letters")
+
+
+def with_text_measures(answers: DataFrame, text: str, script: str, n: int = 2, prefix: str = "") -> DataFrame:
+    """Counts that the rates are made of: n-grams, repeated n-grams, letters, letters of the wanted script."""
+    return _with_letters(_with_repeats(answers, text, n, prefix), text, script, prefix)
+
+
 def repetition(answers: DataFrame, text: str, n: int = 2) -> DataFrame:
     """Repeated n-grams per answer: count, and share of all n-grams (0 for answers with none)."""
-    grams = answers.withColumn("_w", once(words(text))).withColumn("_g", once(ngrams("_w", n)))
-    measured = grams.withColumns(
-        {
-            "n_words": F.size("_w").cast("bigint"),
-            "n_ngrams": F.size("_g").cast("bigint"),
-            "n_repeated": repeated_count("_g"),
-        }
-    ).drop("_w", "_g")
-    return measured.withColumn("repetition_rate", F.coalesce(_share(F.col("n_repeated"), F.col("n_ngrams")), F.lit(0.0)))
+    rate = F.coalesce(_share(F.col("n_repeated"), F.col("n_ngrams")), F.lit(0.0))
+    return _with_repeats(answers, text, n).withColumn("repetition_rate", rate)
 
 
 def language_compliance(answers: DataFrame, text: str, script: str, least: float = 0.5) -> DataFrame:
     """Share of letters in the wanted script, and whether that is at least ``least``."""
-    both = F.struct(letter_count(text).alias("n_letters"), script_count(text, script).alias("n_script"))
-    counted = answers.withColumn("_counts", once(both)).select(*answers.columns, "_counts.*")
+    counted = _with_letters(answers, text, script)
     share = F.coalesce(_share(F.col("n_script"), F.col("n_letters")), F.lit(0.0))
     return counted.withColumn("script_share", share).withColumn("compliant", share >= least)
 

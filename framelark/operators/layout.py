@@ -57,11 +57,11 @@ def _sorted_files(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     return table.select("*", number.alias("_part"), F.col("_metadata.row_index").alias("_pos"))
 
 
-def _index_sorted(rows: DataFrame, within: list[str], name: str) -> DataFrame:
+def _index_sorted(rows: DataFrame, within: list[str], name: str, few_groups: bool = True) -> DataFrame:
     """Number rows of a sorted table from 0, overall or per group.
 
     Rows of a group are adjacent, so within one file they are one run: its start and length per (file, group)
-    are enough. Without groups that is one row per file.
+    are enough. There are fewer runs than files and groups together, so they are broadcast if the groups are few.
     """
     runs = rows.groupBy("_part", *within).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,11 +70,10 @@ def _index_sorted(rows: DataFrame, within: list[str], name: str) -> DataFrame:
     )
     place = (F.col("_pos") + F.col("_before")).alias(name)
     columns = [c for c in rows.columns if c not in ("_part", "_pos")]
-    if not within:
-        # One row per written file, so never more than the number of shuffle partitions.
-        return rows.join(F.broadcast(runs), "_part").select(*columns, place)
     # Null is a group of its own, so the group columns are compared null-safely.
     runs = runs.withColumnsRenamed({c: f"_of_{c}" for c in ["_part", *within]})
+    if few_groups:
+        runs = F.broadcast(runs)
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within]
     return rows.join(runs, [F.col("_part") == F.col("_of__part"), *same]).select(*columns, place)
 
@@ -99,7 +98,9 @@ def with_row_index(
         within,
         max_group_rows,
         lambda rows: rows.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")),
-        lambda rows: _index_sorted(_sorted_files(rows, [*within, *order_by]), within, name),
+        lambda rows: _index_sorted(
+            _sorted_files(rows, [*within, *order_by]), within, name, few_groups=max_group_rows is not None
+        ),
     )
 
 

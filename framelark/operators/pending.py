@@ -35,7 +35,8 @@ def ingest_pending(
     """Candidates whose shard is not marked done and whose video is not stored yet."""
     left = candidates
     if done_shards is not None:
-        left = left.join(done_shards.select("shard").distinct(), "shard", "left_anti")
+        # One number per source file, fewer than the driver lists to plan the scan; candidates of a shard stay spread.
+        left = left.join(F.broadcast(done_shards.select("shard").distinct()), "shard", "left_anti")
     if ingested is not None:
         left = left.join(ingested.select("video_id").distinct(), "video_id", "left_anti")
     return left

@@ -151,7 +151,7 @@ def test_ngrams(spark):
 
 
 def test_script_counts(spark):
-    text = F.lit("한국어 abc é 12")
+    text = fn.letters(F.lit("한국어 abc é 12"))
     assert one(spark, fn.letter_count(text)) == 7
     assert one(spark, fn.script_count(text)) == 3
     assert one(spark, fn.script_count(text, "A-Za-z")) == 3

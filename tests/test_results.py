@@ -1,5 +1,6 @@
 """Result logs: line scanning, classification, merging, resuming."""
 
+import gzip
 import json
 
 import pytest
@@ -169,3 +170,21 @@ def test_reconcile(spark):
     wanted = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "id string")
     made = spark.createDataFrame([("b",), ("c",), ("x",)], "id string")
     assert tuple(reconcile_counts(wanted, made).first()) == (4, 3, 1, 1, 2)
+
+
+def test_compressed_files_keep_their_order(spark, tmp_path):
+    for f in range(2):
+        with gzip.open(tmp_path / f"shard-{f:05d}.jsonl.gz", "wt") as out:
+            out.writelines(json.dumps({"id": i % 10, "output": f"{f}-{i}"}) + "\n" for i in range(300))
+    log = results.classified(read_lines(spark, str(tmp_path), "*.jsonl.gz"))
+    train = results.in_output_order(results.merged(log, LINE_ORDER)).collect()
+    assert [(r.id, json.loads(r.raw)["output"]) for r in train] == [(str(i), f"1-{290 + i}") for i in range(10)]
+
+
+def test_an_empty_folder_merges_to_nothing(spark, tmp_path):
+    (tmp_path / "shards").mkdir()
+    log = log_of(spark, str(tmp_path / "shards"))
+    train = results.merged(log, LINE_ORDER)
+    assert train.count() == 0 and tuple(results.counts(log).first()) == (0, 0, 0, 0)
+    write_merge(train, results.errors(log), str(tmp_path / "out"))
+    assert (tmp_path / "out" / "train.jsonl" / "_SUCCESS").exists()
