@@ -54,7 +54,7 @@ def _share(part: Column, whole: Column) -> Column:
 
 def _with_repeats(answers: DataFrame, text: str, n: int, prefix: str = "") -> DataFrame:
     """Words, n-grams and repeated n-grams of a text."""
-    grams = answers.withColumn("_w", once(words(text))).withColumn("_g", once(ngrams("_w", n)))
+    grams = answers.withColumn("_w", words(text)).withColumn("_g", ngrams("_w", n))
     return grams.withColumns(
         {
             f"{prefix}n_words": F.size("_w").cast("bigint"),
@@ -66,7 +66,7 @@ def _with_repeats(answers: DataFrame, text: str, n: int, prefix: str = "") -> Da
 
 def _with_letters(answers: DataFrame, text: str, script: str, prefix: str = "") -> DataFrame:
     """Letters of a text, and those of the wanted script."""
-    found = answers.withColumn("_letters", once(letters(text)))
+    found = answers.withColumn("_letters", letters(text))
     return found.withColumns(
         {f"{prefix}n_letters": letter_count("_letters"), f"{prefix}n_script": script_count("_letters", script)}
     ).drop("_letters")
