@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from framelark.llm.common import table
+from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
 from framelark.llm.tokens import token_pieces
 
@@ -14,11 +16,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 PIECE_ORDER = ["doc_id", "piece", "start", "ids_crc32"]
 
 
+def op1_pivotal_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = copies(table(spark, sf, "documents"))
+    taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "copies")
+
+
 def op2_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf, "documents")), PIECE_ORDER)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
 }
 ORACLES: dict[str, str] = {}
