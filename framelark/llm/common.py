@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,15 +65,13 @@ def sum_blobs(df: DataFrame, keys: list[str], value: str, dtype: str = "<f8", fa
         total = np.zeros(len(pdf[value].iloc[0]) // np.dtype(dtype).itemsize, dtype)
         for blob in pdf[value]:
             total += np.frombuffer(blob, dtype)
-        out = pdf[keys].iloc[:1].copy()
+        out = pdf[[*keys, "_slot"]].iloc[:1].copy()
         out[value] = [total.tobytes()]
         return out
 
-    schema = df.select(*keys, value).schema
-    slot = F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_slot")
-    first = df.select(*keys, value, slot).groupBy(*keys, "_slot").applyInPandas(added, schema)
-    return first.groupBy(*keys).applyInPandas(added, schema) if keys else first.groupBy(F.lit(0)).applyInPandas(added, schema)
+    slotted = df.select(*keys, F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("_slot"), value)
+    first = slotted.groupBy(*keys, "_slot").applyInPandas(added, slotted.schema)
+    # One group of at most ``fan_in`` sums for each key.
+    first = first.withColumn("_slot", (F.col("_slot") * 0).cast("int"))
+    return first.groupBy(*keys, "_slot").applyInPandas(added, slotted.schema).drop("_slot")
 
-
-def plain_name(text: str) -> str:
-    return re.sub(r"\W+", "_", text).strip("_").lower()

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm.common import table
+from framelark.llm import language
+from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
 from framelark.llm.tokens import token_pieces
@@ -26,8 +27,17 @@ def op2_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf, "documents")), PIECE_ORDER)
 
 
+def op7_nearest_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = language.fit(docs.filter(~held_out).select("text", "lang"))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.predicted(model).alias("_p"))
+    return found.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.rejected")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
+    "op7_nearest_centroid_language": op7_nearest_centroid_language,
 }
 ORACLES: dict[str, str] = {}
