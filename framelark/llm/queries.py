@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm import language
+from framelark.llm import language, toxicity
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
@@ -35,9 +35,18 @@ def op7_nearest_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.rejected")
 
 
+def op9_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held_out = fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), toxicity.scored(model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
     "op7_nearest_centroid_language": op7_nearest_centroid_language,
+    "op9_subword_toxicity": op9_subword_toxicity,
 }
 ORACLES: dict[str, str] = {}
