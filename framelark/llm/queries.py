@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm import language, toxicity
+from framelark.llm import fingerprint, language, toxicity
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
@@ -43,10 +43,15 @@ def op9_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op10_weighted_sampling_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.compared(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
     "op7_nearest_centroid_language": op7_nearest_centroid_language,
     "op9_subword_toxicity": op9_subword_toxicity,
+    "op10_weighted_sampling_fingerprints": op10_weighted_sampling_fingerprints,
 }
 ORACLES: dict[str, str] = {}
