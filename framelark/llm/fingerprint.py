@@ -12,51 +12,46 @@ terms too. Nothing is lower-cased: equal texts have equal fingerprints, and othe
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.llm.common import chunks_of, mix64
 
 SAMPLES = 64
-TERM_BYTES = 12
+TERM_BYTES = 64
 BATCH_BYTES = 12_000_000
 PARTITION_CHARS = 32_000_000
 NO_TERMS = "0000" * SAMPLES
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS = np.cumprod(np.full(TERM_BYTES, 0x9E3779B97F4A7C15, np.uint64))
-
-
-def term_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, hash) of every term of all texts, in order."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    inside = ~_SPACE[data]
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    first = np.flatnonzero(starts)
-    run = np.cumsum(starts[at]) - 1
-    place = at - first[run]
-    cut = np.flatnonzero(place % TERM_BYTES == 0)
-    value = (data[at].astype(np.uint64) + np.uint64(1)) * _POWERS[place % TERM_BYTES]
-    owner = np.searchsorted(np.cumsum(lengths), at[cut], side="right")
-    return owner, mix64(np.add.reduceat(value, cut))
+
+
+def terms_of(text: bytes) -> Counter[bytes]:
+    found = Counter(text.split())
+    for term in [t for t in found if len(t) > TERM_BYTES]:
+        times = found.pop(term)
+        for start in range(0, len(term), TERM_BYTES):
+            found[term[start : start + TERM_BYTES]] += times
+    return found
 
 
 def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct terms, then per text and term in order of texts: text number, term number, count)."""
-    owner, hashes = term_hashes(texts)
-    terms, number = np.unique(hashes, return_inverse=True)
-    key, counts = np.unique(owner * max(len(terms), 1) + number, return_counts=True)
-    return terms, key // max(len(terms), 1), key % max(len(terms), 1), counts
+    """(hashes of distinct terms, then per text and term in order of texts: text number, term number, count)."""
+    numbers: dict[bytes, int] = {}
+    sizes, term, counts = [], [], []
+    for text in texts:
+        found = terms_of(text)
+        sizes.append(len(found))
+        term.extend([numbers.setdefault(t, len(numbers)) for t in found])
+        counts.extend(found.values())
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    return hashes, owner, np.array(term, np.int64), np.array(counts, np.int64)
 
 
 def _ordered(x: np.ndarray) -> np.ndarray:
