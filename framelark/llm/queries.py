@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm import fingerprint, language, toxicity
+from framelark.llm import fingerprint, language, maxent, toxicity
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
@@ -47,10 +47,15 @@ def op10_weighted_sampling_fingerprints(spark: SparkSession, sf: str) -> DataFra
     return fingerprint.compared(table(spark, sf, "documents"))
 
 
+def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return maxent.scores(table(spark, sf, "documents"), fold("doc_id", 5) == 1)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
     "op7_nearest_centroid_language": op7_nearest_centroid_language,
+    "op8_hashed_maxent_scores": op8_hashed_maxent_scores,
     "op9_subword_toxicity": op9_subword_toxicity,
     "op10_weighted_sampling_fingerprints": op10_weighted_sampling_fingerprints,
 }
