@@ -147,14 +147,14 @@ def with_following(docs: DataFrame, partition_chars: int = PARTITION_CHARS) -> D
 
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     ranged = rows.withColumn("_range", range_of("doc_id"))
-    # One row for each range: its largest id.
+    # One row for each range, so one for ``partition_chars`` characters of text: its largest id.
     heads = rows.select("doc_id").withColumn("_range", range_of("doc_id")).groupBy("_range").agg(F.max("doc_id").alias("_head"))
     over = Window.orderBy("_range")
     everything = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select(
         "_head", F.coalesce(F.lag("_range").over(over), F.max("_range").over(everything)).alias("_before")
     )
-    look = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_head"))).select(
+    look = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_head"))).select(
         "doc_id", "text", F.col("_before").alias("_range"), F.lit(1).alias("_look")
     )
     both = ranged.select("doc_id", "text", "_range", F.lit(0).alias("_look")).unionByName(look)
