@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm import fingerprint, language, maxent, toxicity
+from framelark.llm import fingerprint, language, maxent, neardup, toxicity
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
@@ -27,6 +27,10 @@ def op2_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf, "documents")), PIECE_ORDER)
 
 
+def op6_probminhash_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.classes(table(spark, sf, "documents")).select("doc_id", "class_id")
+
+
 def op7_nearest_centroid_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = fold("doc_id", 4) == 2
@@ -54,6 +58,7 @@ def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
+    "op6_probminhash_near_copies": op6_probminhash_near_copies,
     "op7_nearest_centroid_language": op7_nearest_centroid_language,
     "op8_hashed_maxent_scores": op8_hashed_maxent_scores,
     "op9_subword_toxicity": op9_subword_toxicity,
