@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,18 @@ def chunks_of(pdf: pd.DataFrame, most_bytes: int, column: str = "text") -> Itera
         yield pdf.iloc[start:]
 
 
+def squeezed(a: np.ndarray) -> bytes:
+    """The array as compressed bytes, first all lowest bytes, then the next ones."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T if len(a) else a.view(np.uint8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueezed(data: bytes, dtype: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(flat.reshape(size, -1).T).reshape(-1).view(dtype)
+
+
 def sum_blobs(df: DataFrame, keys: list[str], value: str, dtype: str = "<f8", fan_in: int = 32) -> DataFrame:
     """Add up equally long arrays kept as bytes, per key, in two steps so that no task reads all of them.
 
