@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelark.llm import fingerprint, language, maxent, neardup, toxicity
+from framelark.llm import fingerprint, language, licences, maxent, neardup, toxicity
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
+from framelark.llm.pseudonyms import pseudonymised
 from framelark.llm.tokens import token_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: A fixed key, so that reruns of the queries agree. Whoever publishes results uses a secret one.
+PSEUDONYM_KEY = "framelark-queries"
 PIECE_ORDER = ["doc_id", "piece", "start", "ids_crc32"]
 
 
@@ -27,6 +30,15 @@ def op2_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf, "documents")), PIECE_ORDER)
 
 
+def op4_licence_digests(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.scan(table(spark, sf, "documents"))
+
+
+def op5_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    found = pseudonymised(table(spark, sf, "documents"), PSEUDONYM_KEY, count="n_replaced")
+    return found.select("doc_id", "text", "n_replaced")
+
+
 def op6_probminhash_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.classes(table(spark, sf, "documents")).select("doc_id", "class_id")
 
@@ -58,10 +70,14 @@ def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
+    "op4_licence_digests": op4_licence_digests,
+    "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op6_probminhash_near_copies": op6_probminhash_near_copies,
     "op7_nearest_centroid_language": op7_nearest_centroid_language,
     "op8_hashed_maxent_scores": op8_hashed_maxent_scores,
     "op9_subword_toxicity": op9_subword_toxicity,
     "op10_weighted_sampling_fingerprints": op10_weighted_sampling_fingerprints,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_licence_digests": licences.scan_sql(),
+}
