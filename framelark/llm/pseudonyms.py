@@ -19,11 +19,14 @@ Only validated values are touched:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framelark.functions.once import once
+
 ROUNDS = 8
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 SECRET = r"""(?<![A-Za-z])(?i:token|secret|key|password)\s{0,3}[=:]\s{0,3}["']?[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"""
@@ -42,22 +45,35 @@ DAYS = (229, 319)
 DATES = {r"^\d{4}-": "yyyy-MM-dd", r"^\d{4}/": "yyyy/MM/dd", r"^\d{2}\.": "dd.MM.yyyy", r"^\d{2}/": "MM/dd/yyyy"}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def permuted(values: Column, limits: Column, kind: str, key: str) -> Column:
     """The numbers after all rounds; ``values`` and ``limits`` are arrays of bigint of one length."""
-    half = F.call_function("div", F.size(values), F.lit(2))
 
-    def turn(state: Column, number: Column) -> Column:
-        first = number % 2 == 0
-        other = F.array_join(F.filter(state, lambda _, i: (i < half) != first).cast("array<string>"), ",")
+    def rounds(start: Column) -> Column:
+        """``start``: numbers and their limits."""
+        limit, half = start.getField("limit"), F.call_function("div", F.size(start.getField("limit")), F.lit(2))
+
+        def turn(state: Column, number: Column) -> Column:
+            first = number % 2 == 0
+            other = F.array_join(F.filter(state, lambda _, i: (i < half) != first).cast("array<string>"), ",")
+
+            def shifted(ground: Column) -> Column:
+                def moved(value: Column, i: Column) -> Column:
+                    text = F.concat_ws("|", ground, i.cast("string"))
+                    shift = F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1, 12), 16, 10).cast("bigint")
+                    return F.when((i < half) == first, (value + shift) % F.get(limit, i)).otherwise(value)
 
-        def shifted(value: Column, i: Column) -> Column:
-            text = F.concat_ws("|", F.lit(key), F.lit(kind), number.cast("string"), i.cast("string"), other)
-            shift = F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1, 12), 16, 10).cast("bigint")
-            return F.when((i < half) == first, (value + shift) % F.get(limits, i)).otherwise(value)
+                return F.transform(state, moved)
 
-        return F.transform(state, shifted)
+            return let(F.concat_ws("|", F.lit(key), F.lit(kind), number.cast("string"), other), shifted)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, turn)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start.getField("value"), turn)
+
+    return let(F.struct(values.alias("value"), limits.alias("limit")), rounds)
 
 
 def characters(text: Column) -> Column:
@@ -80,11 +96,14 @@ def permuted_digits(digits: Column, kind: str, key: str) -> Column:
 def in_layout(layout: Column, digits: Column) -> Column:
     """``layout`` with its digits replaced one after the other."""
 
-    def put(c: Column, i: Column) -> Column:
-        place = F.length(digits_of(F.substring(layout, F.lit(1), i + 1)))
-        return F.when(c.rlike("[0-9]"), F.substring(digits, place, F.lit(1))).otherwise(c)
+    def filled(new: Column) -> Column:
+        def put(c: Column, i: Column) -> Column:
+            place = F.length(digits_of(F.substring(layout, F.lit(1), i + 1)))
+            return F.when(c.rlike("[0-9]"), F.substring(new, place, F.lit(1))).otherwise(c)
+
+        return F.array_join(F.transform(characters(layout), put), "")
 
-    return F.array_join(F.transform(characters(layout), put), "")
+    return let(digits, filled)
 
 
 def permuted_letters(text: Column, letters: int, kind: str, key: str) -> Column:
@@ -125,11 +144,13 @@ def part(text: Column, start: Column | int, length: Column) -> Column:
 
 
 def card(m: Column, key: str) -> Column:
-    digits = digits_of(m)
-    payload = part(digits, 1, F.length(digits) - 1)
-    valid = (luhn_digit(payload) == F.right(digits, F.lit(1))) & ~digits.rlike(r"^(\d)\1*$")
-    new = permuted_digits(payload, "card", key)
-    return F.when(valid, in_layout(m, F.concat(new, luhn_digit(new))))
+    def of(digits: Column) -> Column:
+        payload = part(digits, 1, F.length(digits) - 1)
+        valid = (luhn_digit(payload) == F.right(digits, F.lit(1))) & ~digits.rlike(r"^(\d)\1*$")
+        new = let(permuted_digits(payload, "card", key), lambda p: F.concat(p, luhn_digit(p)))
+        return F.when(valid, in_layout(m, new))
+
+    return let(digits_of(m), of)
 
 
 def email(m: Column, key: str) -> Column:
@@ -153,11 +174,14 @@ def ssn(m: Column, key: str) -> Column:
     area, group, serial = (part(m, a, F.lit(n)).cast("bigint") for a, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     limits = F.array(*(F.lit(n).cast("bigint") for n in (898, 99, 9999)))
-    new = permuted(F.array(F.when(area > 666, area - 2).otherwise(area - 1), group - 1, serial - 1), limits, "ssn", key)
-    shown = F.get(new, F.lit(0)) + 1
-    shown = F.when(shown >= 666, shown + 1).otherwise(shown)
-    numbers = (F.lpad(n.cast("string"), w, "0") for n, w in ((shown, 3), (F.get(new, F.lit(1)) + 1, 2), (F.get(new, F.lit(2)) + 1, 4)))
-    return F.when(valid, F.concat_ws("-", *numbers))
+    ranks = F.array(F.when(area > 666, area - 2).otherwise(area - 1), group - 1, serial - 1)
+
+    def written(new: Column) -> Column:
+        one, two, three = (F.get(new, F.lit(k)) + 1 for k in range(3))
+        one = F.when(one >= 666, one + 1).otherwise(one)
+        return F.concat_ws("-", *(F.lpad(n.cast("string"), w, "0") for n, w in ((one, 3), (two, 2), (three, 4))))
+
+    return F.when(valid, let(permuted(ranks, limits, "ssn", key), written))
 
 
 def phone(m: Column, key: str) -> Column:
@@ -174,7 +198,7 @@ def date(m: Column, key: str) -> Column:
         day = F.datediff(F.try_to_date(m, form), first).cast("bigint")
         limits = F.array(*(F.lit(n).cast("bigint") for n in DAYS))
         new = permuted(F.array(day % DAYS[0], F.call_function("div", day, F.lit(DAYS[0]))), limits, "date", key)
-        moved = F.date_add(first, (F.get(new, F.lit(0)) + F.get(new, F.lit(1)) * DAYS[0]).cast("int"))
+        moved = let(new, lambda n: F.date_add(first, (F.get(n, F.lit(0)) + F.get(n, F.lit(1)) * DAYS[0]).cast("int")))
         return F.when(day.between(0, DAYS[0] * DAYS[1] - 1), F.date_format(moved, form))
 
     return reduce(lambda c, kv: c.when(m.rlike(kv[0]), as_days(kv[1])), list(DATES.items())[1:], F.when(m.rlike(r"^\d{4}-"), as_days("yyyy-MM-dd")))
@@ -197,10 +221,14 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | No
     proportional to the text.
     """
     t = F.col(text)
-    if count:
-        new = F.filter(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key).isNotNull())
-        docs = docs.withColumn(count, F.when(t.rlike("[0-9@]") & t.rlike(ANY), F.size(new)).otherwise(0))
-    between, values = F.split(t, ANY, -1), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
-    names = F.transform(values, lambda m: F.coalesce(pseudonym(m, key), m))
-    merged = F.array_join(F.zip_with(between, names, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return docs.withColumn(text, F.when(t.rlike("[0-9@]") & t.rlike(ANY), merged).otherwise(t))
+    found = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
+    some = t.rlike("[0-9@]") & t.rlike(ANY)
+    parts = F.struct(found.alias("old"), F.transform(found, lambda m: pseudonym(m, key)).alias("new"))
+    # The texts without any value skip all of this; for the others the names are made once.
+    rows = docs.withColumn("_values", once(F.when(some, parts)))
+    values = F.zip_with("_values.new", "_values.old", lambda new, old: F.coalesce(new, old))
+    merged = F.array_join(F.zip_with(F.split(t, ANY, -1), values, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    new = F.when(F.col("_values").isNotNull(), merged).otherwise(t)
+    n = F.coalesce(F.size(F.filter("_values.new", lambda v: v.isNotNull())), F.lit(0))
+    names = [F.col(f"`{c}`") if c != text else new.alias(c) for c in docs.columns]
+    return rows.select(*names, *([n.alias(count)] if count else []))
