@@ -12,6 +12,7 @@ from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
 from framelark.llm.pseudonyms import pseudonymised
+from framelark.llm.search import nearest
 from framelark.llm.tokens import token_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,10 @@ def op2_bin_slack_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf, "documents")), PIECE_ORDER)
 
 
+def op3_one_bit_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_licence_digests(spark: SparkSession, sf: str) -> DataFrame:
     return licences.scan(table(spark, sf, "documents"))
 
@@ -70,6 +75,7 @@ def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
+    "op3_one_bit_neighbours": op3_one_bit_neighbours,
     "op4_licence_digests": op4_licence_digests,
     "op5_feistel_pseudonyms": op5_feistel_pseudonyms,
     "op6_probminhash_near_copies": op6_probminhash_near_copies,
