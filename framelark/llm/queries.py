@@ -72,6 +72,12 @@ def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
     return maxent.scores(table(spark, sf, "documents"), fold("doc_id", 5) == 1)
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pivotal_mixing": op1_pivotal_mixing,
     "op2_bin_slack_packing": op2_bin_slack_packing,
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_hashed_maxent_scores": op8_hashed_maxent_scores,
     "op9_subword_toxicity": op9_subword_toxicity,
     "op10_weighted_sampling_fingerprints": op10_weighted_sampling_fingerprints,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op4_licence_digests": licences.scan_sql(),
