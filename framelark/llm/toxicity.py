@@ -7,7 +7,8 @@ away.
 
 Only documents are labelled. Stretches of clean ones are clean; those of toxic ones start as toxic, and after each
 round the ones that the model finds clean are left out, so that what is common to all texts stops counting. Last, two
-numbers are fitted on whole documents that turn the largest stretch score into a probability.
+numbers are fitted that turn the largest stretch score into a probability, on whole documents that were set aside, with
+each class as heavy as it is among all labels.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from framelark.llm.common import chunks_of
 
 BITS = 17
 SIZES = (3, 4, 5)
-SEGMENT_WORDS = 12
+SEGMENT_WORDS = 6
 DIMENSIONS = 8
 BATCH_BYTES = 2_000_000
+#: One in so many of the sampled documents is set aside for the probabilities.
+ASIDE = 5
 
 
 def segments(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +71,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.largest(texts) + self.shift, -30, 30)))
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 3, epochs: int = 3) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 2, epochs: int = 2) -> tuple[np.ndarray, float]:
     """(weight of each n-gram, bias) by mini-batch gradients with per-parameter step sizes (Adagrad)."""
     rng = np.random.default_rng(seed)
     width = 1 << BITS
@@ -114,13 +117,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 3,
     return (embed @ (out[:, 1] - out[:, 0])).astype(np.float64), float(bias[1] - bias[0])
 
 
-def calibrated(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, by Newton steps with a small ridge."""
+def calibrated(odds: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic curve for weighted rows, by Newton steps with a small ridge."""
     x, w = np.stack([odds, np.ones_like(odds)], 1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         ridge = np.array([1e-2, 1e-2])
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - labels) + ridge * (w - [1, 0]))
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(curve, x.T @ (weight * (p - labels)) + ridge * (w - [1, 0]))
         w = w - np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-9:
             break
@@ -136,22 +140,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> ToxicityModel
     """
     labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id")
     labelled = labelled.agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic")).withColumnRenamed("doc_id", "_id")
+    of_class = {r["_toxic"]: r["count"] for r in labelled.groupBy("_toxic").count().collect()}
     by_hash = F.xxhash64("_id")
     some = [labelled.filter(F.col("_toxic") == k).orderBy(by_hash, "_id").limit(sample) for k in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))
     rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
-    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), "_toxic").repartition(1)
+    aside = F.pmod(by_hash, F.lit(ASIDE)) == 0
+    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), "_toxic", aside.alias("_aside")).repartition(1)
 
     def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat([*batches, pd.DataFrame({"text": [], "_toxic": []})])
+        pdf = pd.concat([*batches, pd.DataFrame({"text": [], "_toxic": [], "_aside": []})])
         pdf = pdf.sort_values(["_toxic", "text"], kind="stable")
-        texts, y = pdf["text"].tolist(), pdf["_toxic"].to_numpy("int64")
+        texts, y, aside = pdf["text"].tolist(), pdf["_toxic"].to_numpy("int64"), pdf["_aside"].to_numpy(bool)
+        weights, bias, slope, shift = np.zeros(1 << BITS), -5.0, 1.0, 0.0
         if 0 < y.sum() < len(y):
-            weights, bias = train(texts, y)
-            odds = ToxicityModel(weights, bias).largest(texts)
-            slope, shift = calibrated(odds, y)
-        else:
-            weights, bias, slope, shift = np.zeros(1 << BITS), -5.0, 1.0, 0.0
+            # Few labels are all learned from, and set aside as well.
+            if min(y[aside].sum(), (1 - y[aside]).sum()) < 20:
+                known = used = np.ones(len(y), bool)
+            else:
+                known, used = ~aside, aside
+            weights, bias = train([t for t, k in zip(texts, known) if k], y[known])
+            odds, marked = ToxicityModel(weights, bias).largest([t for t, k in zip(texts, used) if k]), y[used]
+            heavy = np.array([of_class[k] / (marked == k).sum() for k in (0, 1)])
+            slope, shift = calibrated(odds, marked, heavy[marked] * len(marked) / sum(of_class.values()))
         yield pd.DataFrame({"w": [weights.astype("<f4").tobytes()], "bias": bias, "slope": slope, "shift": shift})
 
     found = rows.mapInPandas(learned, "w binary, bias double, slope double, shift double").first()
