@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from framelark.operators.dedup import last_per_key
+from framelark.operators.pending import rejected_records
 from framelark.operators.scoring import Generate, score, scoring_input
 from framelark.schemas import BATCH_SIZE, INFERENCE_MANIFEST, RESULT
 from framelark.sources.jsonl import LINE_ORDER, line_columns, numbered_lines, parse_strict
+from framelark.streaming.merge import checkpoint_token
 
-SCORED_SCHEMA = f"{RESULT}, batch bigint"
+SCORED_SCHEMA = f"{RESULT}, run string, batch bigint"
 
 
-def read_scored(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Results written so far; ``before`` leaves out a batch that is being written and all later ones."""
-    scored = spark.read.schema(SCORED_SCHEMA).parquet(path)
-    return scored if before is None else scored.filter(F.col("batch") < before)
+def read_scored(spark: SparkSession, path: str) -> DataFrame:
+    """Results written so far, by all checkpoints."""
+    return spark.read.schema(SCORED_SCHEMA).parquet(path)
 
 
 def score_manifest_stream(
@@ -32,29 +33,37 @@ def score_manifest_stream(
     load_image: Callable[[str], Any],
     model_name: str,
     batch_size: int = BATCH_SIZE,
-    files_per_batch: int = 1,
+    files_per_batch: int = 100,
     partitions: int | None = None,
     pattern: str = "*.jsonl",
+    retry_errors: bool = False,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Score the manifest files present, file by file; results are committed per micro-batch.
+    """Score the manifest files present, ``files_per_batch`` at a time; results are committed per micro-batch.
 
-    Records whose id already has a result are skipped. A batch that is repeated after a failure ignores and replaces
-    its own earlier results. Batches are told apart by the numbers the checkpoint keeps, so a results folder belongs to
-    one checkpoint.
+    Records whose id already has a result are skipped, whichever checkpoint made it; with ``retry_errors``, only those
+    with an answer. A batch that is repeated after a failure ignores and replaces its own earlier results: its folder is
+    named by the checkpoint's token and the number of the batch, so no other checkpoint's results are touched. Records
+    without an id are written to ``rejects_path``, if there is one, and not scored. Each batch reads the ids of all
+    results, so make batches large.
     """
     empty = spark.createDataFrame([], RESULT)
     # The folder has to exist before the first batch reads it.
-    empty.write.mode("overwrite").parquet(f"{results_path}/batch=-1")
+    empty.write.mode("overwrite").parquet(f"{results_path}/run=none/batch=-1")
+    token = checkpoint_token(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        wanted = parse_strict(numbered_lines(batch), INFERENCE_MANIFEST).filter(F.col("id").isNotNull())
-        wanted = last_per_key(wanted, ["id"], LINE_ORDER)
-        done = read_scored(batch.sparkSession, results_path, before=batch_id).select("id").distinct()
-        pending = wanted.join(done, "id", "left_anti")
+        records = parse_strict(numbered_lines(batch), INFERENCE_MANIFEST)
+        if rejects_path is not None:
+            rejected_records(records).write.mode("overwrite").parquet(f"{rejects_path}/run={token}/batch={batch_id}")
+        wanted = last_per_key(records.filter(F.col("id").isNotNull()), ["id"], LINE_ORDER)
+        done = read_scored(batch.sparkSession, results_path).filter((F.col("run") != token) | (F.col("batch") < batch_id))
+        done = done.filter(F.col("error").isNull()) if retry_errors else done
+        pending = wanted.join(done.select("id").distinct(), "id", "left_anti")
         scored = score(
             scoring_input(pending), model_factory, load_image, model_name, batch_size, partitions=partitions
         )
-        scored.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+        scored.write.mode("overwrite").parquet(f"{results_path}/run={token}/batch={batch_id}")
 
     reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     lines = reader.option("maxFilesPerTrigger", files_per_batch).text(manifest_path).select(*line_columns())

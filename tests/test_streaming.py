@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from framelark.plans import results
 from framelark.sources import read_lines
 from framelark.sources.jsonl import LINE_ORDER
@@ -32,10 +34,13 @@ def test_files_in_two_steps_merge_as_one_batch(spark, tmp_path):
 
     compacted = str(tmp_path / "compact")
     compact_log(spark, compacted, log)
-    again = sorted((r.id, r.raw) for r in merged_log(spark, compacted).collect())
-    assert again == [(i, raw) for i, raw, _ in found]
-    both = sorted((r.id, r.raw) for r in merged_log(spark, compacted, log).collect())
-    assert both == again
+    shown = lambda log: sorted(merged_log(spark, log).select("id", "raw", "first_seen", "last_seen", "n_records").collect())
+    assert shown(compacted) == shown(log) and len(shown(log)) == len(found)
+    # Compacting again, with the log that came after, adds the numbers up.
+    compact_log(spark, str(tmp_path / "twice"), compacted)
+    assert shown(str(tmp_path / "twice")) == shown(log)
+    with pytest.raises(ValueError, match="written over"):
+        compact_log(spark, log, compacted, log)
     assert spark.read.parquet(compacted).filter("is_error").count() == 1
 
 
@@ -69,8 +74,8 @@ def test_scoring_goes_on_where_it_stopped(spark, tmp_path):
     assert run("third") == expected and read_scored(spark, out).count() == 3
 
 
-def test_a_repeated_batch_replaces_its_own_results(spark, tmp_path):
-    """The checkpoint of a batch is lost after its results were written: it runs again, and nothing is doubled."""
+def test_another_checkpoint_neither_loses_nor_repeats(spark, tmp_path):
+    """A new checkpoint begins with batch 0 again: what is stored stays, and is not scored a second time."""
     source, out = tmp_path / "in", str(tmp_path / "out")
     drop(source, "part-0.jsonl", [{"id": i, "prompt": "p"} for i in range(4)])
 
@@ -80,3 +85,20 @@ def test_a_repeated_batch_replaces_its_own_results(spark, tmp_path):
     for attempt in ("one", "two"):
         score_manifest_stream(spark, str(source), out, str(tmp_path / attempt), make, str, "m").awaitTermination()
     assert read_scored(spark, out).count() == 4
+
+    drop(tmp_path / "new", "part-0.jsonl", [{"id": 3, "prompt": "p"}, {"id": 7, "prompt": "p"}, {"prompt": "no id"}])
+    rejects = str(tmp_path / "rejects")
+    score_manifest_stream(
+        spark, str(tmp_path / "new"), out, str(tmp_path / "three"), make, str, "m", rejects_path=rejects
+    ).awaitTermination()
+    assert sorted(r.id for r in read_scored(spark, out).collect()) == ["0", "1", "2", "3", "7"]
+    assert spark.read.parquet(rejects).count() == 1
+
+
+def test_a_new_checkpoint_keeps_the_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for n, ids in enumerate(([1, 2], [3])):
+        source = tmp_path / f"in{n}"
+        drop(source, "shard-0.jsonl", [{"id": i, "output": "o"} for i in ids])
+        append_log(stream_lines(spark, str(source)), log, str(tmp_path / f"cp{n}")).awaitTermination()
+    assert sorted(r.id for r in merged_log(spark, log).collect()) == ["1", "2", "3"]
