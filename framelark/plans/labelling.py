@@ -13,15 +13,18 @@ from framelark.operators.scoring import Generate, score
 from framelark.plans.frames import probes_of
 from framelark.plans.results import result_records
 from framelark.schemas import VIDEO_PROMPT
+from framelark.session import staged
 
 PROBE_SEPARATOR = "#"
+FRAME_FIELDS = ["num_frames", "frame_size", "sampling", "sampling_config_hash"]
 
 
-def video_records(frames: DataFrame, prompt: str = VIDEO_PROMPT) -> DataFrame:
-    """Scoring input with one record per video: its frames, tagged in time order, and the prompt."""
+def video_records(frames: DataFrame, prompt: str = VIDEO_PROMPT, carry: list[str] | None = None) -> DataFrame:
+    """Scoring input with one record per video: its frames, tagged in time order, the prompt, and columns to carry."""
     messages = chat_messages(video_prompt(F.size("frames"), F.lit(prompt)))
     return frames.select(
-        F.col("video_id").alias("id"), F.lit(prompt).alias("prompt"), F.col("frames").alias("images"), messages.alias("messages")
+        F.col("video_id").alias("id"), F.lit(prompt).alias("prompt"), F.col("frames").alias("images"), messages.alias("messages"),
+        *(carry or []),
     )
 
 
@@ -64,10 +67,13 @@ def labelled_videos(
 ) -> tuple[DataFrame, DataFrame]:
     """Result records with provenance for the videos that were answered, and the records of those that failed.
 
-    Both come from one scoring; store it first where scoring twice would cost too much.
+    Every video is scored once: the scores are written to the shared folder before this returns, and both results are
+    read from there.
     """
-    scored = score(video_records(frames, prompt), model_factory, load_image, model, **options)
-    described = frames.select("video_id", "num_frames", "frame_size", "sampling", "sampling_config_hash")
-    answers = scored.filter(F.col("error").isNull()).select(F.col("id").alias("video_id"), "prompt", F.col("output").alias("answer"))
+    records = video_records(frames, prompt, FRAME_FIELDS)
+    scored = staged(score(records, model_factory, load_image, model, carry=FRAME_FIELDS, **options), "scored")
+    answers = scored.filter(F.col("error").isNull()).select(
+        F.col("id").alias("video_id"), "prompt", F.col("output").alias("answer"), *FRAME_FIELDS
+    )
     failed = scored.filter(F.col("error").isNotNull()).select("id", "prompt", "error")
-    return result_records(answers.join(described, "video_id"), model, created_at=created_at), failed
+    return result_records(answers, model, created_at=created_at), failed
