@@ -30,7 +30,14 @@ def only_element(column: str) -> Column:
 def with_json_fields(df: DataFrame, raw: str, name: str = "fields") -> DataFrame:
     """Add the fields of a JSON object as a map of text; null where the text is not exactly one object.
 
-    A key whose value is null is in the map; nested values are JSON text.
+    A key whose value is null is in the map; nested values are JSON text. Of a key that occurs twice the last one counts.
     """
     parsed = df.withColumn("_parsed", parsed_once(raw, "map<string, string>"))
-    return parsed.withColumn(name, only_element("_parsed")).drop("_parsed")
+    found = only_element("_parsed")
+    # Only an object that repeats a key is made anew: lookups in a map find the first entry.
+    repeats = F.size(F.array_distinct(F.map_keys(found))) < F.size(found)
+    last = F.filter(
+        F.map_entries(found),
+        lambda e, i: ~F.array_contains(F.slice(F.map_keys(found), i + 2, F.size(found)), e["key"]),
+    )
+    return parsed.withColumn(name, once(F.when(repeats, F.map_from_entries(last)).otherwise(found))).drop("_parsed")

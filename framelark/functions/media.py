@@ -33,7 +33,9 @@ def frame_times(duration: ColumnOrName, n: int = N_FRAMES) -> Column:
 
 def frame_interval(duration: ColumnOrName, n: int = N_FRAMES) -> Column:
     """Seconds between frames as text with one decimal."""
-    tenths = F.call_function("div", _col(duration).cast("bigint") * 10 + F.lit(n // 2), F.lit(n))
+    # In thousandths of a second, so that a fraction of a second counts.
+    milli = (_col(duration).cast("decimal(20,3)") * 1000).cast("bigint")
+    tenths = F.call_function("div", milli + F.lit(50 * n), F.lit(100 * n))
     whole = F.call_function("div", tenths, F.lit(10))
     return F.concat(whole.cast("string"), F.lit("."), (tenths % 10).cast("string"))
 

@@ -37,7 +37,8 @@ def validated(answers: DataFrame, answer: str = "answer") -> DataFrame:
         "ok_actions": F.size(label["actions"]) <= MAX_ACTIONS,
         "ok_objects": (F.size(label["objects"]) <= MAX_OBJECTS)
         & (F.size(F.array_distinct(label["objects"])) == F.size(label["objects"])),
-        "ok_qa": (n_qa == QA_PAIRS) | ((n_qa == 0) & (label["confidence"] == "low")),
+        "ok_qa": (n_qa == QA_PAIRS)
+        | ((n_qa == 0) & (F.size(label["actions"]) == 0) & (label["confidence"] == "low")),
         "ok_qa_fields": F.forall(label["qa"], lambda p: p["q"].isNotNull() & p["a"].isNotNull()),
         "ok_confidence": label["confidence"].isin(*CONFIDENCE_LEVELS),
     }

@@ -1,8 +1,8 @@
 """Global order without a single-task window, and windows over groups too large for one task.
 
-``df.orderBy(...)`` range-partitions rows evenly whatever the keys look like. Written to a table, each sorted
-partition is one file, so a row's place is (file number, row in file), and only one small row per file has to be
-looked at to turn that into a global number.
+``df.orderBy(...)`` range-partitions rows evenly whatever the keys look like. A row's place is (sorted partition, row in
+it), written down with the row, and only one small row per partition has to be looked at to turn that into a global
+number.
 """
 
 from __future__ import annotations
@@ -50,11 +50,11 @@ def by_group_size(
 
 
 def _sorted_files(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
-    """Rows in global order as a written table, with ``_part`` (file number) and ``_pos`` (row in file)."""
-    table = staged(df.orderBy(*order_by), "sorted")
-    # Spark names the files part-00000-<uuid>..., numbered by task.
-    number = F.split_part(F.col("_metadata.file_name"), F.lit("-"), F.lit(2)).cast("int")
-    return table.select("*", number.alias("_part"), F.col("_metadata.row_index").alias("_pos"))
+    """Rows in global order as a written table, with ``_part`` (sorted partition) and ``_pos`` (row in it)."""
+    # The id holds the number of the sorted partition in its upper bits and that of the row in it in the lower 33.
+    table = staged(df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()), "sorted")
+    part, pos = F.shiftright("_place", 33).cast("int"), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return table.select(*df.columns, part.alias("_part"), pos.alias("_pos"))
 
 
 def _index_sorted(rows: DataFrame, within: list[str], name: str, few_groups: bool = True) -> DataFrame:

@@ -20,23 +20,28 @@ def resume_pending(
     order_by: list[str | Column] | None = None,
     retry_errors: bool = False,
 ) -> DataFrame:
-    """Manifest records without a result yet.
+    """Manifest records without a result yet. Records without an id are in ``rejected_records``.
 
     With ``order_by``, records sharing an id are first reduced to the last of them; that also leaves unique keys
     on both sides of the join, which then needs no further shuffle.
     """
-    wanted = last_per_key(manifest, ["id"], order_by) if order_by else manifest
+    named = manifest.filter(F.col("id").isNotNull())
+    wanted = last_per_key(named, ["id"], order_by) if order_by else named
     return wanted.join(done_ids(log, retry_errors), "id", "left_anti")
 
 
+def rejected_records(manifest: DataFrame) -> DataFrame:
+    """Manifest records without an id, all of them: a result could not be told to be theirs."""
+    return manifest.filter(F.col("id").isNull())
+
+
 def ingest_pending(
     candidates: DataFrame, ingested: DataFrame | None = None, done_shards: DataFrame | None = None
 ) -> DataFrame:
     """Candidates whose shard is not marked done and whose video is not stored yet."""
     left = candidates
     if done_shards is not None:
-        # One number per source file, fewer than the driver lists to plan the scan; candidates of a shard stay spread.
-        left = left.join(F.broadcast(done_shards.select("shard").distinct()), "shard", "left_anti")
+        left = left.join(done_shards.select("shard").distinct(), "shard", "left_anti")
     if ingested is not None:
         left = left.join(ingested.select("video_id").distinct(), "video_id", "left_anti")
     return left
@@ -55,17 +60,22 @@ def cache_pending(requested: DataFrame, cached: DataFrame) -> DataFrame:
 
 
 def reconcile_counts(wanted: DataFrame, made: DataFrame, key: str = "id") -> DataFrame:
-    """Record counts on both sides, and how many ids only one of them has.
+    """Record counts on both sides, how many ids only one of them has, and how many records have no id.
 
-    Each side is counted per id first, so the full join meets unique keys.
+    Each side is counted per id first, so the full join meets unique keys. A null id is neither missing nor unexpected.
     """
-    left = wanted.groupBy(key).agg(F.count(F.lit(1)).alias("_in"))
-    right = made.groupBy(key).agg(F.count(F.lit(1)).alias("_out"))
-    both = left.join(right, key, "full")
+    left = wanted.groupBy(F.col(key).alias("_wanted")).agg(F.count(F.lit(1)).alias("_in"))
+    right = made.groupBy(F.col(key).alias("_made")).agg(F.count(F.lit(1)).alias("_out"))
+    both = left.join(right, F.col("_wanted").eqNullSafe(F.col("_made")), "full").select(
+        F.coalesce("_wanted", "_made").isNotNull().alias("_named"), "_in", "_out"
+    )
+    named = F.col("_named")
     return both.agg(
         F.coalesce(F.sum("_in"), F.lit(0)).alias("n_in"),
         F.coalesce(F.sum("_out"), F.lit(0)).alias("n_out"),
-        F.count_if(F.col("_out").isNull()).alias("ids_missing"),
-        F.count_if(F.col("_in").isNull()).alias("ids_unexpected"),
-        F.count_if(F.col("_in").isNotNull() & F.col("_out").isNotNull()).alias("ids_matched"),
+        F.count_if(named & F.col("_out").isNull()).alias("ids_missing"),
+        F.count_if(named & F.col("_in").isNull()).alias("ids_unexpected"),
+        F.count_if(named & F.col("_in").isNotNull() & F.col("_out").isNotNull()).alias("ids_matched"),
+        F.coalesce(F.sum(F.when(~named, F.col("_in"))), F.lit(0)).alias("n_in_without_id"),
+        F.coalesce(F.sum(F.when(~named, F.col("_out"))), F.lit(0)).alias("n_out_without_id"),
     )

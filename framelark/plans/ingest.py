@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelark.functions import file_stem, media_key, metadata_key, safe_id
+from framelark.functions import media_key, metadata_key, safe_id
 from framelark.operators.dedup import first_per_key
-from framelark.operators.layout import MAX_GROUP_ROWS, with_row_index
 from framelark.operators.pending import ingest_pending
 
 # A million ids and places are some tens of megabytes.
@@ -51,19 +50,19 @@ def preview(shards: DataFrame, n: int = 5) -> DataFrame:
     return nested_fields(shards).orderBy("shard", "row_pos").limit(n)
 
 
-def identified(shards: DataFrame, category: str, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Rows of a category with their id; of rows that share an id, the first."""
+def identified(shards: DataFrame, category: str) -> DataFrame:
+    """Rows of a category with their id; of rows that share an id, the first.
+
+    Rows are numbered within their shard, which is one file, for those without a usable name.
+    """
     narrow = in_category(shards, category).select(
         "shard",
         "row_pos",
         F.col("json.original_video_filename").alias("file_name"),
         *[F.col(f"json.{source}").alias(name) for name, source in FIELDS.items()],
     )
-    # Only a file without a usable name is named by its number, and numbering shuffles; so look for one first.
-    if narrow.filter(file_stem("file_name") == "").isEmpty():
-        numbered = narrow.withColumn("row_in_shard", F.lit(None).cast("bigint"))
-    else:
-        numbered = with_row_index(narrow, ["row_pos"], ["shard"], "row_in_shard", max_group_rows)
+    in_shard = Window.partitionBy("shard").orderBy("row_pos")
+    numbered = narrow.withColumn("row_in_shard", (F.row_number().over(in_shard) - 1).cast("bigint"))
     named = numbered.withColumn("video_id", safe_id("file_name", "shard", "row_in_shard"))
     return first_per_key(named, ["video_id"], ["shard", "row_pos"])
 
@@ -77,9 +76,10 @@ def build_manifest(
 ) -> DataFrame:
     """Manifest entries of a category, with the shard and row each came from.
 
-    Media bytes are not read. ``ingested`` and ``done_shards`` restrict it to what is new.
+    Media bytes are not read. ``ingested`` and ``done_shards`` restrict it to what is new. Done shards are left out before
+    the first row of an id is looked for: a name that a done shard has too, but did not store, is taken from its new shard.
     """
-    rows = ingest_pending(identified(shards, category), ingested, done_shards)
+    rows = ingest_pending(identified(ingest_pending(shards, None, done_shards), category), ingested)
     entry = rows.withColumns(
         {
             "category": F.lit(category),

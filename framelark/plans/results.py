@@ -55,15 +55,27 @@ def rejected(log: DataFrame) -> DataFrame:
 
 
 def counts(log: DataFrame, file: str = "file", n_files: int | None = None) -> DataFrame:
-    """One row: shard files, ids with an ok line, error lines, ok lines without an id."""
+    """One row: shard files, ids with an ok line, error lines, ok lines without an id.
+
+    Lines are counted per id first, so no line is handled once for each distinct count. ``n_files`` is the listing's
+    number; without it, files with at least one well-formed line are counted.
+    """
     ok = ~F.col("is_error")
-    files = F.lit(n_files).cast("bigint") if n_files is not None else F.count_distinct(file)
-    return log.agg(
-        files.alias("n_files"),
-        F.count_distinct(F.when(ok, F.col("id"))).alias("n_ok"),
-        F.count_if("is_error").alias("n_errors"),
-        F.count_if(ok & F.col("id").isNull()).alias("n_rejected"),
+    per_id = log.groupBy("id").agg(F.count_if(ok).alias("_ok"), F.count_if("is_error").alias("_errors"))
+    named = F.col("id").isNotNull()
+    lines = per_id.agg(
+        F.lit(n_files or 0).cast("bigint").alias("n_files"),
+        F.count_if(named & (F.col("_ok") > 0)).alias("n_ok"),
+        F.coalesce(F.sum("_errors"), F.lit(0)).alias("n_errors"),
+        F.coalesce(F.sum(F.when(~named, F.col("_ok"))), F.lit(0)).alias("n_rejected"),
+    )
+    if n_files is not None:
+        return lines
+    none = F.lit(0).cast("bigint")
+    files = log.select(file).distinct().agg(
+        F.count(F.col(file)).alias("n_files"), none.alias("n_ok"), none.alias("n_errors"), none.alias("n_rejected")
     )
+    return lines.unionByName(files).agg(*(F.sum(c).alias(c) for c in lines.columns))
 
 
 def in_output_order(train: DataFrame) -> DataFrame:

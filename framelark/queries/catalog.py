@@ -18,7 +18,8 @@ from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
 from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
 from framelark.session import new_path
-from framelark.sources.jsonl import parse_strict
+from framelark.sources import read_lines
+from framelark.sources.jsonl import LINE_ORDER, parse_strict
 from framelark.streaming import append_log, compact_log, merged_log, read_scored, score_manifest_stream, stream_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,13 +66,17 @@ def merge_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
-    left = pending.resume_pending(fx.inference_records(spark, sf), fx.result_log(spark, sf), ["doc_id"])
+    left = pending.resume_pending(fx.some_unnamed(spark, sf), fx.result_log(spark, sf), ["doc_id"])
     return left.select("id", "prompt", "image")
 
 
+def manifest_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return pending.rejected_records(fx.some_unnamed(spark, sf)).select("doc_id", "prompt", "image")
+
+
 def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     train = results.merged(fx.result_log(spark, sf), fx.RESULT_ORDER)
-    return pending.reconcile_counts(fx.inference_records(spark, sf), train)
+    return pending.reconcile_counts(fx.some_unnamed(spark, sf), train)
 
 
 def run_throughput(spark: SparkSession, sf: str) -> DataFrame:
@@ -419,6 +424,15 @@ def _stream_log(spark: SparkSession, sf: str) -> str:
     return log
 
 
+def merge_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Log files are read, merged, written and read again."""
+    out = new_path(spark, "merged")
+    log = results.classified(read_lines(spark, _write_log_files(spark, sf), "*.txt"))
+    sinks.write_merge(log, LINE_ORDER, out)
+    again = results.classified(read_lines(spark, f"{out}/train.jsonl", "*.txt"))
+    return again.select("id", "raw")
+
+
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merged_log(spark, _stream_log(spark, sf)).select("id", "raw", "n_records")
 
@@ -445,7 +459,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         jsonl_scan_lenient, manifest_scan_strict, merge_train, merge_errors, merge_rejects, merge_counts,
-        resume_pending, reconcile_counts, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
+        resume_pending, manifest_rejects, reconcile_counts, merge_round_trip, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,

@@ -122,6 +122,11 @@ def label_results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def some_unnamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Inference records of which every seventh has no id."""
+    return inference_records(spark, sf).withColumn("id", F.when(F.col("doc_id") % 7 != 3, F.col("id")))
+
+
 def label_answers(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as label JSON that keeps or breaks each rule of the schema; some fenced, some cut off."""
     n = F.col("n_chars")
@@ -134,7 +139,7 @@ def label_answers(spark: SparkSession, sf: str) -> DataFrame:
     objects = F.when(n % 5 == 0, F.array("lang", "source", "lang")).otherwise(F.array("lang", "source"))
     label = F.struct(
         F.col("source").alias("scene"),
-        F.split("text", "\n").alias("actions"),
+        F.when(n % 8 == 0, F.array().cast("array<string>")).otherwise(F.split("text", "\n")).alias("actions"),
         objects.alias("objects"),
         F.lit("static").alias("camera"),
         F.col("text").alias("summary"),

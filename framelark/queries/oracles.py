@@ -49,6 +49,7 @@ PARTS = {
               lambda i: 's3://media/clips/' || doc_id || '/frame_' || lpad(CAST(i AS VARCHAR), 3, '0') || '.jpg')
             WHEN 3 THEN CAST([] AS VARCHAR[]) END AS images
         FROM documents""",
+    "some_unnamed": "SELECT * REPLACE (CASE WHEN doc_id % 7 <> 3 THEN id END AS id) FROM records",
     "listed": r"""
         SELECT *, CASE WHEN len(coalesce(images, [])) > 0 THEN images WHEN coalesce(image, '') <> '' THEN [image]
           ELSE CAST([] AS VARCHAR[]) END AS refs,
@@ -71,8 +72,8 @@ PARTS = {
         FROM label_results""",
     "label_rules": r"""
         SELECT doc_id, lang, (n_chars % 11 <> 0 AND n_chars % 13 <> 0) AS ok_json,
-          n_chars % 11 <> 0 AND NOT contains(text, '```') AS ok_no_fence, len(string_split(text, chr(10))) <= 5 AS few_actions, n_chars % 5 <> 0 AS distinct_objects,
-          n_chars % 4 IN (1, 2) OR (n_chars % 4 = 0 AND n_chars % 3 = 0) AS good_qa, n_chars % 3 < 2 AS good_confidence
+          n_chars % 11 <> 0 AND NOT contains(text, '```') AS ok_no_fence, n_chars % 8 = 0 OR len(string_split(text, chr(10))) <= 5 AS few_actions, n_chars % 5 <> 0 AS distinct_objects,
+          n_chars % 4 IN (1, 2) OR (n_chars % 8 = 0 AND n_chars % 3 = 0) AS good_qa, n_chars % 3 < 2 AS good_confidence
         FROM documents""",
     "label_checks": r"""
         SELECT doc_id, lang, ok_json, ok_no_fence, ok_json AS ok_text, ok_json AND few_actions AS ok_actions,
@@ -96,6 +97,7 @@ NEEDS = {
     "manifest": ["shard_rows"],
     "frames": ["manifest"],
     "listed": ["records"],
+    "some_unnamed": ["records"],
     "scored": ["listed"],
     "keyed": ["label_results"],
     "label_checks": ["label_rules"],
@@ -163,17 +165,19 @@ BODIES: dict[str, tuple[str, list[str]]] = {
         ["log"],
     ),
     "resume_pending": (
-        """SELECT id, prompt, image FROM records
-           WHERE id NOT IN (SELECT id FROM log WHERE id IS NOT NULL)""",
-        ["records", "log"],
+        """SELECT id, prompt, image FROM some_unnamed
+           WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM log WHERE id IS NOT NULL)""",
+        ["some_unnamed", "log"],
     ),
     "reconcile_counts": (
-        """SELECT CAST(count(r.id) AS BIGINT) AS n_in, CAST(count(t.id) AS BIGINT) AS n_out,
+        """SELECT CAST(count(r.id) + (SELECT count(*) FROM some_unnamed WHERE id IS NULL) AS BIGINT) AS n_in, CAST(count(t.id) AS BIGINT) AS n_out,
              count(*) FILTER (t.id IS NULL) AS ids_missing, count(*) FILTER (r.id IS NULL) AS ids_unexpected,
-             count(*) FILTER (r.id IS NOT NULL AND t.id IS NOT NULL) AS ids_matched
-           FROM records r FULL JOIN train t ON r.id = t.id""",
-        ["records", "train"],
+             count(*) FILTER (r.id IS NOT NULL AND t.id IS NOT NULL) AS ids_matched,
+             (SELECT count(*) FROM some_unnamed WHERE id IS NULL) AS n_in_without_id, CAST(0 AS BIGINT) AS n_out_without_id
+           FROM (SELECT id FROM some_unnamed WHERE id IS NOT NULL) r FULL JOIN train t ON r.id = t.id""",
+        ["some_unnamed", "train"],
     ),
+    "manifest_rejects": ("SELECT doc_id, prompt, image FROM some_unnamed WHERE id IS NULL", ["some_unnamed"]),
     "run_throughput": (
         """SELECT event_type AS prompt, count(*) AS processed,
              date_diff('microsecond', min(ts), max(ts)) / 1000000.0::DOUBLE AS elapsed,
@@ -417,8 +421,9 @@ BODIES: dict[str, tuple[str, list[str]]] = {
              QUALIFY row_number() OVER (PARTITION BY a.conv_id ORDER BY a.turn DESC) = 1) l ON l.video_id = m.video_id""",
         ["manifest", "frames"],
     ),
+    "merge_round_trip": ("SELECT id, raw FROM train", ["train"]),
     "stream_merge": _STREAMED,
-    "stream_compact": ("SELECT id, raw, CAST(1 AS BIGINT) AS n_records FROM train", ["train"]),
+    "stream_compact": _STREAMED,
 }
 
 

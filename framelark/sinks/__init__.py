@@ -1,6 +1,7 @@
 from framelark.sinks.tables import (
     current_results,
     export_objects,
+    mark_done,
     write_frames,
     write_jsonl,
     write_media,
@@ -11,6 +12,6 @@ from framelark.sinks.tables import (
 )
 
 __all__ = [
-    "current_results", "export_objects", "write_frames", "write_jsonl", "write_media", "write_merge",
+    "current_results", "export_objects", "mark_done", "write_frames", "write_jsonl", "write_media", "write_merge",
     "write_shard_log", "write_single_results", "write_summary",
 ]

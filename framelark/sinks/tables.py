@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelark.operators.dedup import last_per_key
+from framelark.plans.results import errors, in_output_order, merged
+from framelark.session import staged
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -68,7 +70,17 @@ def write_frames(frames: DataFrame, path: str) -> None:
     frames.select(F.to_json(F.struct(*frames.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_merge(train: DataFrame, errors: DataFrame, path: str) -> None:
-    """The merged train and error records as raw lines. Both are replaced, so no stale errors are left behind."""
-    train.select("raw").write.mode("overwrite").text(f"{path}/train.jsonl")
-    errors.select("raw").write.mode("overwrite").text(f"{path}/errors.jsonl")
+def write_merge(log: DataFrame, order_by: list[str], path: str) -> None:
+    """The merged train records, in the order their ids were first seen, and all error records, as raw lines.
+
+    The classified log is parsed once and stored, and both are made from that. Both are replaced, so no stale errors are
+    left behind.
+    """
+    log = staged(log.select("raw", "id", "is_error", *order_by), "log")
+    in_output_order(merged(log, order_by)).select("raw").write.mode("overwrite").text(f"{path}/train.jsonl")
+    errors(log).orderBy(*order_by).select("raw").write.mode("overwrite").text(f"{path}/errors.jsonl")
+
+
+def mark_done(shards: DataFrame, path: str) -> None:
+    """Add shards, one row each, to the table of those that need not be read again."""
+    shards.select("shard").distinct().write.mode("append").parquet(path)

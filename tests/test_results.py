@@ -125,13 +125,13 @@ def test_merging_a_merge_changes_nothing(spark, shards, tmp_path):
     log = log_of(spark, shards)
     out = str(tmp_path / "out")
     train = results.in_output_order(results.merged(log, LINE_ORDER))
-    write_merge(train, results.errors(log), out)
+    write_merge(log, LINE_ORDER, out)
     again = results.merged(results.classified(read_lines(spark, f"{out}/train.jsonl", "*.txt")), LINE_ORDER)
     first = [(r.id, r.raw) for r in train.collect()]
     assert [(r.id, r.raw) for r in results.in_output_order(again).collect()] == first
     assert read_lines(spark, f"{out}/errors.jsonl", "*.txt").count() == results.errors(log).count()
     # A later merge without errors leaves no old ones behind.
-    write_merge(train, results.errors(log).limit(0), out)
+    write_merge(log.filter("not is_error"), LINE_ORDER, out)
     assert read_lines(spark, f"{out}/errors.jsonl", "*.txt").count() == 0
 
 
@@ -169,7 +169,9 @@ def test_resume(spark):
 def test_reconcile(spark):
     wanted = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "id string")
     made = spark.createDataFrame([("b",), ("c",), ("x",)], "id string")
-    assert tuple(reconcile_counts(wanted, made).first()) == (4, 3, 1, 1, 2)
+    assert tuple(reconcile_counts(wanted, made).first()) == (4, 3, 1, 1, 2, 0, 0)
+    unnamed = spark.createDataFrame([(None,), (None,), ("a",)], "id string")
+    assert tuple(reconcile_counts(unnamed, unnamed.limit(3)).first()) == (3, 3, 0, 0, 1, 2, 2)
 
 
 def test_compressed_files_keep_their_order(spark, tmp_path):
@@ -186,5 +188,5 @@ def test_an_empty_folder_merges_to_nothing(spark, tmp_path):
     log = log_of(spark, str(tmp_path / "shards"))
     train = results.merged(log, LINE_ORDER)
     assert train.count() == 0 and tuple(results.counts(log).first()) == (0, 0, 0, 0)
-    write_merge(train, results.errors(log), str(tmp_path / "out"))
+    write_merge(log, LINE_ORDER, str(tmp_path / "out"))
     assert (tmp_path / "out" / "train.jsonl" / "_SUCCESS").exists()
