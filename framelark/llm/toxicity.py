@@ -58,17 +58,21 @@ class ToxicityModel:
     shift: float = 0.0
 
     def largest(self, texts: list[str | None]) -> np.ndarray:
-        """The largest log-odds of each text's stretches; that of an empty stretch if there are none."""
+        """The largest log-odds of each text's stretches; minus infinity for a text without any n-gram."""
         out = np.full(len(texts), -np.inf)
         owner, segment, code = segments(texts)
         if len(code):
             total = np.bincount(segment, weights=self.weights[code], minlength=len(owner))
             mean = total / np.bincount(segment, minlength=len(owner))
             np.maximum.at(out, owner, mean + self.bias)
-        return np.where(np.isfinite(out), out, self.bias)
+        return out
 
     def probability(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.largest(texts) + self.shift, -30, 30)))
+        """Nothing speaks for a text without n-grams: its score is 0."""
+        odds = self.largest(texts)
+        known = np.isfinite(odds)
+        found = 1 / (1 + np.exp(-np.clip(self.slope * np.where(known, odds, 0) + self.shift, -30, 30)))
+        return np.where(known, found, 0.0)
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 2, epochs: int = 2) -> tuple[np.ndarray, float]:
@@ -161,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> ToxicityModel
                 known, used = ~aside, aside
             weights, bias = train([t for t, k in zip(texts, known) if k], y[known])
             odds, marked = ToxicityModel(weights, bias).largest([t for t, k in zip(texts, used) if k]), y[used]
-            heavy = np.array([of_class[k] / (marked == k).sum() for k in (0, 1)])
+            odds, marked = odds[np.isfinite(odds)], marked[np.isfinite(odds)]
+            heavy = np.array([of_class[k] / max((marked == k).sum(), 1) for k in (0, 1)])
             slope, shift = calibrated(odds, marked, heavy[marked] * len(marked) / sum(of_class.values()))
         yield pd.DataFrame({"w": [weights.astype("<f4").tobytes()], "bias": bias, "slope": slope, "shift": shift})
 
@@ -170,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> ToxicityModel
 
 
 def scored(model: ToxicityModel, text: str = "text") -> Column:
-    """The probability of label 1, for whole texts; null and empty texts have the score of a stretch without n-grams."""
+    """The probability of label 1, for whole texts; 0 for null and empty texts."""
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

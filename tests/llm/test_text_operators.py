@@ -1,0 +1,336 @@
+"""Fingerprints, languages, toxicity, language model, near copies, licences and pseudonyms on small fixtures."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from framelark.llm import fingerprint, language, licences, maxent, neardup, toxicity
+from framelark.llm.common import fold, squeezed, unsqueezed
+from framelark.llm.pseudonyms import pseudonymised
+from framelark.llm.search import nearest
+from pyspark.sql import functions as F
+
+EDGES = [(901, None), (902, ""), (903, " \n\t "), (904, "..."), (905, "x"), (906, "x"), (None, "one more"), (None, None)]
+#: Extra columns named like those of the operators.
+EXTRA = "score string, digest string, rejected string, chunk string, line string"
+
+
+def docs_of(spark, rows):
+    schema = f"doc_id long, text string, lang string, source string, {EXTRA}"
+    return spark.createDataFrame([(*r, *[None] * (2 - len(r)), "en", "s", "a", "b", "c", "d", "e")[:9] for r in rows], schema)
+
+
+def prose(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+EN = "the of and that was with ing tion over under hand thing stone river".split()
+DE = "der die und nicht schon heit keit über unter haus zeit straße fluss".split()
+
+
+def test_arrays_survive_squeezing():
+    for a in (np.arange(5, dtype=np.int32), np.empty(0, np.int64), np.array([2**63 + 1], np.uint64)):
+        assert (unsqueezed(squeezed(a), a.dtype.type) == a).all()
+
+
+# Fingerprints
+
+
+def test_fingerprints_follow_the_brute_force_order(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BATCH_BYTES", 400)
+    rng = random.Random(1)
+    rows = [(i * 3, prose(rng, EN, rng.randint(0, 60))) for i in range(40)] + [r for r in EDGES if r[0]] + [(30, "twice"), (30, "twice")]
+    docs = docs_of(spark, rows)
+    found = fingerprint.compared(docs).collect()
+    assert len(found) == len(rows)
+    order = sorted(rows, key=lambda r: (-r[0], r[1] or ""))
+    expected = collections.Counter()
+    same_id = {30}
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
+        t, after = t or "", after or ""
+        n = len(t) // 3
+        expected[(i, len(t), hashlib.sha256((t[: len(t) - n] + after[:n]).encode()).hexdigest())] += 1
+    ours = collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in found)
+    assert {k: v for k, v in ours.items() if k[0] not in same_id | {33}} == {k: v for k, v in expected.items() if k[0] not in same_id | {33}}
+    prints = {}
+    for r in found:
+        if r.doc_id not in same_id:
+            prints.setdefault(next(t or "" for i, t in rows if i == r.doc_id), set()).add(r.fingerprint)
+    assert all(len(p) == 1 for p in prints.values())
+    assert prints[""] == {fingerprint.NO_TERMS}
+    assert fingerprint.compared(docs_of(spark, [])).count() == 0
+    assert fingerprint.compared(docs_of(spark, EDGES)).count() == len(EDGES)
+
+
+def test_following_document_crosses_ranges(spark):
+    rows = [(i, f"text {i} " * 5) for i in range(200)]
+    found = fingerprint.with_following(docs_of(spark, rows), partition_chars=300).collect()
+    by_range = collections.defaultdict(list)
+    for r in found:
+        by_range[r["_range"]].append(r)
+    assert len(by_range) > 5
+    for part in by_range.values():
+        ids = [r.doc_id for r in part if not r["_look"]]
+        look = [r.doc_id for r in part if r["_look"]]
+        assert ids == sorted(ids, reverse=True) and look[0] == (ids[-1] - 1) % 200
+
+
+def test_samples_estimate_generalised_jaccard():
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    errors = []
+    for _ in range(60):
+        a = [rng.choice(words) for _ in range(200)]
+        b = a[:120] + [rng.choice(words) for _ in range(80)]
+        x, y = collections.Counter(a), collections.Counter(b)
+        exact = sum((x & y).values()) / sum((x | y).values())
+        s = fingerprint.samples([" ".join(a).encode(), " ".join(b).encode()])
+        errors.append(fingerprint.likeness(s[:1], s[1:])[0] - exact)
+    assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.09
+
+
+# Language
+
+
+def test_language_of_unseen_texts(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, (EN, DE)[i % 2], rng.randint(3, 80)), ("en", "de")[i % 2]) for i in range(300)]
+    schema = f"doc_id long, text string, lang string, source string, {EXTRA}"
+    docs = spark.createDataFrame([(*r, "s", "a", "b", "c", "d", "e") for r in [*rows, *[(i, t, None) for i, t in EDGES]]], schema)
+    held_out = fold("doc_id", 4) == 2
+    model = language.fit(docs.filter(~held_out))
+    found = docs.select("doc_id", "text", "lang", held_out.alias("h"), language.predicted(model).alias("p")).collect()
+    seen = [r for r in found if r.lang and r.h]
+    assert seen and np.mean([r.p.lang_pred == r.lang for r in seen]) > 0.97
+    for r in found:
+        assert 0 <= r.p.score <= 1
+        if not (r.text and re.search(r"[^\W\d_]", r.text)):
+            assert (r.p.lang_pred, r.p.score, r.p.rejected) == ("und", 0.0, True)
+        else:
+            assert r.p.lang_pred in ("en", "de")
+    nothing = language.fit(docs.filter("false"))
+    assert {r.p.lang_pred for r in docs.select(language.predicted(nothing).alias("p")).collect()} == {"und"}
+
+
+# Toxicity
+
+
+def test_toxicity_finds_misspellings_and_short_remarks(spark):
+    rng = random.Random(5)
+    bad = ["worthless", "disgusting", "pathetic"]
+    rows, marks = [], []
+    for i in range(600):
+        words = [rng.choice(EN) for _ in range(rng.randint(10, 120))]
+        if i % 4 == 0:
+            words[rng.randrange(len(words))] = rng.choice(bad)
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 4 == 0)))
+    docs = docs_of(spark, rows + EDGES)
+    labels = spark.createDataFrame([*marks, (None, 1), (3, None), (5, 0), (5, 0)], "doc_id long, toxic int")
+    held_out = fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    found = {r.doc_id: r.p for r in docs.filter(held_out).select("doc_id", toxicity.scored(model).alias("p")).collect()}
+    assert np.mean([(found[i] >= 0.5) == bool(m) for i, m in marks if i in found]) > 0.95
+    p = model.probability(["the river was worthles and over", "the river was long and over", None, "", "..."])
+    assert p[0] > 0.5 > p[1] and (p >= 0).all() and (p <= 1).all() and p[2] == p[3] == p[4] < 0.5
+    one_class = toxicity.fit(docs, labels.filter("toxic = 0"))
+    assert (one_class.probability(["x", None]) < 0.1).all()
+
+
+# Language model
+
+
+def test_base_score_counts_and_a_better_model(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, (EN, DE)[i % 2], rng.randint(1, 90)).replace("the", "The")) for i in range(500)] + EDGES
+    docs = docs_of(spark, rows)
+    found = maxent.scores(docs, fold("doc_id", 5) == 1).collect()
+    assert len(found) == len(rows)
+    tokens = lambda t: (t or "").encode().lower().split() + [b""]
+    held = lambda i: zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1
+    counts = collections.Counter(w for i, t in rows if not held(i) for w in tokens(t))
+    total, distinct = sum(counts.values()), len(counts)
+    text = dict(rows)
+    for r in found:
+        if r.doc_id is None:
+            continue
+        words = tokens(text[r.doc_id])
+        base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in words)
+        assert r.base_score == pytest.approx(base) and r.train_tokens == total and r.held_out == held(r.doc_id)
+        assert (r.n_tokens, r.n_known) == (len(words), sum(counts[w] > 0 for w in words)) and r.score <= 0
+    unseen = [r for r in found if r.held_out]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+    assert maxent.scores(docs_of(spark, []), fold("doc_id", 5) == 1).count() == 0
+    untrained = maxent.scores(docs_of(spark, EDGES), F.lit(True)).collect()
+    assert all(r.train_tokens == 0 and r.base_score == 0 and r.n_known == 0 for r in untrained)
+
+
+def test_model_probabilities_add_up():
+    rng = np.random.default_rng(7)
+    width = (1 << maxent.FEATURE_BITS) + 1
+    shapes = (width, 2 + maxent.GROUPS), (width * maxent.GROUPS, maxent.BANDS)
+    model = maxent.MaxentModel(100, 10, np.zeros(maxent.FORMS, int), np.ones(maxent.CLASSES), *(rng.normal(size=s).astype("f4") for s in shapes))
+    features = rng.integers(0, width, (3, 6)).astype(np.int32)
+    total = sum(np.exp(model.class_log(features, np.full(3, k))) for k in range(maxent.CLASSES))
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+# Near copies
+
+
+def bag(text):
+    words = text.lower().split()
+    return collections.Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else collections.Counter()
+
+
+def test_classes_equal_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "MEET", 16)
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(400)]
+    rows = []
+    for base in range(12):
+        words = [rng.choice(vocabulary) for _ in range(150)]
+        for _ in range(rng.choice([1, 2, 40])):
+            copy = list(words)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows) + 1, "  ".join(copy).title() if rng.random() < 0.3 else " ".join(copy)))
+    rows += [(500, rows[0][1]), (501, rows[0][1]), *EDGES, (700, "three short words"), (701, "Three short\nwords")]
+    docs = docs_of(spark, rows)
+    found = neardup.classes(docs).collect()
+    assert len(found) == len(rows)
+    parent = {i: i for i, _ in rows if i is not None}
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    bags = [(i, bag(t or "")) for i, t in rows if i is not None]
+    for n, (i, a) in enumerate(bags):
+        for j, b in bags[n + 1 :]:
+            if a and b and len(a.keys() & b.keys()) >= 0.8 * len(a.keys() | b.keys()):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert {r.doc_id: r.class_id for r in found if r.doc_id is not None} == {i: root(i) for i in parent}
+    kept = neardup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    silent = [i for i, t in rows if not (t or "").split()]
+    classes = {root(i) for i, t in rows if i is not None and (t or "").split()}
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted([*classes, -1, *[i or -1 for i in silent]])
+    assert neardup.classes(docs_of(spark, [])).count() == 0
+
+
+def test_signature_estimates_probability_jaccard():
+    rng = np.random.default_rng(9)
+    errors = []
+    for _ in range(40):
+        keys = rng.integers(0, 2**63, 300).astype(np.uint64)
+        x, y = rng.integers(1, 4, 200), rng.integers(1, 4, 200)
+        a, b = keys[:200], keys[100:]
+        order_a, order_b = np.argsort(a), np.argsort(b)
+        exact = neardup.probability_jaccard(a[order_a], x[order_a], b[order_b], y[order_b])[1]
+        errors.append((neardup.signature(a, x, 256) == neardup.signature(b, y, 256)).mean() - exact)
+    assert abs(np.mean(errors)) < 0.02
+    union = {k: (dict(zip(a, x)).get(k, 0), dict(zip(b, y)).get(k, 0)) for k in {*a, *b}}
+    plain = sum(1 / sum(max(p / v[0], q / v[1]) for p, q in union.values()) for v in union.values() if v[0] and v[1])
+    assert exact == pytest.approx(plain)
+
+
+# Search
+
+
+def test_search_equals_brute_force(spark):
+    rng = np.random.default_rng(10)
+    vectors = {i: rng.normal(size=16).astype("f4").tolist() for i in range(400)}
+    for i in range(100, 130):
+        vectors[i] = vectors[100]
+    vectors |= {500: [0.0] * 16, 520: None, 540: [float("nan"), *[1.0] * 15], 541: [float("inf"), *[1.0] * 15], 560: [1.0] * 3, 580: [None, *[1.0] * 15]}
+    rows = spark.createDataFrame([(i, v, "q", 1) for i, v in vectors.items()], "vec_id long, embedding array<float>, query_id string, rank int")
+    found = collections.defaultdict(list)
+    for r in nearest(rows, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+        assert r.rank == len(found[r.query_id])
+    ids = np.arange(400)
+    x = np.array([vectors[i] for i in ids], np.float64)
+    hits = total = 0
+    assert set(found) == set(range(0, 400, 20))
+    for q, answers in found.items():
+        score = (x * x[q]).sum(axis=1)
+        others = ids[ids != q]
+        exact = others[np.lexsort((others, -score[others]))][:20]
+        assert all(s == pytest.approx(score[i]) for i, s in answers) and answers == sorted(answers, key=lambda a: (-a[1], a[0]))
+        hits, total = hits + len({*exact} & {i for i, _ in answers}), total + 20
+    assert hits / total >= 0.9
+    few = nearest(rows.filter("vec_id < 3"), F.col("vec_id") == 0)
+    assert few.count() == 2 and nearest(rows.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+# Licences and pseudonyms
+
+
+def test_licences(spark):
+    mit = dict((n, t) for n, t in licences.KNOWN if t.startswith("MIT License"))["MIT"]
+    rows = [
+        (1, mit.replace("<year> <copyright holders>", "2020 Someone").replace("License", "LICENCE").replace("\n", "\r\n  ")),
+        (2, "Some text\nReleased under the MIT License\n  LICENSED under CC BY-NC 4.0!"),
+        (3, "Released under the MIT License. And more."),
+        *EDGES,
+    ]
+    docs = docs_of(spark, rows)
+    found = licences.scan(docs)
+    matched = {(r.doc_id, r.line, r.license_id) for r in found.collect() if r.license_id}
+    assert matched == {(1, None, "MIT"), (2, 2, "MIT"), (2, 3, "CC-BY-NC-4.0")}
+    assert found.filter("line is null").count() == len(rows)
+    con = duckdb.connect()
+    documents = docs.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"})
+    con.register("documents", documents)
+    ours = sorted(map(repr, (tuple(r) for r in found.collect())))
+    assert ours == sorted(map(repr, con.execute(licences.scan_sql()).fetchall()))
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(re.sub(r"\D", "", number))]
+    return sum(d if i % 2 == 0 else (2 * d - 9 if 2 * d > 9 else 2 * d) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_pseudonyms_keep_formats_and_links(spark):
+    card, other = "4111111111111111", "4111 1111 1111 1111"
+    rows = [
+        (1, f"card {card}, {other} and wrong 4111111111111112"),
+        (2, f"again {card}. mail Jo.Doe7@Mail4.example.com or jo.doe7@mail4.EXAMPLE.com"),
+        (3, "+1 (017) 555-7713 and 251-555-0199; 10.0.0.25, 10.0.0.256, 1.2.3.4.5"),
+        (4, "born 2001-12-31, 31.12.2001, 12/31/2001, never 2001-02-30; 123-45-6789 but 666-11-1111"),
+        (5, 'Token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce"'),
+        (6, "plain 12345 words, version 2.0.1 & 50% a@b"),
+        *EDGES,
+    ]
+    docs = docs_of(spark, rows)
+    found = {r.doc_id: r for r in pseudonymised(docs, "k", count="n").collect()}
+    assert pseudonymised(docs, "k").columns == docs.columns and len(found) == len({i for i, _ in rows})
+    one, wrong = found[1].text, "wrong 4111111111111112"
+    new = re.search(r"card (\d{16}), (\d{4} \d{4} \d{4} \d{4}) and", one)
+    assert luhn(new[1]) and new[1] != card and new[2].replace(" ", "") == new[1] and wrong in one
+    assert f"again {new[1]}." in found[2].text and found[1].n == 2
+    mails = re.findall(r"\S+@\S+", found[2].text)
+    assert mails[0].lower() == mails[1].lower() and re.fullmatch(r"[A-Z][a-z]\.[A-Z][a-z]{2}\d@[A-Z][a-z]{3}\d\.[a-z]{7}\.com", mails[0])
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} and \d{3}-\d{3}-\d{4}; \d+(\.\d+){3}, 10.0.0.256, 1.2.3.4.5", found[3].text)
+    dates = re.search(r"born (\d{4})-(\d\d)-(\d\d), (\d\d)\.(\d\d)\.(\d{4}), (\d\d)/(\d\d)/(\d{4}), never 2001-02-30; (\d{3})-\d\d-\d{4} but 666-11-1111", found[4].text)
+    y, m, d = dates[1], dates[2], dates[3]
+    assert (dates[6], dates[5], dates[4]) == (y, m, d) and (dates[9], dates[7], dates[8]) == (y, m, d) and dates[10] not in ("123", "666")
+    assert re.fullmatch(r'Token = "[a-f]\d\d[a-f]\d\d[a-f]\d\d[a-f]{2}[0-9a-f]{29}"', found[5].text) and "b44e15" not in found[5].text
+    for i, t in rows[5:]:
+        if i is not None:
+            assert found[i].text == t and found[i].n == 0
+    assert pseudonymised(docs_of(spark, []), "k").count() == 0
+
+
+def test_permutation_is_one_to_one(spark):
+    numbers = spark.range(100).select(F.format_string("10.0.0.%d", "id").alias("text"))
+    assert pseudonymised(numbers, "k").distinct().count() == 100
+    assert pseudonymised(numbers, "k").intersect(pseudonymised(numbers, "other")).count() < 5
+    plan = pseudonymised(numbers, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
