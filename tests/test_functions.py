@@ -165,3 +165,15 @@ def test_shard_file(spark):
 def test_json_keeps_non_ascii(spark):
     text = one(spark, F.to_json(F.struct(F.lit("한글").alias("t"))))
     assert text == json.dumps({"t": "한글"}, ensure_ascii=False).replace(": ", ":")
+
+
+def test_repeated_keys_fractions_and_unicode_words(spark):
+    from framelark.functions import frame_interval, words
+    from framelark.functions.json import with_json_fields
+
+    raw = spark.createDataFrame([('{"id":"a","x":1,"id":"b","id":"c"}',), ('{"id":"z"}',), ("{}",)], "raw string")
+    assert [r.fields for r in with_json_fields(raw, "raw").collect()] == [{"x": "1", "id": "c"}, {"id": "z"}, {}]
+    durations = spark.createDataFrame([(8.9,), (62.0,)], "d double")
+    assert [r.i for r in durations.select(frame_interval("d", 16).alias("i")).collect()] == ["0.6", "3.9"]
+    korean = spark.createDataFrame([("가　가 나",)], "t string")
+    assert korean.select(words("t").alias("w")).first().w == ["가", "가", "나"]

@@ -206,3 +206,27 @@ def test_result_objects(spark, tmp_path):
     (path / "042dd539417d.json").write_text(json.dumps(result, indent=2))
     row = read_results(spark, str(tmp_path)).first()
     assert row.run_id == "042dd539417d" and row.created_at.microsecond == 388737 and row.frames_ref.num_frames == 16
+
+
+def test_a_name_of_a_done_shard_is_taken_from_its_new_one(spark):
+    from framelark.plans.ingest import build_manifest
+
+    schema = (
+        "shard bigint, row_pos bigint, json struct<content_parent_category: string, content_fine_category: string, "
+        "original_video_filename: string, youtube_channel: string, youtube_title: string, youtube_upload_date: string, "
+        "duration_seconds: double, resolution: string>"
+    )
+    rows = [(s, p, ("c", "f", name, "ch", "t", "20200101", 8.9, "1x1")) for s, p, name in ((0, 0, "a.mp4"), (1, 0, "a.mp4"), (1, 1, "b.mp4"))]
+    shards = spark.createDataFrame(rows, schema)
+    done = spark.createDataFrame([(0,)], "shard bigint")
+    found = build_manifest(shards, "c", "p", None, done).collect()
+    assert sorted((r.video_id, r.shard) for r in found) == [("a", 1), ("b", 1)]
+
+
+def test_videos_without_frames_stay(spark):
+    from framelark.operators.gather import gather_frames
+
+    frames = spark.createDataFrame([("a", []), ("b", None), ("c", ["k", "gone"])], "video_id string, frames array<string>")
+    objects = spark.createDataFrame([("k", "bytes")], "key string, content string")
+    found = {r.video_id: (r.contents, r.n_missing) for r in gather_frames(frames, objects).collect()}
+    assert found == {"a": ([], 0), "b": ([], 0), "c": (["bytes", None], 1)}

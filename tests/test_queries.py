@@ -1,12 +1,17 @@
 """Every registered query beside its SQL on the given tables, and what its plan must not contain."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from compare import database, difference, type_difference
 
 import __spark_entry__ as entry
+from framelark.queries.catalog import QUERIES
+from framelark.queries.oracles import ORACLES
 
+ROOT = Path(__file__).resolve().parent.parent
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="tables are not there")
 
@@ -21,46 +26,64 @@ def plan_of(df):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+def test_entry_without_the_optional_folder():
+    """The entry file works without the training-data operators, and hides no other missing module."""
+    code = "import sys; sys.modules.update({{m: None for m in {0}}}); import __spark_entry__ as e; print(len(e.queries()))"
+    run = lambda *names: subprocess.run([sys.executable, "-c", code.format(names)], cwd=ROOT, capture_output=True, text=True)
+    assert int(run("corpus_pipeline", "framelark.llm").stdout) == len(QUERIES) == int(run("framelark.llm").stdout)
+    assert "ModuleNotFoundError" in run("framelark.operators").stderr
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
-    found = entry.queries()[name](spark, SF)
-    relation = tables.sql(entry.oracle_sql()[name])
+    found = QUERIES[name](spark, SF)
+    relation = tables.sql(ORACLES[name])
     assert type_difference(found, relation) == ""
     assert difference(found, relation) == ""
     plan = plan_of(found)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert ("MapInPandas" in plan) == (name in ("batch_infer", "probe_infer", "video_infer"))
+    # The scores of video_infer are stored before its answers are read.
+    assert ("MapInPandas" in plan) == (name in ("batch_infer", "probe_infer"))
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = plan_of(entry.queries()["category_filter"](spark, SF))
+    plan = plan_of(QUERIES["category_filter"](spark, SF))
     assert "EqualTo(lang,en)" in plan and "text" not in plan.split("ReadSchema")[1]
-    plan = plan_of(entry.queries()["category_histogram"](spark, SF))
+    plan = plan_of(QUERIES["category_histogram"](spark, SF))
     assert "ReadSchema: struct<lang:string>" in plan and "partial_count" in plan
 
 
 @pytest.mark.parametrize("name", ["latest_label", "resume_pending", "dev_subset", "safe_id_first_wins"])
 def test_losers_are_dropped_before_the_shuffle(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_merge_combines_before_its_only_shuffle(spark):
-    plan = plan_of(entry.queries()["merge_train"](spark, SF))
+    plan = plan_of(QUERIES["merge_train"](spark, SF))
     assert "partial_max_by" in plan and plan.count("Exchange") == 1 and plan.count("from_json") == 1
 
 
 @pytest.mark.parametrize("name", ["shard_interleave", "batch_chunks"])
 def test_no_window_over_all_rows(spark, name):
     """The only unpartitioned window is over one row per sorted file."""
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     before = plan.split("Exchange SinglePartition")
     assert len(before) == 2 and "HashAggregate" in before[1].split("\n")[1]
+
+
+def test_lines_are_counted_once_for_all_counts(spark):
+    assert "Expand" not in plan_of(QUERIES["merge_counts"](spark, SF))
+
+
+def test_videos_are_scored_without_a_self_join(spark):
+    assert "Join" not in plan_of(QUERIES["video_infer"](spark, SF))

@@ -153,3 +153,31 @@ def test_resuming_after_a_cut_equals_one_run(spark):
         rest = resume_pending(manifest, results.classified(lines))
         assert rest.count() == 20 - cut
         assert shown(first) | shown(run(rest)) == whole
+
+
+def test_a_null_answer_is_an_error_of_its_batch(spark):
+    records = spark.createDataFrame([("a", "p", [], [("user", "x")])], "id string, prompt string, images array<string>, messages array<struct<role: string, content: string>>")
+    found = score(records, lambda: lambda batch: [None], str, "m").collect()
+    assert len(found) == 1 and found[0].error.startswith("generate: ") and found[0].output is None
+
+
+def test_every_video_is_scored_once(spark, tmp_path):
+    from framelark.plans.labelling import labelled_videos
+
+    calls = str(tmp_path / "calls")
+    frames = spark.createDataFrame(
+        [(f"v{i}", 16, "448x448", "uniform", "h", [f"f{i}"]) for i in range(10)],
+        "video_id string, num_frames int, frame_size string, sampling string, sampling_config_hash string, frames array<string>",
+    )
+
+    def make():
+        def generate(batch):
+            with open(calls, "a") as out:
+                out.write("x" * len(batch))
+            return [item["prompt"] for item in batch]
+
+        return generate
+
+    answered, failed = labelled_videos(frames, "p", make, str, "m")
+    assert (answered.count(), failed.count(), answered.select("frames_ref.num_frames").distinct().count()) == (10, 0, 1)
+    assert len((tmp_path / "calls").read_text()) == 10
