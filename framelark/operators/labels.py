@@ -10,7 +10,7 @@ from framelark.functions import letter_count, letters, ngrams, repeated_count, s
 from framelark.functions.json import with_json_fields
 from framelark.functions.once import once
 from framelark.operators.dedup import last_per_key, top_per_group
-from framelark.operators.layout import MAX_GROUP_ROWS, with_previous
+from framelark.operators.layout import with_previous
 from framelark.schemas import CONFIDENCE_LEVELS, LABEL, MAX_ACTIONS, MAX_OBJECTS, QA_PAIRS
 
 
@@ -127,10 +127,10 @@ def latest_label(results: DataFrame, order_by: list[str | Column], keys: list[st
 
 
 def label_changes(
-    results: DataFrame, order_by: list[str], answer: str = "answer", max_group_rows: int | None = MAX_GROUP_ROWS
+    results: DataFrame, order_by: list[str], answer: str = "answer", parts: int | None = None
 ) -> DataFrame:
     """Each result with the previous answer for the same video, and whether the answer changed."""
-    found = with_previous(results, ["video_id"], order_by, {"previous_answer": answer}, max_group_rows)
+    found = with_previous(results, ["video_id"], order_by, {"previous_answer": answer}, parts)
     changed = F.col("previous_answer").isNotNull() & ~F.col(answer).eqNullSafe(F.col("previous_answer"))
     return found.withColumn("changed", changed)
 

@@ -7,134 +7,77 @@ number.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.session import staged
 
-# Groups up to this many rows are left to an ordinary window; larger ones are split.
-MAX_GROUP_ROWS = 1_000_000
-# Rows per task when a large group is split.
-CHUNK_ROWS = 250_000
-
-
-def by_group_size(
-    df: DataFrame,
-    keys: list[str],
-    most: int | None,
-    small: Callable[[DataFrame], DataFrame],
-    large: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Apply ``small`` to the groups of at most ``most`` rows and ``large`` to the others.
 
-    Groups are counted first, on the key columns alone and combined map-side. At most (rows / ``most``) groups can be
-    large, so with a bound of a million rows their keys are few enough for the driver and for a broadcast. Without a
-    bound (``None``) nothing is counted and all groups are taken as large.
-    """
-    if most is None:
-        return large(df)
-    found = df.groupBy(*keys).count().filter(F.col("count") > most).drop("count")
-    hot = found.collect()
-    if not hot:
-        return small(df)
-    renamed = [f"_hot_{i}" for i in range(len(keys))]
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, found.schema).toDF(*renamed))
-    # Null is a group too, so keys are compared null-safely.
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
-    rest = small(df.join(listed, same, "left_anti"))
-    return rest.unionByName(large(df.join(listed, same, "left_semi")))
-
-
-def _sorted_files(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
+def _sorted_parts(df: DataFrame, order_by: list[str | Column], parts: int | None) -> DataFrame:
     """Rows in global order as a written table, with ``_part`` (sorted partition) and ``_pos`` (row in it)."""
+    if parts is None:
+        ordered = df.orderBy(*order_by)
+    else:
+        ordered = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
     # The id holds the number of the sorted partition in its upper bits and that of the row in it in the lower 33.
-    table = staged(df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id()), "sorted")
+    table = staged(ordered.withColumn("_place", F.monotonically_increasing_id()), "sorted")
     part, pos = F.shiftright("_place", 33).cast("int"), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return table.select(*df.columns, part.alias("_part"), pos.alias("_pos"))
 
 
-def _index_sorted(rows: DataFrame, within: list[str], name: str, few_groups: bool = True) -> DataFrame:
-    """Number rows of a sorted table from 0, overall or per group.
-
-    Rows of a group are adjacent, so within one file they are one run: its start and length per (file, group)
-    are enough. There are fewer runs than files and groups together, so they are broadcast if the groups are few.
-    """
-    runs = rows.groupBy("_part", *within).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_start")).drop(
-        "_start", "_n"
-    )
-    place = (F.col("_pos") + F.col("_before")).alias(name)
-    columns = [c for c in rows.columns if c not in ("_part", "_pos")]
-    # Null is a group of its own, so the group columns are compared null-safely.
-    runs = runs.withColumnsRenamed({c: f"_of_{c}" for c in ["_part", *within]})
-    if few_groups:
-        runs = F.broadcast(runs)
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within]
-    return rows.join(runs, [F.col("_part") == F.col("_of__part"), *same]).select(*columns, place)
-
-
 def with_row_index(
     df: DataFrame,
     order_by: list[str | Column],
     within: list[str] | None = None,
     name: str = "row_index",
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add a dense 0-based row number in the given order, overall or per group of ``within``.
 
-    ``order_by`` must leave no ties. Groups small enough for a task are numbered by an ordinary window, larger ones
-    through the sorted table. Keep wide columns (media bytes) out of ``df``.
+    ``order_by`` must leave no ties. Rows are sorted globally, so a large group is spread over sorted partitions like
+    any other rows; only the first group of a partition can have begun in an earlier one, and gets the number of its
+    rows there, one number per partition. ``parts`` fixes the number of partitions. Keep wide columns (media bytes) out
+    of ``df``.
     """
-    if not within:
-        return _index_sorted(_sorted_files(df, order_by), [], name)
-    w = Window.partitionBy(*within).orderBy(*order_by)
-    return by_group_size(
-        df,
-        within,
-        max_group_rows,
-        lambda rows: rows.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")),
-        lambda rows: _index_sorted(
-            _sorted_files(rows, [*within, *order_by]), within, name, few_groups=max_group_rows is not None
-        ),
-    )
+    within = within or []
+    rows = _sorted_parts(df, [*within, *order_by], parts)
+    runs = rows.groupBy("_part", *within).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = runs.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).filter("_start = 0")
+    # One row for each sorted partition.
+    carried = F.broadcast(carried.select(F.col("_part").alias("_in"), "_carry"))
+    if within:
+        in_part = Window.partitionBy("_part").orderBy("_pos")
+        key = F.struct(*within)
+        begins = (F.col("_pos") == 0) | ~F.lag(key).over(in_part).eqNullSafe(key)
+        rows = rows.withColumn("_begins", begins).withColumn(
+            "_begin", F.max(F.when(F.col("_begins"), F.col("_pos"))).over(in_part.rowsBetween(Window.unboundedPreceding, 0))
+        )
+    else:
+        rows = rows.withColumn("_begin", F.lit(0).cast("bigint"))
+    place = F.col("_pos") - F.col("_begin") + F.when(F.col("_begin") == 0, F.col("_carry")).otherwise(0)
+    return rows.join(carried, F.col("_part") == F.col("_in")).select(*df.columns, place.alias(name))
 
 
 def with_previous(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    values: dict[str, str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
+    df: DataFrame, keys: list[str], order_by: list[str], values: dict[str, str], parts: int | None = None
 ) -> DataFrame:
     """Add values of the previous row of the same key: ``values`` maps new columns to the ones looked back at.
 
-    Keys with more rows than a task should hold are sorted together and cut in chunks of equal size; the last row of each
-    chunk is also handed to the next one, so that every row meets its predecessor in its own chunk.
+    Rows are sorted globally and looked back at inside each sorted partition; its first row gets the last row of the
+    partition before, one row per partition. So a key with most of the rows is spread like all others. ``parts`` fixes
+    the number of partitions.
     """
-
-    def in_groups(rows: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order_by)
-        return rows.withColumns({new: F.lag(old).over(w) for new, old in values.items()})
-
-    def in_chunks(rows: DataFrame) -> DataFrame:
-        rows = with_row_index(rows, [*keys, *order_by], name="_i")
-        chunk = F.col("_i") - F.col("_i") % chunk_rows
-        ends_chunk = F.col("_i") % chunk_rows == chunk_rows - 1
-        copies = F.when(ends_chunk, F.array(chunk, chunk + chunk_rows)).otherwise(F.array(chunk))
-        rows = rows.withColumn("_chunk", F.explode(copies))
-        w = Window.partitionBy("_chunk").orderBy("_i")
-        key = F.struct(*keys)
-        same_key = F.lag(key).over(w).eqNullSafe(key)
-        found = rows.withColumns({new: F.when(same_key, F.lag(old).over(w)) for new, old in values.items()})
-        return found.filter(F.col("_i") >= F.col("_chunk")).drop("_i", "_chunk")
-
-    return by_group_size(df, keys, max_group_rows, in_groups, in_chunks)
+    rows = _sorted_parts(df, [*keys, *order_by], parts)
+    known = F.struct(F.struct(*keys).alias("key"), *[F.col(old).alias(f"v{i}") for i, old in enumerate(values.values())])
+    # One row for each sorted partition: the window over them is small.
+    ends = rows.groupBy("_part").agg(F.max_by(known, F.col("_pos")).alias("_end"))
+    before = ends.select(F.col("_part").alias("_in"), F.lag("_end").over(Window.orderBy("_part")).alias("_end"))
+    in_part = Window.partitionBy("_part").orderBy("_pos")
+    looked = rows.withColumn("_last", F.lag(known).over(in_part)).join(F.broadcast(before), F.col("_part") == F.col("_in"))
+    last = F.when(F.col("_pos") == 0, F.col("_end")).otherwise(F.col("_last"))
+    same = last["key"].eqNullSafe(F.struct(*keys))
+    return looked.select(*df.columns, *[F.when(same, last[f"v{i}"]).alias(new) for i, new in enumerate(values)])
 
 
 def with_running_total(counts: DataFrame, order_by: str, value: str, name: str, block: int = 1024) -> DataFrame:

@@ -66,8 +66,8 @@ def test_newest_label_and_changes(spark):
     rows = [("v", 1, "a"), ("v", 2, "a"), ("v", 3, "b"), ("w", 1, "z")]
     results = spark.createDataFrame(rows, "video_id string, at int, answer string")
     assert {r.video_id: r.answer for r in labels.latest_label(results, ["at"]).collect()} == {"v": "b", "w": "z"}
-    for most in (1, 100, None):
-        found = labels.label_changes(results, ["at"], max_group_rows=most).collect()
+    for parts in (1, 3, None):
+        found = labels.label_changes(results, ["at"], parts=parts).collect()
         assert {(r.video_id, r.at): (r.previous_answer, r.changed) for r in found} == {
             ("v", 1): (None, False), ("v", 2): ("a", False), ("v", 3): ("a", True), ("w", 1): (None, False),
         }

@@ -1,6 +1,7 @@
-"""Row numbers, previous rows and running totals, by both of their ways; sharding and chunks."""
+"""Row numbers, previous rows and running totals over few and many partitions; sharding and chunks."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framelark.operators import sharding
@@ -29,15 +30,19 @@ def test_row_index_is_the_place_in_order(spark, skewed):
 def test_row_index_within_groups_splits_large_ones(skewed):
     plain = with_row_index(skewed, ["v"], ["g"])
     assert plain.count() == 1000
-    for most in (10, None):
-        assert same(plain, with_row_index(skewed, ["v"], ["g"], max_group_rows=most))
+    hot = plain.filter("g = 'hot'")
+    assert hot.filter("row_index = 0").count() == 1 and hot.agg(F.max("row_index")).first()[0] == hot.count() - 1
+    for parts in (1, 3, 40):
+        assert same(plain, with_row_index(skewed, ["v"], ["g"], parts=parts))
 
 
 def test_previous_row_splits_large_groups(skewed):
     plain = with_previous(skewed, ["g"], ["v"], {"before": "v"})
     assert plain.filter("before IS NULL").count() == skewed.select("g").distinct().count()
-    for most, chunk in ((10, 1), (10, 3), (10, 5000), (None, 64)):
-        assert same(plain, with_previous(skewed, ["g"], ["v"], {"before": "v"}, max_group_rows=most, chunk_rows=chunk))
+    w = Window.partitionBy("g").orderBy("v")
+    assert same(plain, skewed.withColumn("before", F.lag("v").over(w)))
+    for parts in (1, 3, 40, 900):
+        assert same(plain, with_previous(skewed, ["g"], ["v"], {"before": "v"}, parts=parts))
 
 
 def test_row_index_of_nothing(spark, skewed):
