@@ -18,21 +18,45 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.llm.bytegrams import SPACE, grams, stream
-from framelark.llm.common import chunks_of
 
 BITS = 17
 SIZES = (3, 4, 5)
 SEGMENT_WORDS = 6
 DIMENSIONS = 8
-BATCH_BYTES = 2_000_000
+#: Characters whose n-grams are held as temporary arrays at once.
+PIECE = 500_000
 #: One in so many of the sampled documents is set aside for the probabilities.
 ASIDE = 5
 
 
+def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Whole texts in lists of about ``PIECE`` characters, with each one's place in ``texts``.
+
+    A longer text comes in several pieces, cut at a space where there is one, so its stretches begin anew there.
+    """
+    places, held, size = [], [], 0
+    for place, text in enumerate(texts):
+        text, start = text or "", 0
+        while start < len(text):
+            end = len(text)
+            if end - start > PIECE:
+                space = text.rfind(" ", start + 1, start + PIECE)
+                end = space if space > 0 else start + PIECE
+            if held and size + end - start > PIECE:
+                yield np.array(places), held
+                places, held, size = [], [], 0
+            places.append(place)
+            held.append(text[start:end])
+            size += end - start
+            start = end
+    if held:
+        yield np.array(places), held
+
+
 def segments(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text of each segment, segment of each n-gram, n-gram): segments in order of their texts, each with n-grams."""
     data, owner = stream(texts)
@@ -60,11 +84,11 @@ class ToxicityModel:
     def largest(self, texts: list[str | None]) -> np.ndarray:
         """The largest log-odds of each text's stretches; minus infinity for a text without any n-gram."""
         out = np.full(len(texts), -np.inf)
-        owner, segment, code = segments(texts)
-        if len(code):
+        for places, held in pieces(texts):
+            owner, segment, code = segments(held)
             total = np.bincount(segment, weights=self.weights[code], minlength=len(owner))
             mean = total / np.bincount(segment, minlength=len(owner))
-            np.maximum.at(out, owner, mean + self.bias)
+            np.maximum.at(out, places[owner], mean + self.bias)
         return out
 
     def probability(self, texts: list[str | None]) -> np.ndarray:
@@ -82,16 +106,24 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 2,
     embed = rng.normal(0, 0.1, (width, DIMENSIONS)).astype(np.float32)
     out, bias = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32), np.zeros(2, np.float32)
     squares = np.full(width, 1e-6, np.float32), np.full(out.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)
-    owner, segment, code = segments(texts)
-    order = np.argsort(segment, kind="stable")
-    code, ends = code[order], np.cumsum(np.bincount(segment, minlength=len(owner)))
-    target, alive = labels[owner], np.ones(len(owner), bool)
+    owners, codes, counts = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for places, held in pieces(texts):
+        owner, segment, code = segments(held)
+        owners.append(places[owner])
+        codes.append(code[np.argsort(segment, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(segment, minlength=len(owner)))
+    code, ends, target = np.concatenate(codes), np.cumsum(np.concatenate(counts)), labels[np.concatenate(owners)]
+    del codes
+    alive = np.ones(len(ends), bool)
     batch = 512
     for step in range(rounds):
         if step:
             weights = embed @ (out[:, 1] - out[:, 0])
-            odds = np.add.reduceat(weights[code], np.r_[0, ends[:-1]]) / np.diff(np.r_[0, ends]) + bias[1] - bias[0]
-            alive = (target == 0) | (odds > 0)
+            odds = np.empty(len(ends))
+            for k in range(0, len(ends), PIECE // 32):
+                cut = np.r_[ends[k - 1] if k else 0, ends[k : k + PIECE // 32]]
+                odds[k : k + PIECE // 32] = np.add.reduceat(weights[code[cut[0] : cut[-1]]], cut[:-1] - cut[0]) / np.diff(cut)
+            alive = (target == 0) | (odds + bias[1] - bias[0] > 0)
         for _ in range(epochs):
             chosen = rng.permutation(np.flatnonzero(alive))
             for k in range(0, len(chosen), batch):
@@ -135,11 +167,12 @@ def calibrated(odds: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tupl
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_chars: int = 15_000_000) -> ToxicityModel:
     """Learn from ``labels`` (``doc_id, toxic``); the caller has left out what is held out.
 
-    At most ``sample`` labelled documents of each class are used, those with the smallest hash of ``doc_id``: the bound
-    of what the training task holds and of the one broadcast. Null labels and ids are ignored; a document labelled more
+    At most ``sample`` labelled documents of each class are used, those with the smallest hash of ``doc_id``, and of these
+    the first whole ones that have at most ``sample_chars`` characters together, without those that have more than a
+    fiftieth of it alone: the bound of what the training task holds and of the one broadcast. Null labels and ids are ignored; a document labelled more
     than once is toxic if one label says so. Without labels of both classes every score is near 0.
     """
     labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id")
@@ -150,7 +183,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000) -> ToxicityModel
     chosen = F.broadcast(some[0].unionByName(some[1]))
     rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
     aside = F.pmod(by_hash, F.lit(ASIDE)) == 0
-    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"), "_toxic", aside.alias("_aside")).repartition(1)
+    # At most two times ``sample`` rows are added up here.
+    before = Window.partitionBy("_toxic").orderBy(by_hash, "_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).filter(F.length("text") <= sample_chars // 50)
+    rows = rows.withColumn("_chars", F.sum(F.length("text")).over(before)).filter(F.col("_chars") <= sample_chars)
+    rows = rows.select("text", "_toxic", aside.alias("_aside")).repartition(1)
 
     def learned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat([*batches, pd.DataFrame({"text": [], "_toxic": [], "_aside": []})])
@@ -180,7 +217,6 @@ def scored(model: ToxicityModel, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
-            parts = [model.probability(p["text"].tolist()) for p in chunks_of(pd.DataFrame({"text": series}), BATCH_BYTES)]
-            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+            yield pd.Series(model.probability(series.tolist()))
 
     return probability(F.col(text))

@@ -334,3 +334,17 @@ def test_permutation_is_one_to_one(spark):
     assert pseudonymised(numbers, "k").intersect(pseudonymised(numbers, "other")).count() < 5
     plan = pseudonymised(numbers, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_toxicity_of_very_long_texts(monkeypatch):
+    texts = ["good day " * 40 + "stupid idiot " * 6 + "nice " * 60, "x" * 300, None, "", "stupid idiot", "nice day"]
+    model = toxicity.ToxicityModel(np.random.default_rng(1).normal(size=1 << toxicity.BITS), -1.0)
+    monkeypatch.setattr(toxicity, "PIECE", 100)
+    found = list(toxicity.pieces(texts))
+    assert all(sum(map(len, held)) <= 100 for _, held in found)
+    for place, text in enumerate(texts):
+        assert "".join(t for places, held in found for p, t in zip(places, held) if p == place) == (text or "")
+    # A text scores the same alone and among others.
+    assert np.allclose(model.probability(texts), [model.probability([t])[0] for t in texts])
+    assert model.probability(texts)[2] == model.probability(texts)[3] == 0.0
+    assert toxicity.train(["", ""], np.array([0, 1]))[1] == 0.0
