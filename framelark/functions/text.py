@@ -19,7 +19,7 @@ def strip(text: ColumnOrName) -> Column:
 
 def words(text: ColumnOrName) -> Column:
     """Words split at white space of any script; no empty ones."""
-    return F.filter(F.split(_col(text), r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(_col(text), f"(?U){_SPACE}+"), lambda w: w != "")
 
 
 def ngrams(word_list: ColumnOrName, n: int = 2) -> Column:
