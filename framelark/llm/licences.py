@@ -3,14 +3,21 @@
 A text is made canonical: lower case, without copyright lines, spelled one way, punctuation and space as single spaces.
 Its SHA-256 is joined to the digests of known licence texts, so entire texts are compared and nothing else. A document
 is looked up as a whole, and each of its lines by itself, since notices are often a line of a text.
+
+Canonical texts lose whole lines that begin with the word copyright, so they depend on where a text is wrapped. Known
+texts are therefore also looked for as rows of words, whatever the line breaks: a document is a known licence if it has
+its words, with or without the title, and with nothing else but copyright statements in front of them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from functools import reduce
+from bisect import bisect_left
+from dataclasses import dataclass
+from functools import lru_cache, reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,11 +143,128 @@ def known_digests(texts: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str,
         found.setdefault(hashlib.sha256(plain.encode()).hexdigest(), (name, len(plain)))
     return [(name, digest, n) for digest, (name, n) in found.items()]
 
+WORD = re.compile(r"[^\W_]+")
+#: A real copyright statement: the word or sign, and the sign, a year or a placeholder.
+STATEMENT = re.compile(r"[\W_]*(?:portions\s+)?(?:copyright[\W_]*(?:\(c\)|©|\d{4}|[<\[{]|year\b|yyyy\b)|(?:\(c\)|©)\s*\d{4}|all rights reserved)", re.I)
+#: Words that copyright statements before a licence may have, and characters of a line that is one.
+STATEMENT_WORDS, STATEMENT_CHARS = 80, 300
+_SINGLE = {a: b for a, b in EQUIVALENT if " " not in a and a != b}
+_PAIR = {tuple(a.split()): b.split() for a, b in EQUIVALENT if " " in a}
+
+
+@dataclass(frozen=True)
+class Words:
+    """Canonical words of a text and the line (from 0) of each."""
+
+    words: list[str]
+    lines: list[int]
+
+    def joined(self) -> str:
+        return " " + " ".join(self.words) + " "
+
+
+def worded(text: str, statements: bool) -> Words:
+    """The words of a text spelled one way; without ``statements``, lines that are copyright statements are left out."""
+    words, lines = [], []
+    for n, line in enumerate(text.split("\n")):
+        if not statements and len(line) <= STATEMENT_CHARS and STATEMENT.match(line):
+            continue
+        for w in WORD.findall(line.lower()):
+            w = _SINGLE.get(w, w)
+            if words and (pair := _PAIR.get((words[-1], w))):
+                words[-1] = pair[0]
+                if len(pair) == 1:
+                    continue
+                w = pair[1]
+            words.append(w)
+            lines.append(n)
+    return Words(words, lines)
+
+
+@dataclass(frozen=True)
+class Known:
+    """A known text as words between spaces: ``body`` is needed, ``title`` may stand before it."""
+
+    license_id: str
+    title: str
+    body: str
+    digest: str
+
+
+def parted(text: str) -> tuple[str, str]:
+    """(title, body): a title is a first paragraph without a full stop; copyright statements between them are dropped."""
+    first, _, rest = text.strip().partition("\n\n")
+    title = first if rest and not STATEMENT.match(first) and not re.search(r"[.:;]\s*$", first) else ""
+    return title, rest if title or STATEMENT.match(first) else text
+
+
+@lru_cache(maxsize=4)
+def known_words(texts: tuple[tuple[str, str], ...]) -> tuple[Known, ...]:
+    """Known texts with and without the copyright statements inside them, longest first."""
+    found = {}
+    for name, text in texts:
+        digest = hashlib.sha256(canonical_text(text).encode()).hexdigest()
+        title, body = parted(text)
+        while STATEMENT.match(body) and "\n\n" in body:
+            body = body.partition("\n\n")[2]
+        for statements in (True, False):
+            words = worded(body, statements).joined()
+            if words.strip():
+                found.setdefault(words, Known(name, worded(title, True).joined(), words, digest))
+    return tuple(sorted(found.values(), key=lambda k: -len(k.body)))
+
+
+def opening(texts: tuple[tuple[str, str], ...], most: int = 3) -> str:
+    """A regular expression that every text with one of the known bodies matches, in any wrapping and spelling."""
+    split_up = {w for a, b in EQUIVALENT if " " in a for w in b.split()}
+    found = set()
+    for known in known_words(texts):
+        first = known.body.split()[:most]
+        n = next((i for i, w in enumerate(first) if w in split_up), len(first))
+        spelled = ["(?:" + "|".join([w, *(a for a, b in _SINGLE.items() if b == w)]) + ")" for w in first[:n]]
+        found.add(r"[^\p{L}\p{N}]+".join(spelled))
+    return r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(found)) + ")"
+
+
+def before_is_free(before: str, known: Known) -> bool:
+    """If only the title and copyright statements stand before a body."""
+    for title in (known.title, f" the{known.title}"):
+        if known.title.strip() and before.startswith(title):
+            before = before[len(title) - 1 :]
+            break
+    words = before.split()
+    stated = re.match(r"(?:portions )?(?:copyright(?: |$)|c \d{4}\b|\d{4}\b|all rights reserved\b)", before.strip())
+    return not words or (len(words) <= STATEMENT_WORDS and bool(stated))
+
+
+def whole_licence(text: str | None, texts: tuple[tuple[str, str], ...]) -> str | None:
+    """The known licence that a text is, in any wrapping."""
+    if not text:
+        return None
+    for statements in (True, False):
+        words = worded(text, statements).joined()
+        for known in known_words(texts):
+            if words.endswith(known.body) and before_is_free(words[: len(words) - len(known.body) + 1], known):
+                return known.license_id
+    return None
+
+
+def whole_licences(text: Column, texts: tuple[tuple[str, str], ...]) -> Column:
+    @F.pandas_udf("string")
+    def found(series: pd.Series) -> pd.Series:
+        return pd.Series([whole_licence(t, texts) for t in series], dtype=object)
+
+    return found(text)
+
 
 def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str = "text") -> DataFrame:
     """``doc_id, line, digest, license_id``: a row for each document as a whole (``line`` null, ``license_id`` null if
     it is no known licence), and one for each of its lines that is a known text (``line`` from 1).
 
+    ``license_id`` of a whole document is also that of a known text whose words it has in another wrapping, without the
+    title or with the copyright statement on the line of the text; ``digest`` stays that of the canonical text, as in
+    the SQL. Words are compared in Python, only of documents that contain the first words of a known text.
+
     The known texts are the caller's list, so their digests are broadcast. Lengths of canonical texts are compared
     before digests of lines are made. A null text has a null digest and no lines; a text without letters or digits has
     the digest of the empty text. Repeated rows are reported each. Nothing is shuffled.
@@ -150,7 +274,13 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str
     listed = F.broadcast(spark.createDataFrame([(d, n) for n, d, _ in known], "_known string, license_id string"))
     lengths = sorted({n for _, _, n in known})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    whole = rows.select("doc_id", F.lit(None).cast("int").alias("line"), F.sha2(canonical(F.col("_text")).cast("binary"), 256).alias("digest"))
+    maybe = F.when(F.col("_text").rlike(opening(texts)), F.col("_text"))
+    whole = rows.select(
+        "doc_id",
+        F.lit(None).cast("int").alias("line"),
+        F.sha2(canonical(F.col("_text")).cast("binary"), 256).alias("digest"),
+        whole_licences(maybe, texts).alias("_same_words"),
+    )
     lines = rows.filter(F.length("_text") >= min(lengths)).select("doc_id", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
     lines = lines.filter(F.length("_line") >= min(lengths)).select(
         "doc_id", (F.col("line") + 1).alias("line"), F.explode(F.array(canonical(F.col("_line")))).alias("_plain")
@@ -158,7 +288,8 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str
     lines = lines.filter(F.length("_plain").isin(lengths)).select(
         "doc_id", "line", F.sha2(F.col("_plain").cast("binary"), 256).alias("digest")
     )
-    out = whole.join(listed, F.col("digest") == F.col("_known"), "left").drop("_known")
+    out = whole.join(listed, F.col("digest") == F.col("_known"), "left")
+    out = out.select("doc_id", "line", "digest", F.coalesce("license_id", "_same_words").alias("license_id"))
     return out.unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
 
 
