@@ -16,6 +16,7 @@ import re
 from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -135,6 +136,26 @@ def canonical_text(text: str) -> str:
     return reduce(lambda t, pair: t.replace(f" {pair[0]} ", f" {pair[1]} "), EQUIVALENT, plain).strip()
 
 
+@lru_cache(maxsize=1)
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """The licences of the data folder: entire texts, and those up to the end of the terms without what follows."""
+    found = []
+    for file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        text, name = file.read_text(encoding="utf-8"), file.name[: -len(".txt")]
+        title, everyone, rest = text.partition("Everyone is permitted to copy")
+        if everyone:
+            # The publisher's address between the title and this sentence has changed over time.
+            text = "\n".join(title.strip().split("\n\n")[:1]) + "\n\n" + everyone + rest
+        found.append((name, text))
+        terms, end, rest = text.partition("END OF TERMS AND CONDITIONS")
+        if rest.strip():
+            found += [(name, terms + end), (name, terms)]
+    for name, text in (*KNOWN, *found):
+        if name.startswith("BSD-") and "\n" in text:
+            found.append((name, re.sub(r"(?m)^\s*[1-4]\. ", "* ", text)))
+    return tuple(found)
+
+
 def known_digests(texts: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str, str, int]]:
     """(licence, digest, length of the canonical text), each digest once."""
     found = {}
@@ -237,27 +258,75 @@ def before_is_free(before: str, known: Known) -> bool:
     return not words or (len(words) <= STATEMENT_WORDS and bool(stated))
 
 
-def whole_licence(text: str | None, texts: tuple[tuple[str, str], ...]) -> str | None:
-    """The known licence that a text is, in any wrapping."""
+def covered(text: str | None, texts: tuple[tuple[str, str], ...]) -> list[tuple[int | None, str, str]]:
+    """(line, licence, digest) of what a text has of the known ones in any wrapping.
+
+    One entry without a line if the text as a whole is a known one. Otherwise the runs of entire lines that are one,
+    with the line (from 1) where they begin; runs do not overlap, the longest comes first. Single lines that the
+    digests of lines find are left to those.
+    """
     if not text:
-        return None
+        return []
+    lines = text.split("\n")
+    runs: dict[int, tuple[int, str, str]] = {}
+    taken: set[int] = set()
     for statements in (True, False):
-        words = worded(text, statements).joined()
+        read = worded(text, statements)
+        joined, starts, at = read.joined(), [], 1
+        for w in read.words:
+            starts.append(at)
+            at += len(w) + 1
         for known in known_words(texts):
-            if words.endswith(known.body) and before_is_free(words[: len(words) - len(known.body) + 1], known):
-                return known.license_id
-    return None
+            found = joined.find(known.body)
+            while found >= 0:
+                i, j = bisect_left(starts, found + 1), bisect_left(starts, found + len(known.body)) - 1
+                before = joined[: found + 1]
+                if j == len(starts) - 1 and before_is_free(before, known):
+                    return [(None, known.license_id, known.digest)]
+                # Lines before the first one are other text; on it, only statements and the title may stand.
+                first = bisect_left(read.lines, read.lines[i])
+                own = joined[starts[first] - 1 : found + 1]
+                ends = j == len(starts) - 1 or read.lines[j + 1] != read.lines[j]
+                span = range(read.lines[i], read.lines[j] + 1)
+                if ends and before_is_free(own, known) and taken.isdisjoint(span):
+                    taken.update(span)
+                    if len(span) > 1 or digest_of(lines[span[0]]) not in listed_digests(texts):
+                        runs[span[0]] = (span[0] + 1, known.license_id, known.digest)
+                found = joined.find(known.body, found + 1)
+    return [runs[n] for n in sorted(runs)]
+
 
+def whole_licence(text: str | None, texts: tuple[tuple[str, str], ...]) -> str | None:
+    """The known licence that a text is, in any wrapping."""
+    return next((name for line, name, _ in covered(text, texts) if line is None), None)
 
-def whole_licences(text: Column, texts: tuple[tuple[str, str], ...]) -> Column:
-    @F.pandas_udf("string")
+
+def digest_of(text: str) -> str:
+    return hashlib.sha256(canonical_text(text).encode()).hexdigest()
+
+
+@lru_cache(maxsize=4)
+def listed_digests(texts: tuple[tuple[str, str], ...]) -> frozenset[str]:
+    return frozenset(d for _, d, _ in known_digests(texts))
+
+
+def covered_runs(text: Column, texts: tuple[tuple[str, str], ...], more: tuple[tuple[str, str], ...]) -> Column:
+    """``covered`` of each text: ``texts`` are known to the digests, ``more`` only as words."""
+
+    @F.pandas_udf("array<struct<line: int, license_id: string, digest: string>>")
     def found(series: pd.Series) -> pd.Series:
-        return pd.Series([whole_licence(t, texts) for t in series], dtype=object)
+        names = ("line", "license_id", "digest")
+        return pd.Series([[dict(zip(names, r)) for r in covered(t, (*texts, *more))] for t in series], dtype=object)
 
     return found(text)
 
 
-def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str = "text") -> DataFrame:
+def scan(
+    docs: DataFrame,
+    texts: tuple[tuple[str, str], ...] = KNOWN,
+    text: str = "text",
+    more: tuple[tuple[str, str], ...] | None = None,
+) -> DataFrame:
     """``doc_id, line, digest, license_id``: a row for each document as a whole (``line`` null, ``license_id`` null if
     it is no known licence), and one for each of its lines that is a known text (``line`` from 1).
 
@@ -265,22 +334,29 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str
     title or with the copyright statement on the line of the text; ``digest`` stays that of the canonical text, as in
     the SQL. Words are compared in Python, only of documents that contain the first words of a known text.
 
+    Runs of lines that are a known text in any wrapping have a row too, with the line where their body begins (after a
+    title) and the digest of the known text. ``more`` are texts looked for as words only, so whole copies and runs of them are found as well.
+
     The known texts are the caller's list, so their digests are broadcast. Lengths of canonical texts are compared
     before digests of lines are made. A null text has a null digest and no lines; a text without letters or digits has
     the digest of the empty text. Repeated rows are reported each. Nothing is shuffled.
     """
     spark = docs.sparkSession
+    more = full_texts() if more is None else more
     known = known_digests(texts)
     listed = F.broadcast(spark.createDataFrame([(d, n) for n, d, _ in known], "_known string, license_id string"))
     lengths = sorted({n for _, _, n in known})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    maybe = F.when(F.col("_text").rlike(opening(texts)), F.col("_text"))
+    some = F.col("_text").rlike(opening((*texts, *more)))
+    maybe = F.when(some, F.col("_text"))
     whole = rows.select(
         "doc_id",
         F.lit(None).cast("int").alias("line"),
         F.sha2(canonical(F.col("_text")).cast("binary"), 256).alias("digest"),
-        whole_licences(maybe, texts).alias("_same_words"),
+        covered_runs(maybe, texts, more).alias("_runs"),
     )
+    runs = rows.filter(some).select("doc_id", F.explode(covered_runs(F.col("_text"), texts, more)).alias("_run"))
+    runs = runs.filter("_run.line is not null").select("doc_id", "_run.line", "_run.digest", "_run.license_id")
     lines = rows.filter(F.length("_text") >= min(lengths)).select("doc_id", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
     lines = lines.filter(F.length("_line") >= min(lengths)).select(
         "doc_id", (F.col("line") + 1).alias("line"), F.explode(F.array(canonical(F.col("_line")))).alias("_plain")
@@ -289,7 +365,8 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, text: str
         "doc_id", "line", F.sha2(F.col("_plain").cast("binary"), 256).alias("digest")
     )
     out = whole.join(listed, F.col("digest") == F.col("_known"), "left")
-    out = out.select("doc_id", "line", "digest", F.coalesce("license_id", "_same_words").alias("license_id"))
+    same = F.get(F.filter("_runs", lambda r: r.getField("line").isNull()), F.lit(0)).getField("license_id")
+    out = out.select("doc_id", "line", "digest", F.coalesce("license_id", same).alias("license_id")).unionByName(runs)
     return out.unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
 
 
