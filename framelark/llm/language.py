@@ -141,7 +141,7 @@ def fit(
 ) -> LanguageModel:
     """Learn from rows with a language and a text with letters; other rows are left out.
 
-    Document frequencies are counted over all of them. Centroids come from ``sample`` texts of each language, those
+    Document frequencies are counted over all of them. Centroids come from ``sample`` different texts of each language, those
     with the smallest hash: that bound keeps what one task clusters at ``sample`` vectors of 64 kB. Every fourth of them is set
     aside (all are used for both if there are fewer than eight). A text is rejected below ``reject`` times a low
     quantile of the cosines of texts set aside in its length band. Without rows the model knows no language: it
@@ -162,8 +162,14 @@ def fit(
     counts = np.frombuffer(summed[0]) if summed else np.zeros((1 << BITS) + 1)
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
 
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"))
-    chosen = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample)
+    # Hashes are ranked once for each text, so copies of one text do not fill the sample.
+    hashed = rows.withColumn("_hash", F.xxhash64("text"))
+    first = Window.partitionBy("_lang").orderBy("_of")
+    wanted = hashed.select(F.col("lang").alias("_lang"), F.col("_hash").alias("_of")).distinct()
+    wanted = wanted.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample)
+    # At most ``sample`` rows a language.
+    met = hashed.join(F.broadcast(wanted), (F.col("lang") == F.col("_lang")) & (F.col("_hash") == F.col("_of")))
+    chosen = met.groupBy("lang", "n").agg(F.min("text").alias("text"))
 
     def embedded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

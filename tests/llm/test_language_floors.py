@@ -36,3 +36,13 @@ def test_without_labels_all_texts_with_letters_are_kept(spark):
     docs = spark.createDataFrame([("one text", None), ("...", None)], "text string, lang string")
     found = docs.select("text", language.predicted(language.fit(docs)).alias("p")).collect()
     assert {r.text: (r.p.lang_pred, r.p.rejected) for r in found} == {"one text": ("und", False), "...": ("und", True)}
+
+
+def test_copies_of_one_text_do_not_fill_the_sample(spark):
+    rng = random.Random(5)
+    words = "the of and that was with over under hand thing stone river".split()
+    rows = [(" ".join(rng.choice(words) for _ in range(30)), "en") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    copied = docs.orderBy(F.xxhash64("text")).first()["text"]
+    many = docs.unionByName(spark.createDataFrame([(copied, "en")] * 200, docs.schema))
+    assert len(language.fit(many, sample=40).langs) == len(language.fit(docs, sample=40).langs) > 1
