@@ -4,12 +4,13 @@ A text is a bag of shingles of five words, lower-cased, weighted by how often th
 process of that rate are drawn for each shingle from its hash and thrown into ``REGISTERS`` registers, each of which
 keeps its first arrival; a shingle stops as soon as its next arrival is later than all of them. Two bags have the same
 shingle in a register with a probability equal to their probability Jaccard similarity. Texts that agree in a band of
-``ROWS`` registers are candidates.
+``ROWS`` registers are candidates. A text with repeated shingles has a second signature and bands, with weight 1 for each
+shingle, whose agreement estimates the plain Jaccard similarity of the sets.
 
 Copies with the same words are one text from the start. Candidates are first joined to raw components, unverified, so
 that each text's shingles meet those of its possible partners once; a component that is too large for a task is cut in
-blocks, and every two blocks meet. Inside, pairs are compared exactly from the likeliest down; those already in one
-class need not be. A pair is a link if its probability Jaccard or the plain Jaccard of its shingle sets reaches the
+blocks, and every two blocks meet. Inside, pairs are compared exactly from the likeliest down, where either signature makes them likely;
+those already in one class need not be. A pair is a link if its probability Jaccard or the plain Jaccard of its shingle sets reaches the
 threshold. Classes are the components of the links.
 
 The chance that a pair at the threshold of 0.8 shares no band is 7e-5, and falls quickly above it.
@@ -36,8 +37,8 @@ REGISTERS = BANDS * ROWS
 BATCH_BYTES = 4_000_000
 #: Texts that meet in one task; two blocks of half as many where a component is larger.
 MEET = 2048
-#: Compared exactly if the share of equal registers is at least this: four standard errors below the threshold.
-LIKELY = 0.65
+#: Compared exactly if either share of equal registers is at least this: five standard errors below the threshold.
+LIKELY = 0.6
 
 
 def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +78,18 @@ def signature(hashes: np.ndarray, weights: np.ndarray, registers: int = REGISTER
     return who
 
 
+def signatures(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The signature by counts and that of the set; they are one if nothing is repeated."""
+    counted = signature(hashes, counts)
+    return counted, counted if not len(counts) or counts.max() == 1 else signature(hashes, np.ones_like(counts))
+
+
+def all_band_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Keys of the bands of both signatures, each once."""
+    counted, plain = signatures(hashes, counts)
+    return band_keys(counted) if plain is counted else np.unique(np.concatenate([band_keys(counted), band_keys(plain)]))
+
+
 def band_keys(found: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for k in range(ROWS):
@@ -112,15 +125,16 @@ def linked(bags: list[tuple[np.ndarray, np.ndarray]], left: np.ndarray, right: n
             i = parent[i]
         return i
 
-    prints = np.stack([signature(*bag) for bag in bags])
+    both = [signatures(*bag) for bag in bags]
+    prints, plain = np.stack([c for c, _ in both]), np.stack([p for _, p in both])
     found = []
     same = left is right
     likely = []
     for n, i in enumerate(left):
         others = right[n + 1 :] if same else right
         if len(others):
-            share = (prints[others] == prints[i]).mean(axis=1)
-            keep = np.flatnonzero(share >= LIKELY) if len(bags) > 32 else np.arange(len(others))
+            share = np.maximum((prints[others] == prints[i]).mean(axis=1), (plain[others] == plain[i]).mean(axis=1))
+            keep = np.flatnonzero(share >= LIKELY)
             likely.append(np.stack([-share[keep], np.full(len(keep), i), others[keep]], axis=1))
     pairs = np.concatenate(likely) if likely else np.empty((0, 3))
     for _, i, j in pairs[np.argsort(pairs[:, 0], kind="stable")]:
@@ -155,7 +169,7 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
                 for t in part["text"]:
                     words = words_lower(t)
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-                    bands.append(band_keys(signature(*shingles(words))) if words else None)
+                    bands.append(all_band_keys(*shingles(words)) if words else None)
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].astype("Int64"),
