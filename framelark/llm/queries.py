@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelark.llm import fingerprint, language, licences, maxent, neardup, toxicity
+from framelark.llm.blockmax import exact_top, exact_top_sql
+from framelark.llm.clustering import clusters, clusters_sql
 from framelark.llm.common import fold, table
 from framelark.llm.mixing import copies
 from framelark.llm.packing import pack
 from framelark.llm.pseudonyms import pseudonymised
 from framelark.llm.search import nearest
 from framelark.llm.tokens import token_pieces
+from framelark.llm.vectorcodes import compressed, compressed_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: A fixed key, so that reruns of the queries agree. Whoever publishes results uses a secret one.
@@ -72,6 +75,18 @@ def op8_hashed_maxent_scores(spark: SparkSession, sf: str) -> DataFrame:
     return maxent.scores(table(spark, sf, "documents"), fold("doc_id", 5) == 1)
 
 
+def op11_pivot_table_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters(table(spark, sf, "embeddings")).drop("compared")
+
+
+def op12_bitmask_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return compressed(table(spark, sf, "embeddings"))
+
+
+def op13_block_bound_search(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_top(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,8 +104,14 @@ QUERIES: dict[str, Query] = {
     "op8_hashed_maxent_scores": op8_hashed_maxent_scores,
     "op9_subword_toxicity": op9_subword_toxicity,
     "op10_weighted_sampling_fingerprints": op10_weighted_sampling_fingerprints,
+    "op11_pivot_table_clusters": op11_pivot_table_clusters,
+    "op12_bitmask_vector_codes": op12_bitmask_vector_codes,
+    "op13_block_bound_search": op13_block_bound_search,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op4_licence_digests": licences.scan_sql(),
+    "op11_pivot_table_clusters": clusters_sql(),
+    "op12_bitmask_vector_codes": compressed_sql(),
+    "op13_block_bound_search": exact_top_sql(),
 }
