@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.functions import media_key, metadata_key, safe_id
+from framelark.functions.ids import file_stem
 from framelark.operators.dedup import first_per_key
 from framelark.operators.pending import ingest_pending
-
-# A million ids and places are some tens of megabytes.
-MAX_BROADCAST_ROWS = 1_000_000
+from framelark.operators.places import bit_of, bits_before, container_of, has_bit, row_containers
 
 FIELDS = {
     "fine_category": "content_fine_category",
@@ -90,16 +89,24 @@ def build_manifest(
     return entry.select(*MANIFEST_COLUMNS, "shard", "row_pos")
 
 
-def media_rows(shards: DataFrame, entries: DataFrame, category: str, most_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Media bytes and metadata of the given manifest entries of a category, by their place in the source.
+def media_rows(shards: DataFrame, entries: DataFrame, category: str) -> DataFrame:
+    """Media bytes and metadata of the given manifest entries of a category, each row with its ``video_id``.
 
-    The entries are counted first. Up to ``most_broadcast`` of them are sent to the media, which then stay where they were
-    read; beyond that both sides are shuffled by place, which no two rows share.
+    The media stay where they are read, however many entries there are: no row of the scan is exchanged. Places and names are
+    looked at first, without the bytes, and of each shard a bit map of the rows that are not wanted goes to the scan. Ids come
+    from the rows themselves, as in ``build_manifest``; rows without a usable name get their number from a second bit map.
+    That is at most a quarter of a byte for each row of the category (most shards need no bit at all), so 250 MB for
+    a billion videos.
     """
-    places = entries.select("video_id", "shard", "row_pos")
-    if places.limit(most_broadcast + 1).count() <= most_broadcast:
-        places = F.broadcast(places)
-    return in_category(shards, category).join(places, ["shard", "row_pos"])
+    name = "json.original_video_filename"
+    places = in_category(shards, category).select("shard", "row_pos", F.col(name).alias("file_name"))
+    known = F.broadcast(row_containers(places, entries, file_stem("file_name") == ""))
+    bit = bit_of("row_pos")
+    rows = in_category(shards, category).withColumn("container", container_of("row_pos"))
+    rows = rows.join(known, ["shard", "container"], "left")
+    unwanted = F.coalesce("none", F.lit(False)) | F.coalesce(has_bit(F.col("lost"), bit), F.lit(False))
+    number = F.col("earlier") + bits_before(F.col("members"), bit)
+    return rows.filter(~unwanted).select(*shards.columns, safe_id(name, "shard", number).alias("video_id"))
 
 
 def summary(manifest: DataFrame, category: str, prefix: str, n_shards: int | None = None) -> DataFrame:
