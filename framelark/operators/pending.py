@@ -35,6 +35,14 @@ def rejected_records(manifest: DataFrame) -> DataFrame:
     return manifest.filter(F.col("id").isNull())
 
 
+def shards_left(shards: DataFrame, done_shards: DataFrame) -> DataFrame:
+    """Rows of a table of shard files (``sources.shard_table``) that are not marked done.
+
+    Anti-joined before any file is opened: a scan of what is left neither lists nor reads the others.
+    """
+    return shards.join(done_shards.select("shard").distinct(), "shard", "left_anti")
+
+
 def ingest_pending(
     candidates: DataFrame, ingested: DataFrame | None = None, done_shards: DataFrame | None = None
 ) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Splitting a manifest over outside workers, and in chunks."""
+"""Splitting a manifest over outside workers, and in chunks.
+
+Lines of text are numbered as they are read (``sources.with_line_index``), rows of a table by a global sort. Both have the
+number in ``row_index``, and the rest is arithmetic on it.
+"""
 
 from __future__ import annotations
 
@@ -9,17 +13,21 @@ from framelark.operators.layout import with_row_index
 from framelark.schemas import BATCH_SIZE
 
 
-def interleaved(df: DataFrame, order_by: list[str | Column], n: int, base: int = 0, name: str = "shard") -> DataFrame:
-    """Deal records round robin over ``n`` shards in the given order.
+def dealt(indexed: DataFrame, n: int, base: int = 0, name: str = "shard") -> DataFrame:
+    """Deal numbered records round robin over ``n`` shards.
 
     ``base`` is the number of the first line: 0 deals it to shard 0, 1 to shard 1.
     """
     if n < 1:
         raise ValueError(f"number of shards must be at least 1, got {n}")
-    indexed = with_row_index(df, order_by)
     return indexed.withColumn(name, F.pmod(F.col("row_index") + base, F.lit(n)).cast("int"))
 
 
+def interleaved(df: DataFrame, order_by: list[str | Column], n: int, base: int = 0, name: str = "shard") -> DataFrame:
+    """``dealt`` for rows of a table in the given order."""
+    return dealt(with_row_index(df, order_by), n, base, name)
+
+
 def one_shard(df: DataFrame, order_by: list[str | Column], k: int, n: int, base: int = 0) -> DataFrame:
     """The records that round-robin dealing gives to shard ``k``."""
     if not 0 <= k < n:
@@ -32,7 +40,11 @@ def hashed(df: DataFrame, key: str, n: int, name: str = "shard") -> DataFrame:
     return df.withColumn(name, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
 
 
-def chunked(df: DataFrame, order_by: list[str | Column], size: int = BATCH_SIZE, name: str = "chunk") -> DataFrame:
-    """Number consecutive slices of ``size`` records; only the last one may be shorter."""
-    indexed = with_row_index(df, order_by)
+def sliced(indexed: DataFrame, size: int = BATCH_SIZE, name: str = "chunk") -> DataFrame:
+    """Number consecutive slices of ``size`` numbered records; only the last one may be shorter."""
     return indexed.withColumn(name, F.call_function("div", F.col("row_index"), F.lit(size)).cast("bigint"))
+
+
+def chunked(df: DataFrame, order_by: list[str | Column], size: int = BATCH_SIZE, name: str = "chunk") -> DataFrame:
+    """``sliced`` for rows of a table in the given order."""
+    return sliced(with_row_index(df, order_by), size, name)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from framelark.functions import media_key, metadata_key, safe_id
 from framelark.functions.ids import file_stem
 from framelark.operators.dedup import first_per_key
-from framelark.operators.pending import ingest_pending
+from framelark.operators.pending import ingest_pending, shards_left
 from framelark.operators.places import bit_of, bits_before, container_of, has_bit, row_containers
+from framelark.sources.files import read_shard_table
 
 FIELDS = {
     "fine_category": "content_fine_category",
@@ -77,6 +78,7 @@ def build_manifest(
 
     Media bytes are not read. ``ingested`` and ``done_shards`` restrict it to what is new. Done shards are left out before
     the first row of an id is looked for: a name that a done shard has too, but did not store, is taken from its new shard.
+    ``done_shards`` here drops rows that were read; where shards are files, ``new_manifest`` does not read them.
     """
     rows = ingest_pending(identified(ingest_pending(shards, None, done_shards), category), ingested)
     entry = rows.withColumns(
@@ -89,6 +91,18 @@ def build_manifest(
     return entry.select(*MANIFEST_COLUMNS, "shard", "row_pos")
 
 
+def new_manifest(
+    files: DataFrame, category: str, prefix: str, done_shards: DataFrame, ingested: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(manifest entries, source rows) of the shard files that are not done.
+
+    ``files`` is the table of all shard files. Done ones are taken off it before the scan is planned, so they are not
+    even opened, and the others keep their numbers: shards, places and ids are those of a scan of all files.
+    """
+    shards = read_shard_table(shards_left(files, done_shards))
+    return build_manifest(shards, category, prefix, ingested), shards
+
+
 def media_rows(shards: DataFrame, entries: DataFrame, category: str) -> DataFrame:
     """Media bytes and metadata of the given manifest entries of a category, each row with its ``video_id``.
 

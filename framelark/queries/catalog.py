@@ -18,7 +18,7 @@ from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
 from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
 from framelark.session import new_path
-from framelark.sources import read_lines
+from framelark.sources import list_files, read_lines, shard_table, text_lines, with_line_index
 from framelark.sources.jsonl import LINE_ORDER, parse_strict
 from framelark.streaming import append_log, compact_log, merged_log, read_scored, score_manifest_stream, stream_lines
 
@@ -86,19 +86,30 @@ def run_throughput(spark: SparkSession, sf: str) -> DataFrame:
 # Sharding
 
 
+def _numbered_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Inference records read from the lines of a manifest, with their line numbers."""
+    path = new_path(spark, "manifest-lines")
+    fields = F.struct("id", "prompt", "image", "images")
+    fx.inference_records(spark, sf).orderBy("doc_id").select(F.to_json(fields).alias("value")).write.text(path)
+    return parse_strict(with_line_index(text_lines(spark, path, "*.txt")), INFERENCE_MANIFEST)
+
+
 def shard_interleave(spark: SparkSession, sf: str) -> DataFrame:
-    records = fx.inference_records(spark, sf).select("doc_id", "id")
-    return sharding.interleaved(records, ["doc_id"], 4).select("id", "row_index", "shard")
+    return sharding.dealt(_numbered_records(spark, sf), 4).select("id", "row_index", "shard")
 
 
 def shard_interleave_awk(spark: SparkSession, sf: str) -> DataFrame:
-    records = fx.inference_records(spark, sf).select("doc_id", "id")
-    return sharding.interleaved(records, ["doc_id"], 4, base=1).select("id", "shard")
+    return sharding.dealt(_numbered_records(spark, sf), 4, base=1).select("id", "shard")
 
 
 def batch_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.sliced(_numbered_records(spark, sf)).select("id", "chunk")
+
+
+def table_interleave(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for rows of a table, which have no lines: numbered by a global sort."""
     records = fx.inference_records(spark, sf).select("doc_id", "id")
-    return sharding.chunked(records, ["doc_id"]).select("id", "chunk")
+    return sharding.interleaved(records, ["doc_id"], 4).select("id", "row_index", "shard")
 
 
 # Ingest
@@ -148,11 +159,24 @@ def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_new_only(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents count as stored, the shards numbered like a region as done."""
+    """Labelled documents count as stored, the shard files numbered like a region as done and are not opened."""
+    stored = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
+    done = fx.table(spark, sf, "region").select(F.col("r_regionkey").cast("int").alias("shard"))
+    files = shard_table(spark, list_files(spark, fx.write_shards(spark, sf), "*.parquet"))
+    found, _ = ingest.new_manifest(files, fx.CATEGORY, fx.PREFIX, done, stored)
+    return found.select("video_id", "video_key", F.col("shard").cast("bigint").alias("shard"), "row_pos")
+
+
+def media_of_new_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Media of the entries of ``ingest_new_only``, read from the shard files that are not done."""
     stored = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
-    done = fx.table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("shard"))
-    found = ingest.build_manifest(fx.shard_rows(spark, sf), fx.CATEGORY, fx.PREFIX, stored, done)
-    return found.select("video_id", "video_key", "shard")
+    done = fx.table(spark, sf, "region").select(F.col("r_regionkey").cast("int").alias("shard"))
+    files = shard_table(spark, list_files(spark, fx.write_shards(spark, sf), "*.parquet"))
+    entries, shards = ingest.new_manifest(files, fx.CATEGORY, fx.PREFIX, done, stored)
+    out = new_path(spark, "media")
+    sinks.write_media(ingest.media_rows(shards, entries, fx.CATEGORY), out)
+    title = F.get_json_object("metadata", "$.content_metadata.title")
+    return spark.read.parquet(out).select("video_id", F.sha2("mp4", 256).alias("digest"), title.alias("title"))
 
 
 def ingest_cap(spark: SparkSession, sf: str) -> DataFrame:
@@ -460,6 +484,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         jsonl_scan_lenient, manifest_scan_strict, merge_train, merge_errors, merge_rejects, merge_counts,
         resume_pending, manifest_rejects, reconcile_counts, merge_round_trip, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
+        table_interleave, media_of_new_shards,
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framelark.plans import frames as frame_plans
 from framelark.plans import ingest
 from framelark.plans.results import classified
+from framelark.session import new_path
 
 CATEGORY = "en"
 PREFIX = "media/en"
@@ -78,6 +79,15 @@ def shard_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def write_shards(spark: SparkSession, sf: str) -> str:
+    """``shard_rows`` as one file for each shard, in a folder of its own; its path."""
+    path = new_path(spark, "shards")
+    rows = shard_rows(spark, sf).select(F.format_string("%08d", "shard").alias("part"), "row_pos", "mp4", "json")
+    rows = rows.repartition("part").sortWithinPartitions("part", "row_pos").drop("row_pos")
+    rows.write.partitionBy("part").parquet(path)
+    return path
+
+
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.build_manifest(shard_rows(spark, sf), CATEGORY, PREFIX)
 

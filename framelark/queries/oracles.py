@@ -36,6 +36,10 @@ PARTS = {
           'media/en/' || row_pos || '/video.mp4' AS video_key, 'media/en/' || row_pos || '/metadata.json' AS metadata_key,
           channel, title, upload_date, duration, resolution, shard, row_pos
         FROM shard_rows WHERE parent_category = 'en'""",
+    "placed": r"""
+        SELECT m.* EXCLUDE (shard), f.shard, f.place FROM manifest m JOIN (
+          SELECT row_pos, dense_rank() OVER (ORDER BY shard) - 1 AS shard,
+            row_number() OVER (PARTITION BY shard ORDER BY row_pos) - 1 AS place FROM shard_rows) f USING (row_pos)""",
     "frames": r"""
         SELECT video_id, duration, resolution,
           list_transform(range(1, 17), lambda i: 'media/en/' || video_id || '/frames/frame_' || lpad(CAST(i AS VARCHAR), 3, '0') || '.jpg') AS frames
@@ -96,6 +100,7 @@ NEEDS = {
     "train": ["log"],
     "manifest": ["shard_rows"],
     "frames": ["manifest"],
+    "placed": ["manifest"],
     "listed": ["records"],
     "some_unnamed": ["records"],
     "scored": ["listed"],
@@ -191,6 +196,11 @@ BODIES: dict[str, tuple[str, list[str]]] = {
              CAST((row_number() OVER (ORDER BY doc_id) - 1) % 4 AS INTEGER) AS shard FROM documents""",
         [],
     ),
+    "table_interleave": (
+        """SELECT CAST(doc_id AS VARCHAR) AS id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index,
+             CAST((row_number() OVER (ORDER BY doc_id) - 1) % 4 AS INTEGER) AS shard FROM documents""",
+        [],
+    ),
     "shard_interleave_awk": (
         """SELECT CAST(doc_id AS VARCHAR) AS id, CAST(row_number() OVER (ORDER BY doc_id) % 4 AS INTEGER) AS shard
            FROM documents""",
@@ -239,9 +249,14 @@ BODIES: dict[str, tuple[str, list[str]]] = {
         ["manifest"],
     ),
     "ingest_new_only": (
-        """SELECT video_id, video_key, shard FROM manifest
+        """SELECT video_id, video_key, shard, place AS row_pos FROM placed
            WHERE row_pos NOT IN (SELECT doc_id FROM labels) AND shard NOT IN (SELECT r_regionkey FROM region)""",
-        ["manifest"],
+        ["placed"],
+    ),
+    "media_of_new_shards": (
+        """SELECT video_id, sha256(text) AS digest, p.title FROM placed p JOIN documents ON doc_id = row_pos
+           WHERE row_pos NOT IN (SELECT doc_id FROM labels) AND shard NOT IN (SELECT r_regionkey FROM region)""",
+        ["placed"],
     ),
     "ingest_cap": (
         "SELECT video_id, shard, row_pos FROM manifest ORDER BY shard, row_pos LIMIT 20",

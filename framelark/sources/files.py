@@ -7,6 +7,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelark.schemas import SHARD_ROW
 
@@ -31,16 +32,37 @@ def shard_paths(
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
 
 
-def read_shards(spark: SparkSession, paths: list[str], schema: str = SHARD_ROW) -> DataFrame:
-    """Rows of the listed shards with ``shard`` (place of the file in the list) and ``row_pos`` (place in the file).
+def shard_table(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The list of shard files as a table: ``shard`` (place of the file in the list) and ``path``."""
+    return spark.createDataFrame(list(enumerate(paths)), "shard int, path string")
+
+
+def read_shard_table(table: DataFrame, schema: str = SHARD_ROW) -> DataFrame:
+    """Rows of the shards in a table of them, under the numbers they have there.
+
+    What is left of the table is the list of files that the driver plans the scan with; no other file is opened or listed.
+    """
+    left = table.select("shard", "path").orderBy("shard").collect()
+    return read_shards(table.sparkSession, [r["path"] for r in left], schema, [r["shard"] for r in left])
+
+
+def read_shards(
+    spark: SparkSession, paths: list[str], schema: str = SHARD_ROW, numbers: list[int] | None = None
+) -> DataFrame:
+    """Rows of the listed shards with ``shard`` (place of the file in the list, or its own of ``numbers``) and ``row_pos``
+    (place in the file).
 
     Both come from file metadata, so a query that does not select ``mp4`` never reads the media bytes. ``paths`` are
     full paths, as ``shard_paths`` gives them.
     """
+    if not paths:
+        fields = T.StructType.fromDDL(schema).add("row_pos", T.LongType()).add("shard", T.IntegerType())
+        return spark.createDataFrame([], fields)
     rows = spark.read.schema(schema).parquet(*paths)
     # Spark reports paths URL-encoded, and with differing numbers of slashes after the scheme.
     reported = {re.sub(_SCHEME, "", unquote(f)): re.sub(_SCHEME, "", f) for f in rows.inputFiles()}
-    numbers = [(reported[re.sub(_SCHEME, "", p)], i) for i, p in enumerate(paths)]
+    given = range(len(paths)) if numbers is None else numbers
+    places = [(reported[re.sub(_SCHEME, "", p)], i) for i, p in zip(given, paths)]
     placed = rows.select(
         "*",
         F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_file"),
@@ -48,5 +70,5 @@ def read_shards(spark: SparkSession, paths: list[str], schema: str = SHARD_ROW)
     )
     # One short row per listed file, so never larger than the driver's own file list; without the hint the media
     # bytes would be shuffled to number them.
-    named = F.broadcast(spark.createDataFrame(numbers, "_file string, shard int"))
+    named = F.broadcast(spark.createDataFrame(places, "_file string, shard int"))
     return placed.join(named, "_file").drop("_file")

@@ -20,7 +20,16 @@ from framelark.sinks import (
     write_single_results,
     write_summary,
 )
-from framelark.sources import read_frame_bytes, read_frames, read_lines, read_results, read_shards, shard_paths
+from framelark.sources import (
+    read_frame_bytes,
+    read_frames,
+    read_lines,
+    read_results,
+    read_shard_table,
+    read_shards,
+    shard_paths,
+    shard_table,
+)
 
 
 def video(name, category="Sports", fine="Fine", duration=62, resolution="640x360"):
@@ -84,6 +93,24 @@ def test_manifest_of_what_is_new(spark, shards):
     assert {r.video_id for r in rows} == {"shard00000_row000001", "c_d", "shard00002_row000000"}
 
 
+def test_shards_that_are_done_are_not_opened_and_the_others_keep_their_numbers(spark, source, shards):
+    files = shard_table(spark, shard_paths(spark, source))
+    done = spark.createDataFrame([(0,), (0,), (7,)], "shard int")
+    entries, rows = ingest.new_manifest(files, "Sports", "p", done, spark.createDataFrame([("f",)], "video_id string"))
+    read = {f.rsplit("/", 1)[1] for f in entries.inputFiles()}
+    assert read == {f.rsplit("/", 1)[1] for f in rows.inputFiles()} == {f"train-0000{i}-of-00003.parquet" for i in (1, 2)}
+    whole = ingest.build_manifest(shards.filter("shard > 0"), "Sports", "p")
+    assert sorted(entries.collect()) == sorted(whole.filter("video_id != 'f'").collect())
+    assert "shard00002_row000000" in {r.video_id for r in entries.collect()}
+    media = {r.video_id: bytes(r.mp4) for r in ingest.media_rows(rows, entries, "Sports").collect()}
+    assert media["c_d"] == b"bytes of c_d.mp4" and set(media) == {r.video_id for r in entries.collect()}
+    # Nothing left to read is a table without rows.
+    every = spark.createDataFrame([(i,) for i in range(3)], "shard int")
+    entries, rows = ingest.new_manifest(files, "Sports", "p", every)
+    assert entries.isEmpty() and ingest.media_rows(rows, entries, "Sports").isEmpty()
+    assert read_shard_table(files).columns == shards.columns
+
+
 def test_counts_and_summary(shards):
     manifest = ingest.build_manifest(shards, "Sports", "p")
     counts = {r.shard: (r.n, r.running_total) for r in histogram.shard_counts(manifest).collect()}

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from compare import database, difference, type_difference
+from test_places import paths_above
 
 import __spark_entry__ as entry
 from framelark.queries.catalog import QUERIES
@@ -73,14 +74,24 @@ def test_merge_combines_before_its_only_shuffle(spark):
     assert "partial_max_by" in plan and plan.count("Exchange") == 1 and plan.count("from_json") == 1
 
 
-@pytest.mark.parametrize("name", ["shard_interleave", "batch_chunks"])
+@pytest.mark.parametrize("name", ["shard_interleave", "batch_chunks", "table_interleave"])
 def test_no_window_over_all_rows(spark, name):
-    """The only unpartitioned window is over one row per sorted file."""
-    plan = plan_of(QUERIES[name](spark, SF))
+    """The only unpartitioned window is over one row per sorted file, or per split of the text."""
+    found = QUERIES[name](spark, SF)
+    plan = plan_of(found)
+    if name != "table_interleave":
+        assert "rangepartitioning" not in plan and "parquet" not in plan.lower()
+        assert [kind for kind in paths_above(found, "value")[0] if "Exchange" in kind or "Sort" in kind] == []
     before = plan.split("Exchange SinglePartition")
     assert len(before) == 2 and "HashAggregate" in before[1].split("\n")[1]
 
 
+def test_done_shard_files_are_not_opened(spark):
+    found = QUERIES["ingest_new_only"](spark, "/root/testdata/sf0.01")
+    shards = {int(f.split("part=")[1].split("/")[0]) for f in found.inputFiles() if "part=" in f}
+    assert shards == {5, 6, 7, 8, 9}
+
+
 def test_lines_are_counted_once_for_all_counts(spark):
     assert "Expand" not in plan_of(QUERIES["merge_counts"](spark, SF))
 
