@@ -7,7 +7,7 @@ the sum over its terms of weight times largest (for weights below zero, smallest
 
 A query takes the blocks of a shard in descending order of bounds, a few at a time and twice as many each time, scores their
 documents by the forward index, and ends where bounds fall below its k-th score. Blocks whose bound equals it are
-scored, since ties go to the smaller id. A query first searches the shard where it would stand itself; the k-th score
+scored, since ties go to the smaller id. A query first searches the shard that holds its own row; the k-th score
 found there is where the search of all other shards begins.
 
 Every document is in the index and every query meets every shard, in tasks of at most ``SHARD_ROWS`` documents and
@@ -31,7 +31,7 @@ from framelark.session import staged
 BLOCK = 32
 SHARD_ROWS = 65_536
 #: Small tables are cut into about this many shards, so that all cores have work.
-LEAST_SHARDS, LEAST_SHARD_ROWS = 64, 1_024
+LEAST_SHARDS, LEAST_SHARD_ROWS = 64, 2_048
 QUERY_ROWS = 16_384
 #: Queries whose bounds are held at a time.
 STEP = 1_024
@@ -196,12 +196,11 @@ def searched(
     index = staged(blocks_of(dealt.select("vec_id", "x"), width, block), "blocks")
     shards = index.agg(F.max("shard")).first()[0] + 1
 
-    # The shard of a query is the one with its own row; of repeated ids, the least vector asks.
-    wide = f"shard int, vec_id long, x array<int>"
-    mine = index.mapInArrow(_rows_of(width), wide).join(whole.filter("q").select("vec_id").distinct(), "vec_id", "left_semi")
-    asking = mine.groupBy("vec_id").agg(F.min(F.struct("x", "shard")).alias("a"))
-    asking = asking.select("vec_id", "a.x", F.col("a.shard").alias("home"))
-    queries = staged(asking.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-asked // QUERY_ROWS)))).cast("int")), "queries")
+    # A query begins in the shard that has its id; of repeated ids, the least vector asks.
+    homes = index.select("shard", "ids").mapInArrow(_ids, "shard int, query_id long").groupBy("query_id").agg(F.min("shard").alias("home"))
+    asking = whole.filter("q").groupBy("vec_id").agg(F.min("x").alias("x")).join(homes, F.col("vec_id") == F.col("query_id"))
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-asked // QUERY_ROWS)))).cast("int").alias("part")
+    queries = staged(asking.select("vec_id", "x", "home", part), "queries")
     parts = queries.agg(F.max("part")).first()[0] + 1
 
     def every(count: int, name: str) -> Column:
@@ -220,18 +219,13 @@ def searched(
     return first.unionByName(rest)
 
 
-def _rows_of(width: int):
-    """The documents of blocks, one row each."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, ids, forward in zip(*(batch.column(c).to_pylist() for c in ("shard", "ids", "forward"))):
-                ids, x = np.frombuffer(ids, np.int64), np.frombuffer(forward, np.int32)
-                lists = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * width, pa.array(x))
-                arrays = [pa.array(np.full(len(ids), shard, np.int32)), pa.array(ids), lists]
-                yield pa.RecordBatch.from_arrays(arrays, ["shard", "vec_id", "x"])
-
-    return rows
+def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of blocks, one row each."""
+    for batch in batches:
+        for shard, ids in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
+            ids = np.frombuffer(ids, np.int64)
+            arrays = [pa.array(np.full(len(ids), shard, np.int32)), pa.array(ids)]
+            yield pa.RecordBatch.from_arrays(arrays, ["shard", "query_id"])
 
 
 def _search(width: int, k: int):
