@@ -20,7 +20,15 @@ from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
 from framelark.session import new_path
 from framelark.sources import list_files, read_lines, shard_table, text_lines, with_line_index
 from framelark.sources.jsonl import LINE_ORDER, parse_strict
-from framelark.streaming import append_log, compact_log, merged_log, read_scored, score_manifest_stream, stream_lines
+from framelark.streaming import (
+    append_log,
+    compact_log,
+    merged_log,
+    read_progress,
+    read_scored,
+    score_manifest_stream,
+    stream_lines,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -467,16 +475,28 @@ def stream_compact(spark: SparkSession, sf: str) -> DataFrame:
     return merged_log(spark, compacted).select("id", "raw", "n_records")
 
 
-def stream_infer(spark: SparkSession, sf: str) -> DataFrame:
-    source, scored = new_path(spark, "manifest"), new_path(spark, "scored")
+def _score_stream(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The inference records of three files scored as a stream, one file a batch: where results and progress are."""
+    source, scored, progress = (new_path(spark, name) for name in ("manifest", "scored", "progress"))
     fields = F.struct("id", "prompt", "image", "images")
-    lines = fx.inference_records(spark, sf).select(F.to_json(fields).alias("value"))
-    lines.repartition(3).write.option("compression", "none").text(f"{source}/part.jsonl")
+    lines = fx.inference_records(spark, sf).select(F.to_json(fields).alias("value"), (F.col("doc_id") % 3).alias("part"))
+    lines.repartition(3, "part").write.partitionBy("part").option("compression", "none").text(source)
     make, load = _stub_model()
     score_manifest_stream(
-        spark, source, scored, new_path(spark, "score-checkpoint"), make, load, fx.MODEL, pattern="*.txt"
+        spark, source, scored, new_path(spark, "score-checkpoint"), make, load, fx.MODEL, files_per_batch=1,
+        pattern="*.txt", progress_path=progress,
     ).awaitTermination()
-    return _shown_results(read_scored(spark, scored))
+    return scored, progress
+
+
+def stream_infer(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown_results(read_scored(spark, _score_stream(spark, sf)[0]))
+
+
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What the batches said of themselves while they ran, without their times."""
+    found = read_progress(spark, _score_stream(spark, sf)[1])
+    return found.select("processed", "errors", (F.col("per_second") > 0).alias("timed"))
 
 
 QUERIES: dict[str, Query] = {
@@ -491,6 +511,6 @@ QUERIES: dict[str, Query] = {
         prompt_fill, probe_expand, token_budget, token_budget_summary, batch_infer, probe_infer, video_infer, result_records, single_result_store, latest_label,
         label_changes, label_changes_hot_video, cache_pending, dev_subset, label_validate, label_quality,
         repetition_rate, language_compliance, field_agreement, teacher_student_join, teacher_student_report,
-        sft_rows, stream_merge, stream_compact, stream_infer,
+        sft_rows, stream_merge, stream_compact, stream_infer, stream_progress,
     )
 }

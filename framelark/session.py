@@ -27,9 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), f"framelark-{spark.sparkContext.applicationId}")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one, which other applications may use too."""
+    return f"{shared_dir(spark)}/framelark/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path of its own under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/framelark/{name}-{uuid.uuid4().hex}"
+    """A path of its own in this application's folder; nothing is created yet."""
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -44,6 +49,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete all tables staged in the shared folder. For the end of a job, when nothing lazy is left to read them."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/framelark")
+    """Delete all tables this application staged. For the end of a job, when nothing lazy is left to read them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,7 @@
-from framelark.streaming.merge import append_log, compact_log, merged_log, stream_lines
-from framelark.streaming.scoring import read_scored, score_manifest_stream
+from framelark.streaming.merge import append_log, checkpoint_token, compact_log, merged_log, stream_lines
+from framelark.streaming.scoring import read_progress, read_scored, score_manifest_stream
 
-__all__ = ["append_log", "compact_log", "merged_log", "read_scored", "score_manifest_stream", "stream_lines"]
+__all__ = [
+    "append_log", "checkpoint_token", "compact_log", "merged_log", "read_progress", "read_scored", "score_manifest_stream",
+    "stream_lines",
+]

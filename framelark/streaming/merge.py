@@ -27,10 +27,18 @@ LOG_SCHEMA = (
 
 
 def checkpoint_token(spark: SparkSession, checkpoint: str) -> str:
-    """A name for all batches of one checkpoint, made when it is first used and kept beside it."""
+    """A name for all batches of one checkpoint, made when it is first used and kept beside it.
+
+    Whatever a crash left of an earlier attempt, the first token that was written whole counts from then on.
+    """
     path = f"{checkpoint}/run_token"
-    spark.createDataFrame([(uuid.uuid4().hex,)], "token string").write.mode("ignore").json(path)
-    return spark.read.schema("token string").json(path).first()[0]
+
+    def written(tokens: list[tuple[str]]) -> str | None:
+        spark.createDataFrame(tokens, "token string").coalesce(1).write.mode("append").json(path)
+        return spark.read.schema("token string").json(path).agg(F.min("token")).first()[0]
+
+    # Nothing is appended first, so that there is a folder to read.
+    return written([]) or written([(uuid.uuid4().hex,)])
 
 
 def stream_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl", files_per_batch: int = 1000) -> DataFrame:
