@@ -23,6 +23,7 @@ from framelark.sources.jsonl import LINE_ORDER, parse_strict
 from framelark.streaming import (
     append_log,
     compact_log,
+    compact_tiers,
     merged_log,
     read_progress,
     read_scored,
@@ -449,9 +450,9 @@ def _write_log_files(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _stream_log(spark: SparkSession, sf: str) -> str:
+def _stream_log(spark: SparkSession, sf: str, files_per_batch: int = 16) -> str:
     source, log = _write_log_files(spark, sf), new_path(spark, "stream-log")
-    lines = stream_lines(spark, source, "*.txt", files_per_batch=16)
+    lines = stream_lines(spark, source, "*.txt", files_per_batch)
     append_log(lines, log, new_path(spark, "stream-checkpoint")).awaitTermination()
     return log
 
@@ -470,6 +471,14 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """The log in runs of like size, read by its manifest; it equals the log as it came."""
+    log = _stream_log(spark, sf, files_per_batch=4)
+    compact_tiers(spark, log, fanout=3)
+    return merged_log(spark, log).select("id", "raw", "n_records")
+
+
+def stream_compact_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """The log rewritten as a whole."""
     compacted = new_path(spark, "compact-log")
     compact_log(spark, compacted, _stream_log(spark, sf))
     return merged_log(spark, compacted).select("id", "raw", "n_records")
@@ -511,6 +520,6 @@ QUERIES: dict[str, Query] = {
         prompt_fill, probe_expand, token_budget, token_budget_summary, batch_infer, probe_infer, video_infer, result_records, single_result_store, latest_label,
         label_changes, label_changes_hot_video, cache_pending, dev_subset, label_validate, label_quality,
         repetition_rate, language_compliance, field_agreement, teacher_student_join, teacher_student_report,
-        sft_rows, stream_merge, stream_compact, stream_infer, stream_progress,
+        sft_rows, stream_merge, stream_compact, stream_compact_whole, stream_infer, stream_progress,
     )
 }

@@ -439,6 +439,7 @@ BODIES: dict[str, tuple[str, list[str]]] = {
     "merge_round_trip": ("SELECT id, raw FROM train", ["train"]),
     "stream_merge": _STREAMED,
     "stream_compact": _STREAMED,
+    "stream_compact_whole": _STREAMED,
     "stream_progress": (
         """SELECT count(*) AS processed, count(*) FILTER (failed) AS errors, true AS timed
            FROM scored GROUP BY CAST(id AS BIGINT) % 3""",

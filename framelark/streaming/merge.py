@@ -67,11 +67,18 @@ def append_log(lines: DataFrame, log_path: str, checkpoint: str) -> StreamingQue
 
 
 def _read_log(spark: SparkSession, log_paths: tuple[str, ...]) -> DataFrame:
-    logs = [spark.read.schema(LOG_SCHEMA).parquet(path).drop("run", "batch") for path in log_paths]
-    return reduce(DataFrame.unionByName, logs)
+    from framelark.streaming.tiers import live_runs, read_live
 
+    def read(path: str) -> DataFrame:
+        version, _ = live_runs(spark, path)
+        if version:
+            return read_live(spark, path).drop("bucket")
+        return spark.read.schema(LOG_SCHEMA).parquet(path).drop("run", "batch")
 
-def _merged(log: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [read(path) for path in log_paths])
+
+
+def merged_rows(log: DataFrame) -> DataFrame:
     """``results.merged`` for logs whose rows may stand for several lines already."""
     place = F.struct(*LINE_ORDER).cast(PLACE)
     return log.filter(~F.col("is_error") & F.col("id").isNotNull()).groupBy("id").agg(
@@ -82,20 +89,25 @@ def _merged(log: DataFrame) -> DataFrame:
     )
 
 
+def unmerged_rows(log: DataFrame) -> DataFrame:
+    """The lines a merge keeps as they are: errors and lines without an id."""
+    return log.filter(F.col("is_error") | F.col("id").isNull())
+
+
 def merged_log(spark: SparkSession, *log_paths: str) -> DataFrame:
     """Train records of everything logged so far, in one log or several (such as a compacted one and its successor)."""
-    return _merged(_read_log(spark, log_paths))
+    return merged_rows(_read_log(spark, log_paths))
 
 
 def compact_log(spark: SparkSession, path: str, *log_paths: str) -> None:
     """Write a log that holds, of every id, the last ok line, and all error lines.
 
     Merging it gives the same records, first places and numbers of lines included, so it stands in for ``log_paths``. It
-    cannot be written over one of them.
+    cannot be written over one of them. All of the log is rewritten; ``tiers.compact_tiers`` is for logs that keep growing.
     """
     if path.rstrip("/") in [p.rstrip("/") for p in log_paths]:
         raise ValueError(f"{path} is read and cannot be written over")
     log = _read_log(spark, log_paths)
-    last = _merged(log).select("raw", "last_seen.*", "id", F.lit(False).alias("is_error"), "first_seen", "n_records")
-    rest = log.filter(F.col("is_error") | F.col("id").isNull()).select(*last.columns)
+    last = merged_rows(log).select("raw", "last_seen.*", "id", F.lit(False).alias("is_error"), "first_seen", "n_records")
+    rest = unmerged_rows(log).select(*last.columns)
     last.unionByName(rest).write.mode("overwrite").parquet(f"{path}/run=compacted/batch=0")
