@@ -123,6 +123,16 @@ def media_rows(shards: DataFrame, entries: DataFrame, category: str) -> DataFram
     return rows.filter(~unwanted).select(*shards.columns, safe_id(name, "shard", number).alias("video_id"))
 
 
+def media_objects(rows: DataFrame, prefix: str) -> DataFrame:
+    """``key, content``: the media and the metadata of each row of ``media_rows`` as objects."""
+    metadata = F.to_json("json", {"ignoreNullFields": "false"}).cast("binary")
+    pair = F.array(
+        F.struct(media_key(prefix, "video_id").alias("key"), F.col("mp4").alias("content")),
+        F.struct(metadata_key(prefix, "video_id").alias("key"), metadata.alias("content")),
+    )
+    return rows.select(F.explode(pair).alias("o")).select("o.key", "o.content")
+
+
 def summary(manifest: DataFrame, category: str, prefix: str, n_shards: int | None = None) -> DataFrame:
     """One row: category, prefix, number of videos and of shards (those with a video unless given)."""
     shards = F.lit(n_shards).cast("bigint") if n_shards is not None else F.count_distinct("shard")

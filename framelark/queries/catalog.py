@@ -18,6 +18,7 @@ from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
 from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
 from framelark.session import new_path
+from framelark.sinks.objects import read_objects, write_objects
 from framelark.sources import list_files, read_lines, shard_table, text_lines, with_line_index
 from framelark.sources.jsonl import LINE_ORDER, parse_strict
 from framelark.streaming import (
@@ -162,6 +163,16 @@ def media_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def media_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """Two objects for each video, media and metadata, published together and read back."""
+    entries = fx.manifest(spark, sf)
+    rows = ingest.media_rows(fx.shard_rows(spark, sf), entries, fx.CATEGORY)
+    root = new_path(spark, "objects")
+    write_objects(ingest.media_objects(rows, fx.PREFIX), "key", "content", root)
+    found = read_objects(spark, root)
+    return found.select("key", "length", F.sha2("content", 256).alias("digest"))
+
+
 def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = histogram.shard_counts(fx.manifest(spark, sf))
     return counts.withColumn("shard", F.coalesce(F.col("shard").cast("string"), F.lit("all")))
@@ -513,7 +524,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         jsonl_scan_lenient, manifest_scan_strict, merge_train, merge_errors, merge_rejects, merge_counts,
         resume_pending, manifest_rejects, reconcile_counts, merge_round_trip, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
-        table_interleave, media_of_new_shards,
+        table_interleave, media_of_new_shards, media_objects,
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,

@@ -242,6 +242,15 @@ BODIES: dict[str, tuple[str, list[str]]] = {
              title FROM shard_rows WHERE parent_category = 'en'""",
         ["shard_rows"],
     ),
+    "media_objects": (
+        """SELECT key, CAST(strlen(content) AS BIGINT) AS length, sha256(content) AS digest FROM (
+             SELECT video_key AS key, text AS content FROM manifest JOIN documents ON doc_id = row_pos
+             UNION ALL SELECT metadata_key, '{"content_parent_category":"en","content_fine_category":"' || fine_category
+               || '","content_metadata":{"title":"' || title || '"},"original_video_filename":"src/' || row_pos
+               || '.mp4","youtube_channel":"' || channel || '","youtube_title":"' || title || '","youtube_upload_date":"'
+               || upload_date || '","duration_seconds":' || duration || ',"resolution":"' || resolution || '"}' FROM manifest)""",
+        ["manifest"],
+    ),
     "ingest_counts": (
         """SELECT CAST(shard AS VARCHAR) AS shard, n, CAST(sum(n) OVER (ORDER BY shard) AS BIGINT) AS running_total
            FROM (SELECT shard, count(*) AS n FROM manifest GROUP BY shard)
