@@ -23,12 +23,21 @@ from framelark.functions.media import (
     sampling_fps,
 )
 from framelark.functions.prompts import batch_prompt, chat_messages, fill_template, video_prompt
-from framelark.functions.text import letter_count, letters, ngrams, repeated_count, script_count, strip, words
+from framelark.functions.text import (
+    letter_count,
+    letters,
+    longest_repeat,
+    ngrams,
+    repeated_count,
+    script_count,
+    strip,
+    words,
+)
 
 __all__ = [
     "batch_prompt", "cache_key", "chat_messages", "config_hash", "duration_seconds_int", "file_stem", "fill_template",
     "first_nonempty", "frame_interval", "frame_keys", "frame_times", "image_list", "image_tokens", "join_path",
-    "letter_count", "letterbox", "letters", "media_key", "metadata_key", "ngrams", "repeated_count", "resolve_uri",
+    "letter_count", "letterbox", "letters", "longest_repeat", "media_key", "metadata_key", "ngrams", "repeated_count", "resolve_uri",
     "result_key", "run_id", "safe_id", "sampling_fps", "script_count", "shard_file", "stage_key", "strip",
     "video_prompt", "words",
 ]

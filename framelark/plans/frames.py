@@ -21,13 +21,8 @@ from framelark.functions import (
 from framelark.schemas import FRAME_SIZE, N_FRAMES, PROBES, SAMPLING
 
 
-def frame_plan(manifest: DataFrame, prefix: str, n: int = N_FRAMES) -> DataFrame:
-    """What to sample from each video: frame keys in time order, rate, times, geometry, configuration hash.
-
-    One row in, one row out; how videos are spread over workers is the partitioning of the manifest.
-    """
-    return manifest.select(
-        "video_id",
+def _plan_columns(prefix: str, n: int) -> list[Column]:
+    return [
         F.lit(n).alias("num_frames"),
         F.lit(SAMPLING).alias("sampling"),
         F.lit(FRAME_SIZE).alias("frame_size"),
@@ -37,7 +32,20 @@ def frame_plan(manifest: DataFrame, prefix: str, n: int = N_FRAMES) -> DataFrame
         sampling_fps("duration", n).alias("fps"),
         frame_times("duration", n).alias("times"),
         letterbox("resolution").alias("geometry"),
-    )
+    ]
+
+
+def frame_plan(manifest: DataFrame, prefix: str, n: int = N_FRAMES) -> DataFrame:
+    """What to sample from each video: frame keys in time order, rate, times, geometry, configuration hash.
+
+    One row in, one row out; how videos are spread over workers is the partitioning of the manifest.
+    """
+    return manifest.select("video_id", *_plan_columns(prefix, n))
+
+
+def with_frame_plan(manifest: DataFrame, prefix: str, n: int = N_FRAMES) -> DataFrame:
+    """Manifest entries with their frame plan beside them, for what needs both: no join of the manifest with itself."""
+    return manifest.select("*", *_plan_columns(prefix, n))
 
 
 FRAMES_JSON = [

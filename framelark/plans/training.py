@@ -10,15 +10,21 @@ from framelark.operators.labels import latest_label, with_text_measures
 
 
 def training_rows(manifest: DataFrame, frames: DataFrame, results: DataFrame, order_by: list[str | Column]) -> DataFrame:
-    """Input (messages over the frames) and target (newest answer) per video.
+    """Input (messages over the frames) and target (newest answer) per video, where the frames are a table of their own.
 
     Input and target stay apart, since only the target is learned from. Each side has one row per video, and all are
     keyed by it.
     """
-    label = latest_label(results, order_by).select("video_id", "prompt", F.col("answer").alias("target"))
     rows = manifest.select("video_id", "category", "fine_category").join(
         frames.select("video_id", "frames", "num_frames"), "video_id"
     )
+    return planned_training_rows(rows, results, order_by)
+
+
+def planned_training_rows(planned: DataFrame, results: DataFrame, order_by: list[str | Column]) -> DataFrame:
+    """``training_rows`` of manifest entries that carry their frames (``frames.with_frame_plan``): one join, with the labels."""
+    label = latest_label(results, order_by).select("video_id", "prompt", F.col("answer").alias("target"))
+    rows = planned.select("video_id", "category", "fine_category", "frames", "num_frames")
     user = video_prompt(F.size("frames"), "prompt")
     return rows.join(label, "video_id").withColumn("messages", chat_messages(user))
 

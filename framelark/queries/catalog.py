@@ -16,10 +16,19 @@ from framelark.operators.scoring import score, scoring_input
 from framelark.plans import frames as frame_plans
 from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
-from framelark.schemas import CONTEXT_LIMITS, INFERENCE_MANIFEST
+from framelark.schemas import CONTEXT_LIMITS, FRAMES, INFERENCE_MANIFEST, MANIFEST
 from framelark.session import new_path
 from framelark.sinks.objects import read_objects, write_objects
-from framelark.sources import list_files, read_lines, shard_table, text_lines, with_line_index
+from framelark.sources import (
+    list_files,
+    read_frames,
+    read_lines,
+    read_shards,
+    shard_paths,
+    shard_table,
+    text_lines,
+    with_line_index,
+)
 from framelark.sources.jsonl import LINE_ORDER, parse_strict
 from framelark.streaming import (
     append_log,
@@ -89,6 +98,13 @@ def reconcile_counts(spark: SparkSession, sf: str) -> DataFrame:
     return pending.reconcile_counts(fx.some_unnamed(spark, sf), train)
 
 
+def reconcile_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards of ten neighbouring records, of which those that differ are named."""
+    wanted, made = fx.copied_records(spark, sf)
+    shard = F.call_function("div", F.col("doc_id"), F.lit(10))
+    return pending.reconcile_content(wanted, made, shard, ["id", "prompt", "image"])
+
+
 def run_throughput(spark: SparkSession, sf: str) -> DataFrame:
     return histogram.run_throughput(fx.label_results(spark, sf), "prompt", "created_at")
 
@@ -209,6 +225,35 @@ def safe_id_first_wins(spark: SparkSession, sf: str) -> DataFrame:
     return first_per_key(named, ["video_id"], ["shard", "row_pos"])
 
 
+def shard_scan_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """The first three shard files that are listed, with the rows of each."""
+    paths = shard_paths(spark, fx.write_shards(spark, sf), prefix="part-", cap=3, recursive=True)
+    rows = ingest.nested_fields(read_shards(spark, paths))
+    return rows.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("row_pos").alias("last_row"), F.min("title").alias("first_title")
+    )
+
+
+def manifest_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest written as lines of JSON and read strictly."""
+    out = new_path(spark, "manifest-jsonl")
+    sinks.write_jsonl(fx.manifest(spark, sf).drop("shard", "row_pos"), out)
+    lines = read_lines(spark, out, "*.json")
+    return parse_strict(lines, MANIFEST).drop("file", "block", "line")
+
+
+def shard_log_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Results appended to the log of each shard in two goes, and read back with the shard."""
+    out = new_path(spark, "shard-log")
+    rows = fx.inference_records(spark, sf).select("doc_id", "id", "prompt", F.pmod("doc_id", F.lit(4)).alias("shard"))
+    for half in (0, 1):
+        part = rows.filter(F.col("doc_id") % 2 == half).withColumn("output", F.concat(F.lit("o"), "id"))
+        sinks.write_shard_log(part.drop("doc_id"), out)
+    log = results.classified(read_lines(spark, out, "*.json"))
+    shard = F.regexp_extract("file", r"/shard=(\d+)/", 1).cast("int")
+    return log.select("id", F.col("fields")["output"].alias("output"), F.col("fields")["prompt"].alias("prompt"), shard.alias("shard"), "is_error")
+
+
 # Frames and prompts
 
 
@@ -228,6 +273,29 @@ def frames_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _shown_frames(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "video_id", "num_frames", "sampling", "frame_size", "source_duration",
+        F.array_join("frames", ",").alias("frames"), "sampling_config_hash",
+    )
+
+
+def frames_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Frame plans written as JSON and read back."""
+    out = new_path(spark, "frames-json")
+    sinks.write_frames(fx.frames(spark, sf).select(*frame_plans.FRAMES_JSON), out)
+    return _shown_frames(spark.read.schema(FRAMES).json(out))
+
+
+def frames_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """One ``frames.json`` object for each video, published together, read as whole-file JSON."""
+    plans = fx.frames(spark, sf).select(*frame_plans.FRAMES_JSON)
+    key = F.concat(F.lit(f"{fx.PREFIX}/"), "video_id", F.lit("/frames.json"))
+    root = new_path(spark, "frame-objects")
+    write_objects(plans.select(key.alias("key"), F.to_json(F.struct("*")).alias("content")), "key", "content", root)
+    return _shown_frames(read_frames(spark, root + "/_objects"))
+
+
 def frames_gather_ordered(spark: SparkSession, sf: str) -> DataFrame:
     """Frame contents are hashes of their keys; clips with fewer seconds than frames have only that many objects."""
     plan = fx.frames(spark, sf)
@@ -395,6 +463,19 @@ def dev_subset(spark: SparkSession, sf: str) -> DataFrame:
     return labels.dev_subset(videos, ["category", "length"], 5)
 
 
+def dev_subset_total(spark: SparkSession, sf: str) -> DataFrame:
+    """Forty videos in all, mixed by category, length and whether they have questions in them (a word of asking)."""
+    docs = fx.table(spark, sf, "documents")
+    length = F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 3000, "medium").otherwise("long")
+    videos = docs.select(
+        F.col("doc_id").cast("string").alias("video_id"),
+        F.col("lang").alias("category"),
+        length.alias("length"),
+        F.contains("text", F.lit(":")).alias("dialogue"),
+    )
+    return labels.dev_subset(videos, ["category", "length", "dialogue"], total=40)
+
+
 def label_validate(spark: SparkSession, sf: str) -> DataFrame:
     return labels.validated(fx.label_answers(spark, sf)).drop("answer", "lang")
 
@@ -403,6 +484,15 @@ def label_quality(spark: SparkSession, sf: str) -> DataFrame:
     return labels.label_quality(fx.label_answers(spark, sf), "lang")
 
 
+def label_quality_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Parsing, rules, agreement with the wanted label and repetition, per prompt version."""
+    return labels.label_quality(fx.versioned_answers(spark, sf), "prompt_version", gold="gold", told="summary")
+
+
+def longest_phrase(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.longest_phrases(fx.table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+
+
 def repetition_rate(spark: SparkSession, sf: str) -> DataFrame:
     return labels.repetition(fx.table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
@@ -435,9 +525,8 @@ def teacher_student_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sft_rows(spark: SparkSession, sf: str) -> DataFrame:
-    entries = fx.manifest(spark, sf)
-    plan = frame_plans.frame_plan(entries, fx.PREFIX)
-    rows = training.training_rows(entries, plan, fx.conversation_labels(spark, sf), ["turn"])
+    planned = frame_plans.with_frame_plan(fx.manifest(spark, sf), fx.PREFIX)
+    rows = training.planned_training_rows(planned, fx.conversation_labels(spark, sf), ["turn"])
     return rows.select(
         "video_id",
         "category",
@@ -525,6 +614,8 @@ QUERIES: dict[str, Query] = {
         jsonl_scan_lenient, manifest_scan_strict, merge_train, merge_errors, merge_rejects, merge_counts,
         resume_pending, manifest_rejects, reconcile_counts, merge_round_trip, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
         table_interleave, media_of_new_shards, media_objects,
+        reconcile_content, shard_scan_cap, manifest_round_trip, shard_log_round_trip, frames_round_trip, frames_objects,
+        dev_subset_total, label_quality_versions, longest_phrase,
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelark.plans import frames as frame_plans
@@ -184,9 +184,35 @@ def model_answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def conversation_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Assistant turns as labels of the video with the conversation's number, each prompted by the turn before it."""
-    said = table(spark, sf, "conversations")
-    answers = said.filter(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("answer"))
-    asked = said.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
-    return answers.join(asked, ["conv_id", "turn"], "left").select(
-        F.col("conv_id").cast("string").alias("video_id"), "turn", F.coalesce("prompt", F.lit("")).alias("prompt"), "answer"
+    said = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("video_id"), "turn", "role", "text")
+    before = Window.partitionBy("video_id").orderBy("turn")
+    asked = F.when(F.lag("turn").over(before) == F.col("turn") - 1, F.lag("text").over(before))
+    rows = said.withColumn("prompt", F.coalesce(asked, F.lit(""))).filter(F.col("role") == "assistant")
+    return rows.select("video_id", "turn", "prompt", F.col("text").alias("answer"))
+
+
+def versioned_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """``label_answers`` of four prompt versions, each with the label it should have been."""
+    n = F.col("n_chars")
+    gold = F.struct(
+        F.col("source").alias("scene"),
+        F.when(n % 7 == 0, "moving").otherwise("static").alias("camera"),
+        F.when(n % 3 == 0, "low").when(n % 3 == 1, "high").otherwise("medium").alias("confidence"),
     )
+    told = F.when(n % 17 == 0, "no label").otherwise(F.to_json(gold))
+    version = F.concat(F.lit("v"), F.col("doc_id") % 4)
+    docs = table(spark, sf, "documents")
+    named = docs.select("doc_id", version.alias("prompt_version"), told.alias("gold"))
+    return label_answers(spark, sf).join(named, "doc_id")
+
+
+def copied_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Inference records, and a copy of which some are gone, some changed, some there twice and some new."""
+    rows = inference_records(spark, sf).select("doc_id", "id", "prompt", "image")
+    doc = F.col("doc_id")
+    kept = rows.filter(~((doc % 320 >= 40) & (doc % 320 < 50) & (doc % 3 == 0)))
+    swapped = (doc % 320 >= 90) & (doc % 320 < 92)
+    copy = kept.withColumn("prompt", F.when(swapped, F.concat(F.lit("other "), "id")).otherwise(F.col("prompt")))
+    twice = rows.filter(doc % 320 == 155)
+    new = rows.filter(doc % 320 == 211).withColumn("id", F.concat(F.lit("new-"), "id"))
+    return rows, copy.unionByName(twice).unionByName(new)

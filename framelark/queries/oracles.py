@@ -124,6 +124,11 @@ _CHANGES = (
        FROM label_results WINDOW w AS (PARTITION BY video_id ORDER BY created_at, event_id)""",
     ["label_results"],
 )
+_FRAMES_TOLD = (
+    """SELECT video_id, 16 AS num_frames, 'uniform' AS sampling, '448x448' AS frame_size, CAST(duration AS BIGINT) AS source_duration,
+         array_to_string(frames, ',') AS frames, 'd587a6' AS sampling_config_hash FROM frames""",
+    ["frames"],
+)
 _RUN = "left(sha256(prompt || '|/models/teacher|d587a6'), 12)"
 _MEASURES = """
     SELECT probe, teacher_answer = student_answer AS same, len(tw) AS tn, len(sw) AS sn,
@@ -149,7 +154,97 @@ _PROBE_ROWS = """(VALUES ('caption', '이 프레임들에 무엇이 보이는지
 
 _TAGS = "array_to_string(list_transform(range(1, 17), lambda i: 'Frame' || i || ': <image>'), chr(10)) || chr(10)"
 
+def _longest_phrase(levels: int = 13) -> str:
+    """Runs of 1, 2, 4, ... words that repeat in a document, put together from the longest power downwards."""
+    same = "QUALIFY count(*) OVER (PARTITION BY doc_id, id) > 1"
+    parts = [
+        f"split AS MATERIALIZED (SELECT doc_id, {_WORDS.format(text='text')} AS w FROM documents)",
+        f"""run0 AS MATERIALIZED (SELECT doc_id, pos, hash(word) AS id
+            FROM (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS word FROM split) {same})""",
+        f"best{levels} AS (SELECT doc_id, pos, id, 0 AS n FROM run0 WHERE false)",
+    ]
+    for j in range(levels - 1):
+        parts.append(f"""run{j + 1} AS MATERIALIZED (SELECT a.doc_id, a.pos, hash(a.id, b.id) AS id
+            FROM run{j} a JOIN run{j} b ON a.doc_id = b.doc_id AND b.pos = a.pos + {2**j}
+            QUALIFY count(*) OVER (PARTITION BY a.doc_id, hash(a.id, b.id)) > 1)""")
+    for j in reversed(range(levels)):
+        parts.append(f"""more{j} AS MATERIALIZED (SELECT * FROM (
+            SELECT c.doc_id, c.pos, hash(c.id, r.id) AS id, c.n + {2**j} AS n
+            FROM best{j + 1} c JOIN run{j} r ON r.doc_id = c.doc_id AND r.pos = c.pos + c.n
+            UNION ALL SELECT doc_id, pos, hash(id), {2**j} FROM run{j} WHERE doc_id NOT IN (SELECT doc_id FROM best{j + 1})) {same}),
+            best{j} AS MATERIALIZED (SELECT * FROM more{j} UNION ALL SELECT * FROM best{j + 1}
+            WHERE doc_id NOT IN (SELECT doc_id FROM more{j}))""")
+    return f"""WITH {", ".join(parts)},
+        told AS (SELECT doc_id, min(pos) AS pos, max(n) AS n, count(*) AS times FROM best0 GROUP BY doc_id, id
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY min(pos)) = 1)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS phrase_words, CAST(coalesce(times, 0) AS BIGINT) AS phrase_times,
+          CASE WHEN n > 0 THEN array_to_string(w[pos + 1:pos + n], ' ') END AS phrase
+        FROM split LEFT JOIN told USING (doc_id)"""
+
+
+_SAME_RECORDS = "SELECT doc_id // 10 AS shard, id, coalesce(prompt, chr(0)) AS prompt, coalesce(image, chr(0)) AS image FROM"
+
 BODIES: dict[str, tuple[str, list[str]]] = {
+    "longest_phrase": (_longest_phrase(), []),
+    "dev_subset_total": (
+        """WITH videos AS (SELECT CAST(doc_id AS VARCHAR) AS video_id, lang AS category,
+               CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'medium' ELSE 'long' END AS length,
+               contains(text, ':') AS dialogue FROM documents),
+             share AS (SELECT category, length, dialogue, count(*) AS n, sum(count(*)) OVER () AS every FROM videos GROUP BY ALL),
+             cut AS (SELECT *, (least(40, every) * n) // every AS whole, (least(40, every) * n) % every AS rest FROM share),
+             placed AS (SELECT *, row_number() OVER (ORDER BY rest DESC, category NULLS LAST, length NULLS LAST, dialogue NULLS LAST) AS place,
+               least(40, every) - sum(whole) OVER () AS spare FROM cut)
+           SELECT v.video_id, v.category, v.length, v.dialogue, v.rank FROM (
+               SELECT *, CAST(row_number() OVER (PARTITION BY category, length, dialogue ORDER BY sha256(video_id), video_id) AS INTEGER) AS rank
+               FROM videos) v JOIN placed p ON v.category IS NOT DISTINCT FROM p.category AND v.length = p.length
+               AND v.dialogue IS NOT DISTINCT FROM p.dialogue
+           WHERE v.rank <= p.whole + CASE WHEN p.place <= p.spare THEN 1 ELSE 0 END""",
+        [],
+    ),
+    "label_quality_versions": (
+        f"""SELECT 'v' || (doc_id % 4) AS prompt_version, count(*) AS n_answers, count(*) FILTER (ok_json) AS n_parsed,
+              count(*) FILTER (valid) AS n_valid, count(*) FILTER (ok_json) / count(*) AS parse_rate,
+              count(*) FILTER (valid) / count(*) AS valid_rate, count(*) FILTER (paired) AS n_compared,
+              count(*) FILTER (paired) / count(*) FILTER (paired) AS agreement_scene,
+              count(*) FILTER (paired AND n % 7 <> 0) / count(*) FILTER (paired) AS agreement_camera,
+              count(*) FILTER (paired AND n % 3 < 2) / count(*) FILTER (paired) AS agreement_confidence,
+              coalesce(sum(len(g) - len(list_distinct(g))) / sum(len(g)), 0.0::DOUBLE) AS repetition_rate
+            FROM (SELECT *, CASE WHEN ok_json THEN {_GRAMS.format(w="w")} END AS g FROM (
+              SELECT doc_id, ok_json, valid, ok_json AND n_chars % 17 <> 0 AS paired, n_chars AS n, {_WORDS.format(text="text")} AS w
+              FROM label_checks JOIN documents USING (doc_id))) GROUP BY 1""",
+        ["label_checks"],
+    ),
+    "reconcile_content": (
+        f"""SELECT * FROM (WITH wanted AS ({_SAME_RECORDS} records),
+             changed AS (SELECT doc_id, id, CASE WHEN doc_id % 320 BETWEEN 90 AND 91 THEN 'other ' || id ELSE prompt END AS prompt, image
+               FROM records WHERE NOT (doc_id % 320 BETWEEN 40 AND 49 AND doc_id % 3 = 0)
+               UNION ALL SELECT doc_id, id, prompt, image FROM records WHERE doc_id % 320 = 155
+               UNION ALL SELECT doc_id, 'new-' || id, prompt, image FROM records WHERE doc_id % 320 = 211),
+             made AS ({_SAME_RECORDS} changed),
+             missing AS (SELECT * FROM wanted EXCEPT ALL SELECT * FROM made),
+             unexpected AS (SELECT * FROM made EXCEPT ALL SELECT * FROM wanted)
+           SELECT shard, (SELECT count(*) FROM wanted w WHERE w.shard = s.shard) AS n_in,
+             (SELECT count(*) FROM made m WHERE m.shard = s.shard) AS n_out,
+             (SELECT count(*) FROM missing m WHERE m.shard = s.shard) AS rows_missing,
+             (SELECT count(*) FROM unexpected u WHERE u.shard = s.shard) AS rows_unexpected,
+             (SELECT count(DISTINCT m.id) FROM missing m JOIN unexpected u USING (shard, id) WHERE m.shard = s.shard) AS ids_changed
+           FROM (SELECT DISTINCT shard FROM (SELECT shard FROM missing UNION ALL SELECT shard FROM unexpected)) s)""",
+        ["records"],
+    ),
+    "shard_scan_cap": (
+        """SELECT p.shard, count(*) AS n, max(place) AS last_row, min(title) AS first_title FROM (
+             SELECT row_pos, title, dense_rank() OVER (ORDER BY shard) - 1 AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY row_pos) - 1 AS place FROM shard_rows) p
+           WHERE p.shard < 3 GROUP BY p.shard""",
+        ["shard_rows"],
+    ),
+    "manifest_round_trip": ("SELECT * EXCLUDE (shard, row_pos) FROM manifest", ["manifest"]),
+    "shard_log_round_trip": (
+        """SELECT id, 'o' || id AS output, prompt, CAST(doc_id % 4 AS INTEGER) AS shard, false AS is_error FROM records""",
+        ["records"],
+    ),
+    "frames_round_trip": _FRAMES_TOLD,
+    "frames_objects": _FRAMES_TOLD,
     "jsonl_scan_lenient": (
         """SELECT event_id, id, json_extract_string(raw, '$.prompt') AS prompt,
              json_extract_string(raw, '$.output') AS output, json_extract_string(raw, '$.model') AS model,

@@ -23,10 +23,15 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
 
 
 def shard_paths(
-    spark: SparkSession, path: str, prefix: str = "train-", suffix: str = ".parquet", cap: int | None = None
+    spark: SparkSession,
+    path: str,
+    prefix: str = "train-",
+    suffix: str = ".parquet",
+    cap: int | None = None,
+    recursive: bool = False,
 ) -> list[str]:
     """Sorted paths of the source shards, at most ``cap`` of them."""
-    return list_files(spark, path, f"{prefix}*{suffix}", recursive=False)[:cap]
+    return list_files(spark, path, f"{prefix}*{suffix}", recursive)[:cap]
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"

@@ -1,7 +1,10 @@
 """Label checks, comparisons, training rows and caching."""
 
 import json
+import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from framelark.functions import cache_key, stage_key
@@ -122,3 +125,125 @@ def test_comparison_of_two_models(spark):
     assert report["sport"].agreement == 1.0 and report["sport"].student_script_share == 1.0
     assert report["action"].agreement == 0.0 and report["action"].student_script_share == 0.0
     assert report["action"].student_repetition == 0.5
+
+
+def wanted_seats(counts, total):
+    """Largest remainders, as a plain loop."""
+    n = sum(counts.values())
+    total = min(total, n)
+    seats = {s: total * c // n for s, c in counts.items()}
+    rest = sorted(counts, key=lambda s: (-(total * counts[s] % n), s[0] is None, s[0] or "", s[1] is None, s[1] or 0))
+    for s in rest[: total - sum(seats.values())]:
+        seats[s] += 1
+    return {s: k for s, k in seats.items() if k}
+
+
+def strata_of(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault((r.category, r.length), []).append((r.rank, r.video_id))
+    return {s: [v for _, v in sorted(rows)] for s, rows in found.items()}
+
+
+@pytest.mark.parametrize("total", [1, 7, 20, 50, 5000])
+def test_dev_subset_of_a_fixed_size(spark, total):
+    rng = random.Random(total)
+    rows = [(f"v{i}", rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([1, 1, 2, None])) for i in range(400)]
+    schema = "video_id string, category string, length int"
+    videos = spark.createDataFrame(rows, schema)
+    counts = {}
+    for _, c, n in rows:
+        counts[(c, n)] = counts.get((c, n), 0) + 1
+    found = strata_of(labels.dev_subset(videos, ["category", "length"], total=total))
+    seats = wanted_seats(counts, total)
+    assert {s: len(v) for s, v in found.items()} == seats and sum(seats.values()) == min(total, 400)
+    assert all(abs(seats.get(s, 0) - min(total, 400) * c / 400) < 1 for s, c in counts.items())
+    assert found == strata_of(labels.dev_subset(videos.repartition(7), ["category", "length"], total=total))
+    # Videos that are added move in among the others; those that stay keep their order.
+    more = videos.unionByName(spark.createDataFrame([(f"w{i}", "a", 1) for i in range(60)], schema))
+    later = strata_of(labels.dev_subset(more, ["category", "length"], total=total))
+    for s, chosen in later.items():
+        old = [v for v in chosen if v.startswith("v")]
+        assert old == found.get(s, [])[: len(old)] or found.get(s, []) == old[: len(found.get(s, []))]
+
+
+def test_dev_subset_of_nothing(spark):
+    videos = spark.createDataFrame([], "video_id string, category string")
+    assert labels.dev_subset(videos, ["category"], total=20).collect() == []
+    for wrong in ({}, {"total": 3, "per_stratum": 2}):
+        with pytest.raises(ValueError, match="either"):
+            labels.dev_subset(videos, ["category"], **wrong)
+
+
+def longest_by_hand(text):
+    w = (text or "").split()
+    for n in range(len(w) - 1, 0, -1):
+        seen = {}
+        for p in range(len(w) - n + 1):
+            seen.setdefault(tuple(w[p : p + n]), []).append(p)
+        again = [places for places in seen.values() if len(places) > 1]
+        if again:
+            places = min(again)
+            return n, len(places), " ".join(w[places[0] : places[0] + n])
+    return 0, 0, None
+
+
+def test_longest_phrase_said_twice(spark):
+    rng = random.Random(6)
+    texts = [None, "", " ", "a", "a a", "a b", "a b a b a", "x " * 40, "no word twice here"]
+    texts += [" ".join(rng.choice("abcdefgh"[: rng.randint(1, 8)]) for _ in range(rng.randint(1, 70))) for _ in range(150)]
+    for k in (1, 2, 3, 7, 8, 9, 31, 33):
+        phrase = " ".join(f"p{i}" for i in range(k))
+        texts.append(" ".join([phrase, "one two", phrase, "three", phrase]))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: (r.phrase_words, r.phrase_times, r.phrase) for r in labels.longest_phrases(df, "t").collect()}
+    assert found == {i: longest_by_hand(t) for i, t in enumerate(texts)}
+
+
+def test_longest_phrase_takes_time_near_linear_in_the_text(spark):
+    def seconds(n):
+        rng = random.Random(n)
+        half = [f"w{rng.randrange(n)}" for _ in range(n // 2)]
+        df = spark.createDataFrame([(" ".join(half + ["|"] + half),)], "t string")
+        start = time.perf_counter()
+        (row,) = labels.longest_phrases(df, "t").collect()
+        assert (row.phrase_words, row.phrase_times) == (n // 2, 2)
+        return time.perf_counter() - start
+
+    seconds(2_000)
+    assert seconds(64_000) < 40 * max(seconds(4_000), 0.2)
+
+
+def test_quality_per_prompt_version_with_the_labels_that_were_wanted(spark):
+    said = GOOD | {"summary": "a b a b", "camera": "x"}
+    rows = [
+        ("v1", json.dumps(said), json.dumps(GOOD)),
+        ("v1", json.dumps(GOOD), json.dumps(GOOD)),
+        ("v1", "broken", json.dumps(GOOD)),
+        ("v1", json.dumps(said), None),
+        ("v2", "broken", json.dumps(GOOD)),
+    ]
+    df = spark.createDataFrame(rows, "version string, answer string, gold string")
+    found = {r.version: r for r in labels.label_quality(df, "version", gold="gold", told="summary").collect()}
+    one = found["v1"]
+    assert (one.n_answers, one.n_parsed, one.n_compared) == (4, 3, 2)
+    assert (one.agreement_scene, one.agreement_camera, one.agreement_confidence) == (1.0, 0.5, 1.0)
+    # "a b a b" twice: three bigrams of which one repeats; "t" has none.
+    assert one.repetition_rate == pytest.approx(2 / 6)
+    assert (found["v2"].n_compared, found["v2"].agreement_scene, found["v2"].repetition_rate) == (0, None, 0.0)
+    plan = labels.label_quality(df, "version", gold="gold", told="summary")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_training_rows_of_planned_videos_need_one_join(spark):
+    from framelark.plans import frames
+
+    manifest = spark.createDataFrame([("v", "c", "f", 32, "640x360"), ("w", "c", "f", 3, "640x360")], "video_id string, category string, fine_category string, duration bigint, resolution string")
+    results = spark.createDataFrame([("v", "p1", "old", 1), ("v", "p2", "new", 2)], "video_id string, prompt string, answer string, at int")
+    found = training.planned_training_rows(frames.with_frame_plan(manifest, "p", 2), results, ["at"])
+    (row,) = found.collect()
+    assert row.target == "new" and row.frames == ["p/v/frames/frame_001.jpg", "p/v/frames/frame_002.jpg"]
+    apart = training.training_rows(manifest, frames.frame_plan(manifest, "p", 2), results, ["at"]).collect()
+    assert apart == [row]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Join") == 1 and plan.count("Scan ExistingRDD") == 2

@@ -98,3 +98,10 @@ def test_lines_are_counted_once_for_all_counts(spark):
 
 def test_videos_are_scored_without_a_self_join(spark):
     assert "Join" not in plan_of(QUERIES["video_infer"](spark, SF))
+
+
+def test_training_rows_scan_each_table_once(spark):
+    """One scan of the manifest, one of the labels, one join; each side is shuffled by video once."""
+    plan = plan_of(QUERIES["sft_rows"](spark, SF))
+    assert plan.count("FileScan") == 2 and plan.count("Join") == 1
+    assert plan.count("Exchange hashpartitioning") == 3
