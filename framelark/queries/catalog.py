@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from framelark import sinks
 from framelark.functions import cache_key, config_hash, image_list, image_tokens, safe_id, stage_key
-from framelark.operators import gather, histogram, labels, pending, sharding
-from framelark.operators.dedup import first_per_key
+from framelark.operators import gather, histogram, keyindex, labels, pending, sharding
+from framelark.operators.dedup import first_per_key, last_per_key
 from framelark.operators.layout import with_row_index
 from framelark.operators.scoring import score, scoring_input
 from framelark.plans import frames as frame_plans
@@ -89,6 +89,16 @@ def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
     return left.select("id", "prompt", "image")
 
 
+def resume_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """``resume_pending`` against a log stored in runs, one for each remainder of the event, with a key filter each."""
+    path = new_path(spark, "log-runs")
+    log = fx.result_log(spark, sf).filter(F.col("id").isNotNull()).select("event_id", "id", "raw")
+    for part in range(3):
+        keyindex.store_run(log.filter(F.col("event_id") % 3 == part).drop("event_id"), path, "id")
+    named = fx.some_unnamed(spark, sf).filter(F.col("id").isNotNull())
+    return keyindex.unstored(last_per_key(named, ["id"], ["doc_id"]), path, "id").select("id", "prompt", "image")
+
+
 def manifest_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return pending.rejected_records(fx.some_unnamed(spark, sf)).select("doc_id", "prompt", "image")
 
@@ -438,8 +448,8 @@ def label_changes_hot_video(spark: SparkSession, sf: str) -> DataFrame:
     return _changes(spark, sf, parts=64)
 
 
-def cache_pending(spark: SparkSession, sf: str) -> DataFrame:
-    """Every video with every prompt is wanted; answers worth at least 150 are cached."""
+def _requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Every video with every prompt as wanted; answers worth at least 150 as cached."""
     answered = fx.label_results(spark, sf)
     keyed = answered.withColumns(
         {
@@ -447,11 +457,23 @@ def cache_pending(spark: SparkSession, sf: str) -> DataFrame:
             "frames_key": stage_key(video_id="video_id", sampling=config_hash(16)),
         }
     )
-    wanted = keyed.select("video_id", "prompt", "cache_key", "frames_key").distinct()
-    fresh = pending.cache_pending(wanted, keyed.filter(F.col("value") >= 150))
+    return keyed.select("video_id", "prompt", "cache_key", "frames_key").distinct(), keyed.filter(F.col("value") >= 150)
+
+
+def cache_pending(spark: SparkSession, sf: str) -> DataFrame:
+    fresh = pending.cache_pending(*_requests(spark, sf))
     return fresh.select("video_id", "prompt", "cache_key", "frames_cached")
 
 
+def cache_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Wanted answers whose key is in no stored run, one run for each prompt, with a key filter each."""
+    wanted, cached = _requests(spark, sf)
+    path = new_path(spark, "cached-runs")
+    for prompt in ("click", "view", "purchase", "error", "signup"):
+        keyindex.store_run(cached.filter(F.col("prompt") == prompt).select("cache_key", "answer"), path, "cache_key")
+    return keyindex.unstored(wanted, path, "cache_key").select("video_id", "prompt", "cache_key")
+
+
 def dev_subset(spark: SparkSession, sf: str) -> DataFrame:
     seconds = F.col("json.duration_seconds")
     length = F.when(seconds < 500, "short").when(seconds < 3000, "medium").otherwise("long")
@@ -615,7 +637,7 @@ QUERIES: dict[str, Query] = {
         resume_pending, manifest_rejects, reconcile_counts, merge_round_trip, run_throughput, shard_interleave, shard_interleave_awk, batch_chunks,
         table_interleave, media_of_new_shards, media_objects,
         reconcile_content, shard_scan_cap, manifest_round_trip, shard_log_round_trip, frames_round_trip, frames_objects,
-        dev_subset_total, label_quality_versions, longest_phrase,
+        dev_subset_total, label_quality_versions, longest_phrase, resume_indexed, cache_indexed,
         scan_nested_project, category_filter, preview_head, category_histogram, fine_category_top30,
         manifest_build, manifest_summary, media_rows, ingest_counts, ingest_new_only, ingest_cap,
         safe_id_first_wins, frames_manifest, frames_gather_ordered, resolve_image_uri, inference_manifest,

@@ -186,6 +186,16 @@ _SAME_RECORDS = "SELECT doc_id // 10 AS shard, id, coalesce(prompt, chr(0)) AS p
 
 BODIES: dict[str, tuple[str, list[str]]] = {
     "longest_phrase": (_longest_phrase(), []),
+    "resume_indexed": (
+        """SELECT id, prompt, image FROM some_unnamed
+           WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM log WHERE id IS NOT NULL)""",
+        ["some_unnamed", "log"],
+    ),
+    "cache_indexed": (
+        """SELECT DISTINCT video_id, prompt, cache_key FROM keyed
+           WHERE cache_key NOT IN (SELECT cache_key FROM keyed WHERE value >= 150)""",
+        ["keyed"],
+    ),
     "dev_subset_total": (
         """WITH videos AS (SELECT CAST(doc_id AS VARCHAR) AS video_id, lang AS category,
                CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'medium' ELSE 'long' END AS length,
