@@ -20,6 +20,22 @@ def fold(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of our own beside those of ``df``, which may have any names: underscores are put in front."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit numbers that spreads every input bit."""
     x = x.astype(np.uint64, copy=True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import numpy as np
 
-from framelark.llm.common import uniform
+from framelark.llm.common import columns_of, uniform, unused
 from framelark.session import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -104,7 +104,7 @@ def copies(
     rows = staged(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in docs.columns)).alias("row_hash"),
+            F.xxhash64(*(c.cast("string") for c in columns_of(docs))).alias("row_hash"),
             F.col(source).cast("string").alias("source"),
             words(text).alias("size"),
         ),
@@ -163,17 +163,18 @@ def copies(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with the columns of ``docs`` alone.
+    """The rows of ``docs``, each as often as the mix takes it, with the columns of ``docs`` alone, whatever their names.
 
     The counts meet the rows by ``doc_id`` and ``row_hash``. Rows that are equal in both have the sum of their copies.
     """
+    key, hashed, id_, hash_, n, rows, copy = unused(docs, "_key", "_row_hash", "_id", "_hash", "_copies", "_rows", "_copy")
     taken = copies(docs, **options).groupBy("doc_id", "row_hash").agg(
-        F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+        F.sum("copies").cast("int").alias(n), F.count(F.lit(1)).alias(rows)
     )
-    taken = taken.filter("_copies > 0").withColumnsRenamed({"doc_id": "_id", "row_hash": "_hash"})
-    hashed = docs.withColumn("_row_hash", F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in docs.columns)))
-    met = hashed.join(
-        taken, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_hash") == F.col("_hash"))
+    taken = taken.filter(F.col(n) > 0).withColumnsRenamed({"doc_id": id_, "row_hash": hash_})
+    own = docs.select(
+        "*", F.col("doc_id").cast("long").alias(key), F.xxhash64(*(c.cast("string") for c in columns_of(docs))).alias(hashed)
     )
-    once = met.filter("_rows = 1").unionByName(met.filter("_rows > 1").dropDuplicates(["_id", "_hash"]))
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(f"`{c}`" for c in docs.columns))
+    met = own.join(taken, F.col(key).eqNullSafe(F.col(id_)) & (F.col(hashed) == F.col(hash_)))
+    once = met.filter(F.col(rows) == 1).unionByName(met.filter(F.col(rows) > 1).dropDuplicates([id_, hash_]))
+    return once.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*columns_of(docs))

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelark.llm.common import chunks_of, mix64, uniform
+from framelark.llm.common import chunks_of, columns_of, mix64, uniform, unused
 from framelark.llm.components import components
 from framelark.session import staged
 
@@ -145,9 +145,9 @@ def linked(bags: list[tuple[np.ndarray, np.ndarray]], left: np.ndarray, right: n
     return found
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row_hash`` over all columns, which tells rows of one ``doc_id`` apart."""
-    return docs.withColumn("_row_hash", F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in docs.columns)))
+def row_hash(docs: DataFrame) -> Column:
+    """A hash over all columns, which tells rows of one ``doc_id`` apart."""
+    return F.xxhash64(*(c.cast("string") for c in columns_of(docs)))
 
 
 def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -158,9 +158,7 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     class of null ids has a null ``class_id``. Case and the kind of space between words do not matter. Repeated rows
     are in one class. No rows give no rows.
     """
-    rows = keyed(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("_row_hash").alias("row_hash"), F.col(text).alias("text")
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash(docs).alias("row_hash"), F.col(text).alias("text"))
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -261,17 +259,20 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
 
 
 def deduplicated(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` for each class, that with the least ``doc_id``; rows without words all stay."""
+    """One row of ``docs`` for each class, that with the least ``doc_id``; rows without words all stay.
+
+    The columns are those of ``docs``, whatever their names.
+    """
     found = staged(classes(docs, text, threshold), "classes")
+    key, hashed, id_, hash_, rows = unused(docs, "_key", "_row_hash", "_id", "_hash", "_rows")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
     best = found.filter("class_key is not null").groupBy("class_key").agg(F.min(order).alias("one"))
-    best = best.select(F.col("one.doc_id").alias("_id"), F.col("one.row_hash").alias("_hash"))
-    copies = found.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("_rows"))
-    best = best.join(copies, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("row_hash")))
-    best = best.select("_id", "_hash", "_rows")
-    rows = keyed(docs)
-    met = rows.join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_hash") == F.col("_hash")))
-    once = met.filter("_rows = 1").unionByName(met.filter("_rows > 1").dropDuplicates(["_id", "_hash"]))
-    silent = rows.filter(F.col(text).isNull() | ~F.lower(text).rlike(r"[^\x20\x09-\x0D]"))
-    names = [f"`{c}`" for c in docs.columns]
-    return once.select(*names).unionByName(silent.select(*names))
+    best = best.select(F.col("one.doc_id").alias(id_), F.col("one.row_hash").alias(hash_))
+    copies = found.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias(rows))
+    best = best.join(copies, F.col(id_).eqNullSafe(F.col("doc_id")) & (F.col(hash_) == F.col("row_hash")))
+    best = best.select(id_, hash_, rows)
+    own = docs.select("*", F.col("doc_id").cast("long").alias(key), row_hash(docs).alias(hashed))
+    met = own.join(best, F.col(key).eqNullSafe(F.col(id_)) & (F.col(hashed) == F.col(hash_)))
+    once = met.filter(F.col(rows) == 1).unionByName(met.filter(F.col(rows) > 1).dropDuplicates([id_, hash_]))
+    silent = docs.filter(F.col(text).isNull() | ~F.lower(text).rlike(r"[^\x20\x09-\x0D]"))
+    return once.select(*columns_of(docs)).unionByName(silent.select(*columns_of(docs)))
