@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 
@@ -11,11 +12,13 @@ SPACE = 32
 _KEEP = np.zeros(256, bool)
 _KEEP[97:123] = True
 _KEEP[128:] = True
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and number signs such as ² or Ⅷ, which are none.
+_ALMOST = re.compile(r"[^\W\d_]")
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """If any character is a letter (its Unicode category begins with L)."""
+    return bool(text) and any(unicodedata.category(m[0])[0] == "L" for m in _ALMOST.finditer(text))
 
 
 def stream(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

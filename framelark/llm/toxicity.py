@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_chars: in
     At most ``sample`` labelled documents of each class are used, those with the smallest hash of ``doc_id``, and of these
     the first whole ones that have at most ``sample_chars`` characters together, without those that have more than a
     fiftieth of it alone: the bound of what the training task holds and of the one broadcast. Null labels and ids are ignored; a document labelled more
-    than once is toxic if one label says so. Without labels of both classes every score is near 0.
+    than once is toxic if one label says so; of documents that share an id, the least text is learned from. Without labels of both classes every score is near 0.
     """
     labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id")
     labelled = labelled.agg(F.max((F.col("toxic") > 0).cast("int")).alias("_toxic")).withColumnRenamed("doc_id", "_id")
@@ -182,10 +182,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, sample_chars: in
     some = [labelled.filter(F.col("_toxic") == k).orderBy(by_hash, "_id").limit(sample) for k in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))
     rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
+    # Of documents that share an id one counts, so there are at most two times ``sample`` rows from here on.
+    rows = rows.groupBy("_id", "_toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     aside = F.pmod(by_hash, F.lit(ASIDE)) == 0
     # At most two times ``sample`` rows are added up here.
     before = Window.partitionBy("_toxic").orderBy(by_hash, "_id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).filter(F.length("text") <= sample_chars // 50)
+    rows = rows.filter(F.length("text") <= sample_chars // 50)
     rows = rows.withColumn("_chars", F.sum(F.length("text")).over(before)).filter(F.col("_chars") <= sample_chars)
     rows = rows.select("text", "_toxic", aside.alias("_aside")).repartition(1)
 
