@@ -8,13 +8,20 @@ different ones. Punctuation, letter case and check digits are put back afterward
 
 Only validated values are touched:
 
-- e-mail addresses: letters and digits of all but the last domain label;
+- e-mail addresses: letters (a to z and ß to ÿ) and digits of all but the last domain label;
 - payment cards of 13 to 19 digits, with or without separators, that pass the Luhn check: the check digit is recomputed;
 - social security numbers: area, group and serial number stay in their ranges;
-- telephone numbers with a country code in front, an area code in parentheses or separators: the country code stays;
-- IPv4 addresses;
-- dates from 1900 to 2099 as 2001-12-31, 2001/12/31, 31.12.2001 or 12/31/2001;
+- telephone numbers of 7 to 15 digits: with a country code in front, which stays (it is read from the list of codes, so
+  that a number is linked however it is spaced), with an area code in parentheses, as 555-123-4567 or 555 123 4567 with
+  any one separator, or with a leading 0 and at least five digits after the area code;
+- IPv4 addresses, and IPv6 addresses, whose pseudonyms have all eight groups;
+- dates from 1900 to 2099 as 2001-12-31, 2001/12/31, 31.12.2001, 31-12-2001 or 12/31/2001, with one or two digits for day and
+  month. With slashes the month comes first; where that is no date, the day does, and its pseudonym is one that can
+  only be read so too;
 - hexadecimal credentials of 32 to 64 digits after the words token, secret, key or password.
+
+Left alone are names, postal addresses, account numbers other than cards, dates with month names or two-digit years,
+and telephone numbers without separators and without a country code.
 """
 
 from __future__ import annotations
@@ -26,23 +33,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelark.functions.once import once
+from framelark.llm.common import columns_of, unused
 
 ROUNDS = 8
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}+@(?:[\p{L}0-9-]{1,63}+\.)+[A-Za-z]{2,24}(?![\p{L}0-9-])"
 SECRET = r"""(?<![A-Za-z])(?i:token|secret|key|password)\s{0,3}[=:]\s{0,3}["']?[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"""
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![./-]?\d)"
+IP6 = (
+    r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[0-9A-Fa-f:]{3,39}(?![0-9A-Za-z:]|\.\d))(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)"
+    r"(?![0-9A-Za-z:]|\.\d)"
+)
+DATE = (
+    r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4}|\d{1,2}/\d{1,2}/\d{4})"
+    r"(?![./-]?\d)"
+)
 PHONE = (
     r"(?<![\d+(.-])(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
-    r"|(?<![\d+(.-])(?:\+\d{1,3}[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
-    r"|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|\+\d{10,15}(?!\d)"
-)
+    r"|(?<![\d+.-])(?:\+\d{1,3}[ .-])?\d{3}([.-])\d{3}[.-]\d{4}(?![\d-])"
+    r"|(?<![\d+])\+\d{1,4}(?:[ .-]?\(0\))?(?:[ ./-]\d{1,8}){1,6}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)"
+    r"|(?<![\d+.,/-])(?<!\d )[2-9]\d{2} \d{3} \d{4}(?! ?\d|[.,-]\d)"
+    r"|(?<![\d+.,/-])(?<!\d )0\d{1,4}[ /-]\d{5,8}(?! ?\d|[.,-]\d)"
+    r"|(?<![\d+.,/-])(?<!\d )0\d{1,4}[ /-]\d{2,4}(?:[ -]\d{2,4}){1,3}(?! ?\d|[.,-]\d)"
+).replace("([.-])", "[.-]")
 CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)"
-ANY = "|".join([EMAIL, SECRET, IP, SSN, DATE, PHONE, CARD])
+ANY = "|".join([EMAIL, SECRET, IP, IP6, SSN, DATE, PHONE, CARD])
 #: Days from 1900-01-01 to 2099-12-31 are 229 times 319.
 DAYS = (229, 319)
-DATES = {r"^\d{4}-": "yyyy-MM-dd", r"^\d{4}/": "yyyy/MM/dd", r"^\d{2}\.": "dd.MM.yyyy", r"^\d{2}/": "MM/dd/yyyy"}
+#: Layouts of dates: what a text must look like, and the pattern for it if all parts have two digits, and if not.
+LAYOUTS = (
+    (r"^\d{4}-", "yyyy-MM-dd", "yyyy-MM-dd"),
+    (r"^\d{4}/", "yyyy/MM/dd", "yyyy/MM/dd"),
+    (r"^\d{1,2}\.", "dd.MM.yyyy", "d.M.yyyy"),
+    (r"^\d{1,2}-", "dd-MM-yyyy", "d-M-yyyy"),
+    (r"^\d{1,2}/", "MM/dd/yyyy", "M/d/yyyy"),
+    (r"^\d{1,2}/", "dd/MM/yyyy", "d/M/yyyy"),
+)
+#: The place of the layout that counts only where the one before it gives no date.
+DAY_FIRST = 5
+#: Country codes of one digit, and of two; all others have three.
+ONE_DIGIT = ("1", "7")
+TWO_DIGITS = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52",
+    "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92",
+    "93", "94", "95", "98",
+)
+#: Latin letters from ß or à to ÿ, without the division sign among them.
+FIRST, LAST, NO_LETTER = 223, 255, 247
+#: Steps after which a walk to the next date with a day above 12 is given up; three in five dates have one.
+WALK = 200
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,20 +147,31 @@ def in_layout(layout: Column, digits: Column) -> Column:
 
 
 def permuted_letters(text: Column, letters: int, kind: str, key: str) -> Column:
-    """Digits among digits and the first ``letters`` letters among themselves; case and all else stay."""
+    """Digits among digits, the first ``letters`` letters and those from ß to ÿ among themselves; case and all else stay."""
     cs = characters(text)
     lower = F.transform(cs, lambda c: F.ascii(F.lower(c)).cast("bigint"))
     is_digit, is_letter = lambda c: c.between(48, 57), lambda c: c.between(97, 96 + letters)
-    values = F.transform(lower, lambda c: F.when(is_digit(c), c - 48).when(is_letter(c), c - 97).otherwise(F.lit(0).cast("bigint")))
-    limits = F.transform(lower, lambda c: F.when(is_digit(c), 10).when(is_letter(c), letters).otherwise(1).cast("bigint"))
-    both = F.arrays_zip(cs.alias("c"), permuted(values, limits, kind, key).alias("v"))
+    is_more = lambda c: c.between(FIRST, LAST) & (c != NO_LETTER)
+    more = lambda c: c - FIRST - F.when(c > NO_LETTER, 1).otherwise(0)
+    values = F.transform(
+        lower, lambda c: F.when(is_digit(c), c - 48).when(is_letter(c), c - 97).when(is_more(c), more(c)).otherwise(F.lit(0).cast("bigint"))
+    )
+    limits = F.transform(
+        lower,
+        lambda c: F.when(is_digit(c), 10).when(is_letter(c), letters).when(is_more(c), LAST - FIRST).otherwise(1).cast("bigint"),
+    )
+    both = F.arrays_zip(cs.alias("c"), lower.alias("l"), permuted(values, limits, kind, key).alias("v"))
 
     def back(pair: Column) -> Column:
         c, v = pair.getField("c"), pair.getField("v")
+        code = v + FIRST + F.when(v >= NO_LETTER - FIRST, 1).otherwise(0)
+        # ß and ÿ have no capital of one character, so these letters are all written small.
+        written = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
         return (
             F.when(c.rlike("[0-9]"), v.cast("string"))
             .when(c.rlike("[a-z]"), F.char(v + 97))
             .when(c.rlike("[A-Z]"), F.char(v + 65))
+            .when(is_more(pair.getField("l")), written)
             .otherwise(c)
         )
 
@@ -184,29 +235,80 @@ def ssn(m: Column, key: str) -> Column:
     return F.when(valid, let(permuted(ranks, limits, "ssn", key), written))
 
 
+def ip6(m: Column, key: str) -> Column:
+    """All eight groups are permuted; groups that ``::`` stands for are zeros."""
+    zero = F.lit("0")
+    head, tail = F.split(F.regexp_extract(m, "^(.*?)::", 1), ":"), F.split(F.regexp_extract(m, "::(.*)$", 1), ":")
+    filled = lambda part: F.filter(part, lambda g: g != "")
+    short = F.contains(m, F.lit("::"))
+    missing = 8 - F.size(filled(head)) - F.size(filled(tail))
+    groups = F.when(short, F.concat(filled(head), F.array_repeat(zero, F.greatest(missing, F.lit(0))), filled(tail))).otherwise(F.split(m, ":"))
+
+    def of(parts: Column) -> Column:
+        numbers = F.transform(parts, lambda g: F.conv(g, 16, 10).cast("bigint"))
+        new = permuted(numbers, F.array_repeat(F.lit(65536).cast("bigint"), 8), "ip6", key)
+        text = F.array_join(F.transform(new, lambda n: F.lower(F.hex(n))), ":")
+        # Two colons with nothing around them are no address, nor are the unspecified and the loopback address anyone's.
+        someone = F.exists(F.slice(numbers, 1, 7), lambda n: n > 0) | (F.get(numbers, F.lit(7)) > 1)
+        return F.when((F.size(parts) == 8) & (~short | (missing > 0)) & someone & m.rlike("[0-9]"), text)
+
+    return let(groups, of)
+
+
 def phone(m: Column, key: str) -> Column:
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])|^\+\d", 0)
-    rest = part(m, F.length(code) + 1, F.length(m))
-    digits = digits_of(rest)
-    return F.when(F.length(digits).between(7, 14), F.concat(code, in_layout(rest, permuted_digits(digits, "phone", key))))
+    """The country code is read from the digits, not from the spacing, so equal numbers stay linked in any layout."""
+
+    def of(digits: Column) -> Column:
+        two = F.substring(digits, 1, 2)
+        n = F.when(F.left(digits, F.lit(1)).isin(*ONE_DIGIT), 1).when(two.isin(*TWO_DIGITS), 2).otherwise(3)
+        code = F.when(F.startswith(m, F.lit("+")), n).otherwise(0)
+        own = F.length(digits) - code
+        rest = part(digits, code + 1, own)
+        new = F.concat(part(digits, 1, code), permuted_digits(rest, "phone", key))
+        return F.when(F.length(digits).between(7, 15) & (own >= 4), in_layout(m, new))
+
+    # A trunk zero in parentheses after the country code is part of no number.
+    return let(digits_of(m), of)
 
 
 def date(m: Column, key: str) -> Column:
     first = F.lit("1900-01-01").cast("date")
+    limits = F.array(*(F.lit(n).cast("bigint") for n in DAYS))
+    two = m.rlike(r"^\d\d[./-]\d\d[./-]")
 
-    def as_days(form: str) -> Column:
-        day = F.datediff(F.try_to_date(m, form), first).cast("bigint")
-        limits = F.array(*(F.lit(n).cast("bigint") for n in DAYS))
+    def moved(day: Column) -> Column:
         new = permuted(F.array(day % DAYS[0], F.call_function("div", day, F.lit(DAYS[0]))), limits, "date", key)
-        moved = let(new, lambda n: F.date_add(first, (F.get(n, F.lit(0)) + F.get(n, F.lit(1)) * DAYS[0]).cast("int")))
-        return F.when(day.between(0, DAYS[0] * DAYS[1] - 1), F.date_format(moved, form))
+        return let(new, lambda n: F.get(n, F.lit(0)) + F.get(n, F.lit(1)) * DAYS[0])
+
+    def read(form: str) -> Column:
+        day = F.datediff(F.try_to_date(m, form), first).cast("bigint")
+        return let(day, lambda d: F.when(d.between(0, DAYS[0] * DAYS[1] - 1), d))
+
+    def written(day: Column, k: Column) -> Column:
+        at = F.date_add(first, day.cast("int"))
+        forms = [F.when(k == i, F.when(two, F.date_format(at, padded)).otherwise(F.date_format(at, short))) for i, (_, padded, short) in enumerate(LAYOUTS)]
+        return F.coalesce(*forms)
+
+    def of(found: Column) -> Column:
+        day, k = found.getField("day"), found.getField("k")
+
+        def step(now: Column, n: Column) -> Column:
+            settled = (n > 0) & (F.dayofmonth(F.date_add(first, now.cast("int"))) > 12)
+            return F.when(settled, now).otherwise(moved(now))
+
+        # A text that has to be read day first is permuted until the day is above 12 again: a permutation of those
+        # dates, which texts read month first never show.
+        steps = F.when(k == DAY_FIRST, WALK).otherwise(0)
+        new = F.aggregate(F.sequence(F.lit(0), steps), day, step)
+        return F.when(day.isNotNull(), let(new, lambda n: written(n, k)))
 
-    return reduce(lambda c, kv: c.when(m.rlike(kv[0]), as_days(kv[1])), list(DATES.items())[1:], F.when(m.rlike(r"^\d{4}-"), as_days("yyyy-MM-dd")))
+    tries = [F.when(m.rlike(look), F.struct(read(short).alias("day"), F.lit(k).alias("k"))) for k, (look, _, short) in enumerate(LAYOUTS)]
+    return let(F.coalesce(*[F.when(t.getField("day").isNotNull(), t) for t in tries]), of)
 
 
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one value, null if it is none of the kinds or not valid."""
-    kinds = ((EMAIL, email), (SECRET, secret), (IP, ip), (SSN, ssn), (DATE, date), (PHONE, phone), (CARD, card))
+    kinds = ((EMAIL, email), (SECRET, secret), (IP, ip), (IP6, ip6), (SSN, ssn), (DATE, date), (PHONE, phone), (CARD, card))
     found = F
     for pattern, make in kinds:
         found = found.when(m.rlike(f"^(?:{pattern})$"), make(m, key))
@@ -221,14 +323,15 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | No
     proportional to the text.
     """
     t = F.col(text)
+    (made,) = unused(docs, "_values")
     found = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
-    some = t.rlike("[0-9@]") & t.rlike(ANY)
+    some = t.rlike("[0-9@]|::") & t.rlike(ANY)
     parts = F.struct(found.alias("old"), F.transform(found, lambda m: pseudonym(m, key)).alias("new"))
     # The texts without any value skip all of this; for the others the names are made once.
-    rows = docs.withColumn("_values", once(F.when(some, parts)))
-    values = F.zip_with("_values.new", "_values.old", lambda new, old: F.coalesce(new, old))
+    rows = docs.withColumn(made, once(F.when(some, parts)))
+    values = F.zip_with(f"{made}.new", f"{made}.old", lambda new, old: F.coalesce(new, old))
     merged = F.array_join(F.zip_with(F.split(t, ANY, -1), values, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    new = F.when(F.col("_values").isNotNull(), merged).otherwise(t)
-    n = F.coalesce(F.size(F.filter("_values.new", lambda v: v.isNotNull())), F.lit(0))
-    names = [F.col(f"`{c}`") if c != text else new.alias(c) for c in docs.columns]
+    new = F.when(F.col(made).isNotNull(), merged).otherwise(t)
+    n = F.coalesce(F.size(F.filter(f"{made}.new", lambda v: v.isNotNull())), F.lit(0))
+    names = [c if name != text else new.alias(name) for name, c in zip(docs.columns, columns_of(docs))]
     return rows.select(*names, *([n.alias(count)] if count else []))
