@@ -4,24 +4,26 @@ A text is made canonical: lower case, without copyright lines, spelled one way,
 Its SHA-256 is joined to the digests of known licence texts, so entire texts are compared and nothing else. A document
 is looked up as a whole, and each of its lines by itself, since notices are often a line of a text.
 
-Canonical texts lose whole lines that begin with the word copyright, so they depend on where a text is wrapped. Known
-texts are therefore also looked for as rows of words, whatever the line breaks: a document is a known licence if it has
-its words, with or without the title, and with nothing else but copyright statements in front of them.
+Canonical texts lose whole lines that begin with the word copyright, so they depend on where a text is wrapped. Rows of words
+do not: where the first words of a known text stand, as many words as it has are hashed and looked up, once with all
+words and once without those of copyright statements. So a known text is found in any wrapping, alone in a document or in a run of its
+lines, and by its digest every time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 from pathlib import Path
 
-import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framelark.functions.once import once
+
 #: Spellings that count as one (the SPDX guidelines' equivalent words that occur in short licences).
 EQUIVALENT = (
     ("licence", "license"),
@@ -33,7 +35,6 @@ EQUIVALENT = (
     ("copyright holder", "copyright owner"),
     ("copyright holders", "copyright owners"),
     ("favour", "favor"),
-    ("merchantability", "merchantability"),
     ("whilst", "while"),
     ("fulfil", "fulfill"),
     ("organisation", "organization"),
@@ -164,52 +165,38 @@ def known_digests(texts: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str,
         found.setdefault(hashlib.sha256(plain.encode()).hexdigest(), (name, len(plain)))
     return [(name, digest, n) for digest, (name, n) in found.items()]
 
+
 WORD = re.compile(r"[^\W_]+")
 #: A real copyright statement: the word or sign, and the sign, a year or a placeholder.
 STATEMENT = re.compile(r"[\W_]*(?:portions\s+)?(?:copyright[\W_]*(?:\(c\)|©|\d{4}|[<\[{]|year\b|yyyy\b)|(?:\(c\)|©)\s*\d{4}|all rights reserved)", re.I)
-#: Words that copyright statements before a licence may have, and characters of a line that is one.
-STATEMENT_WORDS, STATEMENT_CHARS = 80, 300
-_SINGLE = {a: b for a, b in EQUIVALENT if " " not in a and a != b}
-_PAIR = {tuple(a.split()): b.split() for a, b in EQUIVALENT if " " in a}
-
-
-@dataclass(frozen=True)
-class Words:
-    """Canonical words of a text and the line (from 0) of each."""
-
-    words: list[str]
-    lines: list[int]
-
-    def joined(self) -> str:
-        return " " + " ".join(self.words) + " "
-
-
-def worded(text: str, statements: bool) -> Words:
-    """The words of a text spelled one way; without ``statements``, lines that are copyright statements are left out."""
-    words, lines = [], []
-    for n, line in enumerate(text.split("\n")):
-        if not statements and len(line) <= STATEMENT_CHARS and STATEMENT.match(line):
-            continue
-        for w in WORD.findall(line.lower()):
-            w = _SINGLE.get(w, w)
-            if words and (pair := _PAIR.get((words[-1], w))):
-                words[-1] = pair[0]
-                if len(pair) == 1:
-                    continue
-                w = pair[1]
-            words.append(w)
-            lines.append(n)
-    return Words(words, lines)
+_SINGLE = {a: b for a, b in EQUIVALENT if " " not in a}
+_SINGLE |= {f"sub{a}": f"sub{b}" for a, b in EQUIVALENT if a.startswith("licence")} | {"holder": "owner", "holders": "owners"}
+#: The rules below hold for lower-cased text, in expressions that mean the same to Java, to SQL and to Python's regex.
+_EDGE, _NO_WORD = r"(^|[^\p{L}\p{N}])", r"[^\p{L}\p{N}]+"
+#: Words written in two parts, on one line and over a line end; the line end moves behind them.
+_PARTED = (_EDGE + r"(non|sub)[ \t-]+(commercial|licen[cs])", _EDGE + r"(non|sub)[ \t-]*\n[^\p{L}\p{N}\n]*(commercial|licen[cs]\p{L}*)")
+#: Full stops that end no sentence, after one letter and after these abbreviations.
+_ABBREVIATED = r"(^|[^\p{L}\p{N}.])(inc|ltd|co|corp|llc|jr|sr|dr|st|[a-z])\."
+_BEGINS = (
+    r"(?:portions[ \t]+)?copyright[^\p{L}\p{N}\n]*(?:\(c\)|©|[0-9]{4}|[<\[{]|(?:year|yyyy)(?:[^\p{L}\p{N}]|$))"
+    r"|(?:\(c\)|©)[ \t]*[0-9]{4}|all rights reserved"
+)
+#: A statement goes from there to the end of its sentence, of its line or to where a known text begins.
+_STATED = r"^[^\p{L}\p{N}]*(?:" + _BEGINS + r")[^.!?;:]*(?:[.!?;:]+[^ \t\r.!?;:][^.!?;:]*)*"
+#: Words that no mere statement of who has the copyright needs.
+_NEVER = (
+    _EDGE + r"(?:may|must|shall|not|no|without|permission|permitted|prohibited|forbidden|granted|consent|use|used|using)"
+    r"(?:[^\p{L}\p{N}]|$)"
+)
+MARK = "\x1e"
+ANCHOR = 3
 
 
 @dataclass(frozen=True)
-class Known:
-    """A known text as words between spaces: ``body`` is needed, ``title`` may stand before it."""
-
-    license_id: str
-    title: str
-    body: str
-    digest: str
+class Word:
+    line: int
+    word: str
+    stated: bool
 
 
 def parted(text: str) -> tuple[str, str]:
@@ -219,106 +206,176 @@ def parted(text: str) -> tuple[str, str]:
     return title, rest if title or STATEMENT.match(first) else text
 
 
-@lru_cache(maxsize=4)
-def known_words(texts: tuple[tuple[str, str], ...]) -> tuple[Known, ...]:
-    """Known texts with and without the copyright statements inside them, longest first."""
-    found = {}
-    for name, text in texts:
-        digest = hashlib.sha256(canonical_text(text).encode()).hexdigest()
-        title, body = parted(text)
-        while STATEMENT.match(body) and "\n\n" in body:
-            body = body.partition("\n\n")[2]
-        for statements in (True, False):
-            words = worded(body, statements).joined()
-            if words.strip():
-                found.setdefault(words, Known(name, worded(title, True).joined(), words, digest))
-    return tuple(sorted(found.values(), key=lambda k: -len(k.body)))
-
-
-def opening(texts: tuple[tuple[str, str], ...], most: int = 3) -> str:
-    """A regular expression that every text with one of the known bodies matches, in any wrapping and spelling."""
-    split_up = {w for a, b in EQUIVALENT if " " in a for w in b.split()}
-    found = set()
-    for known in known_words(texts):
-        first = known.body.split()[:most]
-        n = next((i for i, w in enumerate(first) if w in split_up), len(first))
-        spelled = ["(?:" + "|".join([w, *(a for a, b in _SINGLE.items() if b == w)]) + ")" for w in first[:n]]
-        found.add(r"[^\p{L}\p{N}]+".join(spelled))
-    return r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(found)) + ")"
-
-
-def before_is_free(before: str, known: Known) -> bool:
-    """If only the title and copyright statements stand before a body."""
-    for title in (known.title, f" the{known.title}"):
-        if known.title.strip() and before.startswith(title):
-            before = before[len(title) - 1 :]
-            break
-    words = before.split()
-    stated = re.match(r"(?:portions )?(?:copyright(?: |$)|c \d{4}\b|\d{4}\b|all rights reserved\b)", before.strip())
-    return not words or (len(words) <= STATEMENT_WORDS and bool(stated))
-
-
-def covered(text: str | None, texts: tuple[tuple[str, str], ...]) -> list[tuple[int | None, str, str]]:
-    """(line, licence, digest) of what a text has of the known ones in any wrapping.
-
-    One entry without a line if the text as a whole is a known one. Otherwise the runs of entire lines that are one,
-    with the line (from 1) where they begin; runs do not overlap, the longest comes first. Single lines that the
-    digests of lines find are left to those.
+def plain_words(text: str) -> list[str]:
+    return [_SINGLE.get(w, w) for w in regex.split(_NO_WORD, text) if w]
+
+
+def unparted(text: str) -> str:
+    text = regex.sub(_PARTED[0], r"\1\2\3", text.lower())
+    text = regex.sub(_PARTED[1], r"\1\2\3\n", text)
+    return regex.sub(_ABBREVIATED, r"\1\2 ", regex.sub(_ABBREVIATED, r"\1\2 ", text))
+
+
+def marked_words(text: str, marks: str) -> list[Word]:
+    """All words with their line (from 0), and whether they belong to a copyright statement."""
+    found = []
+    for n, line in enumerate(regex.sub(marks, r"\1" + MARK + r"\2", unparted(text)).split("\n")):
+        for piece in line.split(MARK):
+            said = regex.search(_STATED, piece)
+            end = said.end() if said and not regex.search(_NEVER, said[0]) else 0
+            found += [Word(n, w, True) for w in plain_words(piece[:end])] + [Word(n, w, False) for w in plain_words(piece[end:])]
+    return found
+
+
+@dataclass(frozen=True)
+class Spans:
+    """What rows of words are looked up by.
+
+    ``known`` has licence by digest of the words of a body; ``lengths`` the numbers of words of the bodies with these first
+    words; ``titles`` what may stand before one; ``opening`` what every text with one of them matches; ``marks`` where
+    a copyright statement ends or begins.
     """
-    if not text:
-        return []
-    lines = text.split("\n")
-    runs: dict[int, tuple[int, str, str]] = {}
-    taken: set[int] = set()
-    for statements in (True, False):
-        read = worded(text, statements)
-        joined, starts, at = read.joined(), [], 1
-        for w in read.words:
-            starts.append(at)
-            at += len(w) + 1
-        for known in known_words(texts):
-            found = joined.find(known.body)
-            while found >= 0:
-                i, j = bisect_left(starts, found + 1), bisect_left(starts, found + len(known.body)) - 1
-                before = joined[: found + 1]
-                if j == len(starts) - 1 and before_is_free(before, known):
-                    return [(None, known.license_id, known.digest)]
-                # Lines before the first one are other text; on it, only statements and the title may stand.
-                first = bisect_left(read.lines, read.lines[i])
-                own = joined[starts[first] - 1 : found + 1]
-                ends = j == len(starts) - 1 or read.lines[j + 1] != read.lines[j]
-                span = range(read.lines[i], read.lines[j] + 1)
-                if ends and before_is_free(own, known) and taken.isdisjoint(span):
-                    taken.update(span)
-                    if len(span) > 1 or digest_of(lines[span[0]]) not in listed_digests(texts):
-                        runs[span[0]] = (span[0] + 1, known.license_id, known.digest)
-                found = joined.find(known.body, found + 1)
-    return [runs[n] for n in sorted(runs)]
+
+    known: dict[str, str]
+    lengths: dict[str, list[int]]
+    titles: list[str]
+    opening: str
+    marks: str
+
+
+def body_of(text: str) -> str:
+    body = parted(text)[1]
+    while STATEMENT.match(body) and "\n\n" in body:
+        body = body.partition("\n\n")[2]
+    return body
+
+
+@lru_cache(maxsize=4)
+def spans_of(texts: tuple[tuple[str, str], ...]) -> Spans:
+    bodies = [(name, body_of(text)) for name, text in texts]
+    firsts = {tuple(plain_words(unparted(body))[:ANCHOR]) for _, body in bodies}
+    spelled = lambda w: "(?:" + "|".join([w, *(a for a, b in _SINGLE.items() if b == w)]) + ")"
+    opening = _EDGE + "(" + "|".join(sorted(_NO_WORD.join(map(spelled, f)) for f in firsts)) + ")"
+    marks = opening[:-1] + "|" + _BEGINS + ")"
+    known, lengths = {}, {}
+    for name, body in bodies:
+        words = marked_words(body, marks)
+        # With the statements inside, for texts in one line, and without, for texts in which they are filled in.
+        for row in ([w.word for w in words], [w.word for w in words if not w.stated]):
+            if tuple(row[:ANCHOR]) in firsts:
+                known.setdefault(span_digest(row), name)
+                lengths.setdefault(" ".join(row[:ANCHOR]), set()).add(len(row))
+    titles = {" ".join(plain_words(unparted(parted(text)[0]))) for _, text in texts} - {""}
+    titles |= {f"the {t}" for t in titles}
+    return Spans(known, {a: sorted(n) for a, n in sorted(lengths.items())}, sorted(titles), opening, marks)
+
+
+def span_digest(words: list[str]) -> str:
+    return hashlib.sha256(" ".join(words).encode()).hexdigest()
 
 
 def whole_licence(text: str | None, texts: tuple[tuple[str, str], ...]) -> str | None:
-    """The known licence that a text is, in any wrapping."""
-    return next((name for line, name, _ in covered(text, texts) if line is None), None)
+    """The known licence that a text is, in any wrapping: the rule of ``scan`` for one text, in plain Python."""
+    spans, best = spans_of(texts), (0, "")
+    words = marked_words(text or "", spans.marks)
+    for row in (words, [w for w in words if not w.stated]):
+        for p in range(len(row) - ANCHOR + 1):
+            n = len(row) - p
+            if n > best[0] and n in spans.lengths.get(" ".join(w.word for w in row[p : p + ANCHOR]), ()):
+                before = " ".join(w.word for w in row[:p] if not w.stated)
+                digest = span_digest([w.word for w in row[p:]])
+                if before in ("", *spans.titles) and digest in spans.known:
+                    best = (n, spans.known[digest])
+    return best[1] or None
 
 
-def digest_of(text: str) -> str:
-    return hashlib.sha256(canonical_text(text).encode()).hexdigest()
+def _strings(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-@lru_cache(maxsize=4)
-def listed_digests(texts: tuple[tuple[str, str], ...]) -> frozenset[str]:
-    return frozenset(d for _, d, _ in known_digests(texts))
+def _table(pairs: dict) -> Column:
+    """A literal map."""
+    kind = "string" if all(isinstance(v, str) for v in pairs.values()) else "array<int>"
+    return F.map_from_arrays(_strings(list(pairs)), F.array(*[F.lit(v) for v in pairs.values()]).cast(f"array<{kind}>"))
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def covered_runs(text: Column, texts: tuple[tuple[str, str], ...], more: tuple[tuple[str, str], ...]) -> Column:
-    """``covered`` of each text: ``texts`` are known to the digests, ``more`` only as words."""
+def words_column(text: Column, spans: Spans) -> Column:
+    """``marked_words`` of each text: ``array<struct<line: int, word: string, stated: boolean>>``."""
+    t = F.regexp_replace(F.lower(text), _PARTED[0], "$1$2$3")
+    t = F.regexp_replace(t, _PARTED[1], "$1$2$3\n")
+    for _ in range(2):
+        t = F.regexp_replace(t, _ABBREVIATED, "$1$2 ")
+    t = F.regexp_replace(t, spans.marks, f"$1{MARK}$2")
+    spelled = _table(_SINGLE)
 
-    @F.pandas_udf("array<struct<line: int, license_id: string, digest: string>>")
-    def found(series: pd.Series) -> pd.Series:
-        names = ("line", "license_id", "digest")
-        return pd.Series([[dict(zip(names, r)) for r in covered(t, (*texts, *more))] for t in series], dtype=object)
+    def words(piece: Column, line: Column, stated: bool) -> Column:
+        some = F.filter(F.split(piece, _NO_WORD), lambda w: w != "")
+        spell = lambda w: F.coalesce(F.try_element_at(spelled, w), w)
+        return F.transform(some, lambda w: F.struct(line.alias("line"), spell(w).alias("word"), F.lit(stated).alias("stated")))
 
-    return found(text)
+    def of_piece(piece: Column, line: Column) -> Column:
+        def cut(said: Column) -> Column:
+            end = F.when(said.rlike(_NEVER), 0).otherwise(F.length(said))
+            return _let(end, lambda n: F.concat(words(F.substring(piece, F.lit(1), n), line, True), words(F.substring(piece, n + 1, F.length(piece)), line, False)))
+
+        return _let(F.regexp_extract(piece, _STATED, 0), cut)
+
+    lines = F.transform(F.split(t, "\n"), lambda line, n: F.flatten(F.transform(F.split(line, MARK), lambda piece: of_piece(piece, n))))
+    return F.flatten(lines)
+
+
+def runs_column(words: Column, spans: Spans) -> Column:
+    """The rows of words that are a known body: ``array<struct<n, digest, license_id, first, last, whole, aligned>>``.
+
+    ``n`` is the number of words, ``first`` and ``last`` are lines from 0. A run is ``whole`` if nothing else is in the text but a
+    title and copyright statements before it, and ``aligned`` if that holds for its lines.
+    """
+    lengths, known, titles = _table(spans.lengths), _table(spans.known), _strings(["", *spans.titles])
+
+    def of_row(row: Column) -> Column:
+        size = F.size(row)
+        word = lambda i: F.get(row, i).getField("word")
+        line = lambda i: F.get(row, i).getField("line")
+        places = F.when(size >= ANCHOR, F.sequence(F.lit(0), size - ANCHOR)).otherwise(F.array().cast("array<int>"))
+        begun = F.transform(
+            places,
+            lambda p: F.struct(p.alias("p"), F.try_element_at(lengths, F.concat_ws(" ", *[word(p + k) for k in range(ANCHOR)])).alias("ns")),
+        )
+        begun = F.filter(begun, lambda b: b["ns"].isNotNull())
+
+        def free(before: Column) -> Column:
+            said = F.transform(F.filter(before, lambda w: ~w.getField("stated")), lambda w: w.getField("word"))
+            return F.array_contains(titles, F.array_join(said, " "))
+
+        def run(p: Column, n: Column) -> Column:
+            text = F.array_join(F.transform(F.slice(row, p + 1, n), lambda w: w.getField("word")), " ")
+            before = F.slice(row, F.lit(1), p)
+            ends = p + n == size
+            own = F.filter(before, lambda w: w.getField("line") == line(p))
+            return _let(
+                F.sha2(text.cast("binary"), 256),
+                lambda digest: F.struct(
+                    n.alias("n"),
+                    digest.alias("digest"),
+                    F.try_element_at(known, digest).alias("license_id"),
+                    line(p).alias("first"),
+                    line(p + n - 1).alias("last"),
+                    F.when(ends, free(before)).otherwise(F.lit(False)).alias("whole"),
+                    ((ends | (line(p + n) != line(p + n - 1))) & free(own)).alias("aligned"),
+                ),
+            )
+
+        found = F.flatten(
+            F.transform(begun, lambda b: F.transform(F.filter(b["ns"], lambda n: b["p"] + n <= size), lambda n: run(b["p"], n)))
+        )
+        return F.filter(found, lambda r: r["license_id"].isNotNull())
+
+    bare = F.filter(words, lambda w: ~w.getField("stated"))
+    return F.array_distinct(F.concat(of_row(words), _let(bare, of_row)))
 
 
 def scan(
@@ -328,35 +385,49 @@ def scan(
     more: tuple[tuple[str, str], ...] | None = None,
 ) -> DataFrame:
     """``doc_id, line, digest, license_id``: a row for each document as a whole (``line`` null, ``license_id`` null if
-    it is no known licence), and one for each of its lines that is a known text (``line`` from 1).
-
-    ``license_id`` of a whole document is also that of a known text whose words it has in another wrapping, without the
-    title or with the copyright statement on the line of the text; ``digest`` stays that of the canonical text, as in
-    the SQL. Words are compared in Python, only of documents that contain the first words of a known text.
-
-    Runs of lines that are a known text in any wrapping have a row too, with the line where their body begins (after a
-    title) and the digest of the known text. ``more`` are texts looked for as words only, so whole copies and runs of them are found as well.
-
-    The known texts are the caller's list, so their digests are broadcast. Lengths of canonical texts are compared
-    before digests of lines are made. A null text has a null digest and no lines; a text without letters or digits has
-    the digest of the empty text. Repeated rows are reported each. Nothing is shuffled.
+    it is no known licence), one for each of its lines that is a known text, and one for each run of lines that is one
+    (``line`` from 1).
+
+    ``license_id`` of a whole document is that of the known text with the digest of its canonical form, or else of the
+    known body whose digest its words have after a title and copyright statements; ``digest`` is that of the canonical form.
+    A run has the line where the body begins and the digest of its words. Runs begin and end with their lines, but for a title and
+    statements in front; one within a longer one is left out, and so are those of a document that is a licence as a whole.
+    A statement ends with its sentence, its line or where a known text begins, whatever its length; a sentence that says
+    what one may or must not do is none. ``more`` are texts known by their bodies only. The same as ``scan_sql``.
+
+    The known texts are the caller's list, so their digests are broadcast. Rows of words are only made of documents with the
+    first words of a known text, and hashed where as many words follow. A null text has a null digest and no lines; a text without letters or
+    digits has the digest of the empty text. Repeated rows are reported each. Nothing is shuffled, no Python runs.
     """
     spark = docs.sparkSession
     more = full_texts() if more is None else more
-    known = known_digests(texts)
+    known, spans = known_digests(texts), spans_of((*texts, *more))
     listed = F.broadcast(spark.createDataFrame([(d, n) for n, d, _ in known], "_known string, license_id string"))
     lengths = sorted({n for _, _, n in known})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    some = F.col("_text").rlike(opening((*texts, *more)))
-    maybe = F.when(some, F.col("_text"))
-    whole = rows.select(
-        "doc_id",
-        F.lit(None).cast("int").alias("line"),
-        F.sha2(canonical(F.col("_text")).cast("binary"), 256).alias("digest"),
-        covered_runs(maybe, texts, more).alias("_runs"),
+    some = F.lower("_text").rlike(spans.opening)
+    # One-element arrays keep words and runs from being made again by every expression that names them.
+    runs = once(F.when(some, _let(words_column(F.col("_text"), spans), lambda w: runs_column(w, spans))))
+    whole = rows.withColumn("digest", F.sha2(canonical(F.col("_text")).cast("binary"), 256)).withColumn("_runs", runs)
+    best = F.array_max(
+        F.transform(F.filter("_runs", lambda r: r["whole"]), lambda r: F.struct(r["n"], r["digest"], r["license_id"].alias("license_id")))
     )
-    runs = rows.filter(some).select("doc_id", F.explode(covered_runs(F.col("_text"), texts, more)).alias("_run"))
-    runs = runs.filter("_run.line is not null").select("doc_id", "_run.line", "_run.digest", "_run.license_id")
+    out = whole.join(listed, F.col("digest") == F.col("_known"), "left")
+    out = out.select("doc_id", F.lit(None).cast("int").alias("line"), "digest", F.coalesce("license_id", best.getField("license_id")).alias("license_id"))
+
+    digests = _strings(sorted(d for _, d, _ in known))
+    line_digest = lambda n: F.sha2(canonical(F.get(F.split("_text", "\n"), n)).cast("binary"), 256)
+    longer = lambda r, s: (s["first"] <= r["first"]) & (s["last"] >= r["last"]) & ((s["n"] > r["n"]) | ((s["n"] == r["n"]) & (s["digest"] < r["digest"])))
+
+    def reported(all_runs: Column) -> Column:
+        aligned = F.filter(all_runs, lambda r: r["aligned"])
+        outer = _let(aligned, lambda a: F.filter(a, lambda r: ~F.exists(a, lambda s: longer(r, s))))
+        return F.filter(outer, lambda r: (r["first"] != r["last"]) | ~F.array_contains(digests, line_digest(r["first"])))
+
+    inside = rows.filter(some).withColumn("_runs", runs).filter(~F.exists("_runs", lambda r: r["whole"]))
+    inside = inside.select("doc_id", F.explode(reported(F.col("_runs"))).alias("r"))
+    inside = inside.select("doc_id", (F.col("r.first") + 1).cast("int").alias("line"), "r.digest", "r.license_id")
+
     lines = rows.filter(F.length("_text") >= min(lengths)).select("doc_id", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
     lines = lines.filter(F.length("_line") >= min(lengths)).select(
         "doc_id", (F.col("line") + 1).alias("line"), F.explode(F.array(canonical(F.col("_line")))).alias("_plain")
@@ -364,14 +435,14 @@ def scan(
     lines = lines.filter(F.length("_plain").isin(lengths)).select(
         "doc_id", "line", F.sha2(F.col("_plain").cast("binary"), 256).alias("digest")
     )
-    out = whole.join(listed, F.col("digest") == F.col("_known"), "left")
-    same = F.get(F.filter("_runs", lambda r: r.getField("line").isNull()), F.lit(0)).getField("license_id")
-    out = out.select("doc_id", "line", "digest", F.coalesce("license_id", same).alias("license_id")).unionByName(runs)
-    return out.unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
+    return out.unionByName(inside).unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
 
 
 def scan_sql() -> str:
     """The same over ``documents`` in SQL."""
+    spans = spans_of((*KNOWN, *full_texts()))
+    text_of = lambda s: "'" + s.replace("'", "''") + "'"
+
     def plain(column: str) -> str:
         made = f"regexp_replace(lower({column}), '{COPYRIGHT_LINE}', ' ', 'g')"
         made = f"' ' || trim(regexp_replace({made}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
@@ -379,13 +450,63 @@ def scan_sql() -> str:
             made = f"replace({made}, ' {one} ', ' {other} ')"
         return f"trim({made})"
 
+    def replaced(t: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({t}, {text_of(pattern)}, {by}, 'g')"
+
+    t = replaced("lower(text)", _PARTED[0], r"'\1\2\3'")
+    t = replaced(t, _PARTED[1], r"'\1\2\3' || chr(10)")
+    for _ in range(2):
+        t = replaced(t, _ABBREVIATED, r"'\1\2 '")
+    t = replaced(t, spans.marks, r"'\1' || chr(30) || '\2'")
+    spelled = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _SINGLE.items())
     known = ", ".join(f"('{digest}', '{name}')" for name, digest, _ in known_digests())
+    bodies = ", ".join(f"('{digest}', '{name}')" for digest, name in spans.known.items())
+    begins = ", ".join(f"({text_of(a)}, {n})" for a, ns in spans.lengths.items() for n in ns)
+    titles = ", ".join(map(text_of, ["", *spans.titles]))
     return f"""
 WITH known(digest, license_id) AS (VALUES {known}),
-whole AS (SELECT doc_id, CAST(NULL AS INTEGER) AS line, sha256({plain('text')}) AS digest FROM documents),
-split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
-numbered AS (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n FROM split),
-lines AS (SELECT doc_id, CAST(n AS INTEGER) AS line, sha256({plain('parts[n]')}) AS digest FROM numbered)
-SELECT doc_id, line, w.digest, license_id FROM whole w LEFT JOIN known USING (digest)
-UNION ALL SELECT doc_id, line, l.digest, license_id FROM lines l JOIN known USING (digest)
+body(digest, license_id) AS (VALUES {bodies}),
+begins(a3, n) AS (VALUES {begins}),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+whole AS (SELECT rid, doc_id, sha256({plain('text')}) AS digest FROM docs),
+split AS (SELECT rid, doc_id, string_split(text, chr(10)) AS parts FROM docs),
+numbered AS (SELECT rid, doc_id, parts, unnest(range(1, len(parts) + 1)) AS n FROM split),
+lines AS MATERIALIZED (SELECT rid, doc_id, CAST(n AS INTEGER) AS line, l.digest, license_id
+    FROM (SELECT rid, doc_id, n, sha256({plain('parts[n]')}) AS digest FROM numbered) l JOIN known USING (digest)),
+-- Rows of words, of texts with the first words of a known one.
+texts AS (SELECT rid, string_split({t}, chr(10)) AS ls FROM docs WHERE regexp_matches(lower(text), {text_of(spans.opening)})),
+rows_of AS (SELECT rid, unnest(range(0, len(ls))) AS line, unnest(ls) AS l FROM texts),
+cut AS (SELECT rid, line, unnest(range(0, len(ps))) AS k, unnest(ps) AS piece FROM (SELECT rid, line, string_split(l, chr(30)) AS ps FROM rows_of)),
+said AS (SELECT *, regexp_extract(piece, {text_of(_STATED)}, 0) AS st FROM cut),
+ended AS (SELECT *, CASE WHEN regexp_matches(st, {text_of(_NEVER)}) THEN 0 ELSE length(st) END AS n FROM said),
+halves AS (SELECT rid, line, k, 0 AS h, substr(piece, 1, n) AS part FROM ended
+    UNION ALL SELECT rid, line, k, 1, substr(piece, n + 1) FROM ended),
+tokens AS (SELECT rid, line, k, h, unnest(range(0, len(ws))) AS j, unnest(ws) AS w FROM (
+    SELECT rid, line, k, h, list_filter(string_split_regex(part, '{_NO_WORD}'), lambda x: x <> '') AS ws FROM halves)),
+spelled AS (SELECT rid, line, h = 0 AS stated, CASE w {spelled} ELSE w END AS w, k, h, j FROM tokens),
+word AS MATERIALIZED (
+    SELECT rid, 'a' AS v, line, stated, w, row_number() OVER (PARTITION BY rid ORDER BY line, k, h, j) - 1 AS i FROM spelled
+    UNION ALL SELECT rid, 'b', line, stated, w, row_number() OVER (PARTITION BY rid ORDER BY line, k, h, j) - 1 FROM spelled WHERE NOT stated),
+three AS (SELECT *, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS a3, count(*) OVER (PARTITION BY rid, v) AS size
+    FROM word WINDOW o AS (PARTITION BY rid, v ORDER BY i)),
+begun AS (SELECT t.rid, t.v, t.i AS p, b.n, t.line AS first, t.size FROM three t JOIN begins b USING (a3) WHERE t.i + b.n <= t.size),
+hashed AS (SELECT g.rid, g.v, p, n, first, size, max(line) AS last, sha256(string_agg(w, ' ' ORDER BY i)) AS digest
+    FROM begun g JOIN word USING (rid, v) WHERE i >= p AND i < p + n GROUP BY g.rid, g.v, p, n, first, size),
+found AS MATERIALIZED (SELECT h.*, b.license_id FROM hashed h JOIN body b USING (digest)),
+before AS (SELECT f.rid, f.v, f.p, coalesce(string_agg(w.w, ' ' ORDER BY w.i) FILTER (NOT w.stated), '') AS whole_before,
+      coalesce(string_agg(w.w, ' ' ORDER BY w.i) FILTER (NOT w.stated AND w.line = f.first), '') AS own_before
+    FROM (SELECT DISTINCT rid, v, p, first FROM found) f LEFT JOIN word w ON w.rid = f.rid AND w.v = f.v AND w.i < f.p GROUP BY f.rid, f.v, f.p),
+runs AS MATERIALIZED (SELECT DISTINCT f.rid, f.n, f.digest, f.license_id, f.first, f.last,
+      f.p + f.n = f.size AND whole_before IN ({titles}) AS is_whole,
+      (f.p + f.n = f.size OR nx.line <> f.last) AND own_before IN ({titles}) AS aligned
+    FROM found f JOIN before USING (rid, v, p) LEFT JOIN word nx ON nx.rid = f.rid AND nx.v = f.v AND nx.i = f.p + f.n),
+licence AS (SELECT rid, arg_max(license_id, (n, digest)) AS license_id FROM runs WHERE is_whole GROUP BY rid)
+SELECT w.doc_id, CAST(NULL AS INTEGER) AS line, w.digest, coalesce(k.license_id, c.license_id) AS license_id
+FROM whole w LEFT JOIN known k USING (digest) LEFT JOIN licence c USING (rid)
+UNION ALL SELECT doc_id, line, digest, license_id FROM lines
+UNION ALL SELECT d.doc_id, CAST(r.first + 1 AS INTEGER), r.digest, r.license_id FROM runs r JOIN docs d USING (rid)
+WHERE r.aligned AND r.rid NOT IN (SELECT rid FROM runs WHERE is_whole)
+  AND NOT EXISTS (SELECT 1 FROM runs s WHERE s.rid = r.rid AND s.aligned AND s.first <= r.first AND s.last >= r.last
+                  AND (s.n > r.n OR (s.n = r.n AND s.digest < r.digest)))
+  AND NOT (r.first = r.last AND EXISTS (SELECT 1 FROM lines l WHERE l.rid = r.rid AND l.line = r.first + 1))
 """
