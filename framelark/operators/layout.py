@@ -7,6 +7,10 @@ number.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,25 +63,66 @@ def with_row_index(
     return rows.join(carried, F.col("_part") == F.col("_in")).select(*df.columns, place.alias(name))
 
 
+def _looking_back(keys: list[str], values: dict[str, str]):
+    """For Arrow batches in order: of each row the part and place, whether the row before it in the part has the same
+    keys, and the values of that row. Columns move as a whole; nothing is done row by row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, place, before = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+
+            def shifted(name: str) -> pa.Array:
+                column = batch.column(name)
+                first = pa.nulls(1, column.type) if before is None else before.column(name)
+                return pa.concat_arrays([first, column.slice(0, n - 1)])
+
+            same = pa.array([True] * n)
+            for key in keys:
+                old, new = shifted(key), batch.column(key)
+                equal = pc.fill_null(pc.equal(old, new), False)
+                same = pc.and_(same, pc.or_(equal, pc.and_(pc.is_null(old), pc.is_null(new))))
+            added = [
+                pa.array([part] * n, pa.int32()),
+                pa.array(range(place, place + n), pa.int64()),
+                same,
+                *[shifted(old) for old in values.values()],
+            ]
+            names = ["_part", "_pos", "_same", *[f"_v{i}" for i in range(len(values))]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *names])
+            place, before = place + n, batch.slice(n - 1, 1)
+
+    return run
+
+
 def with_previous(
     df: DataFrame, keys: list[str], order_by: list[str], values: dict[str, str], parts: int | None = None
 ) -> DataFrame:
     """Add values of the previous row of the same key: ``values`` maps new columns to the ones looked back at.
 
-    Rows are sorted globally and looked back at inside each sorted partition; its first row gets the last row of the
-    partition before, one row per partition. So a key with most of the rows is spread like all others. ``parts`` fixes
-    the number of partitions.
+    Rows are sorted globally, once, and looked back at in their sorted partition before it is written. So a key with most of the rows
+    is spread like all others, and the rows are shuffled no second time: only the first row of a partition needs the last
+    one of the partition before, one row per partition. ``parts`` fixes the number of partitions. Keys are of plain types.
     """
-    rows = _sorted_parts(df, [*keys, *order_by], parts)
+    order = [*keys, *order_by]
+    ordered = df.orderBy(*order) if parts is None else df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    kinds = [f"_v{i} {df.schema[old].dataType.simpleString()}" for i, old in enumerate(values.values())]
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
+    schema = ", ".join([*own, "_part int, _pos bigint, _same boolean", *kinds])
+    rows = staged(ordered.mapInArrow(_looking_back(keys, values), schema), "sorted")
     known = F.struct(F.struct(*keys).alias("key"), *[F.col(old).alias(f"v{i}") for i, old in enumerate(values.values())])
     # One row for each sorted partition: the window over them is small.
     ends = rows.groupBy("_part").agg(F.max_by(known, F.col("_pos")).alias("_end"))
     before = ends.select(F.col("_part").alias("_in"), F.lag("_end").over(Window.orderBy("_part")).alias("_end"))
-    in_part = Window.partitionBy("_part").orderBy("_pos")
-    looked = rows.withColumn("_last", F.lag(known).over(in_part)).join(F.broadcast(before), F.col("_part") == F.col("_in"))
-    last = F.when(F.col("_pos") == 0, F.col("_end")).otherwise(F.col("_last"))
-    same = last["key"].eqNullSafe(F.struct(*keys))
-    return looked.select(*df.columns, *[F.when(same, last[f"v{i}"]).alias(new) for i, new in enumerate(values)])
+    looked = rows.join(F.broadcast(before), F.col("_part") == F.col("_in"))
+    first = F.col("_pos") == 0
+    same = F.when(first, F.col("_end")["key"].eqNullSafe(F.struct(*keys))).otherwise(F.col("_same"))
+    found = [F.when(same, F.when(first, F.col("_end")[f"v{i}"]).otherwise(F.col(f"_v{i}"))).alias(new) for i, new in enumerate(values)]
+    return looked.select(*df.columns, *found)
 
 
 def with_running_total(counts: DataFrame, order_by: str, value: str, name: str, block: int = 1024) -> DataFrame:

@@ -86,3 +86,23 @@ def test_hashed_shards_stay_put_when_records_are_added(spark):
 def test_chunks_are_full_but_for_the_last(spark):
     chunks = sharding.chunked(spark.range(500), ["id"]).groupBy("chunk").count().orderBy("chunk").collect()
     assert [r["count"] for r in chunks] == [48] * 10 + [20]
+
+
+def test_looking_back_shuffles_once(spark):
+    rows = spark.range(3000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("at"), F.lit("x").alias("v"))
+    found = with_previous(rows, ["k"], ["at"], {"before": "v"}, parts=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    # That one is of the last rows of the partitions.
+    assert "partial_max_by" in plan.split("Exchange hashpartitioning")[1]
+
+
+def test_looking_back_with_null_and_several_keys(spark):
+    rows = [(None, 1, 1, "a"), (None, 1, 2, None), (None, None, 3, "c"), (None, None, 4, "d"), ("x", None, 1, "e"), ("x", 1, 1, "f")]
+    df = spark.createDataFrame(rows, "k string, j int, at int, v string")
+    for parts in (1, 2, 6, None):
+        found = with_previous(df, ["k", "j"], ["at"], {"before": "v", "when": "at"}, parts=parts)
+        assert {(r.k, r.j, r.at): (r.before, r.when) for r in found.collect()} == {
+            (None, 1, 1): (None, None), (None, 1, 2): ("a", 1), (None, None, 3): (None, None), (None, None, 4): ("c", 3),
+            ("x", None, 1): (None, None), ("x", 1, 1): (None, None),
+        }
