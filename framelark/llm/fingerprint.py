@@ -158,7 +158,8 @@ def with_following(docs: DataFrame, partition_chars: int = PARTITION_CHARS) -> D
         "doc_id", "text", F.col("_before").alias("_range"), F.lit(1).alias("_look")
     )
     both = ranged.select("doc_id", "text", "_range", F.lit(0).alias("_look")).unionByName(look)
-    return both.repartition(int(parts), "_range").sortWithinPartitions("_range", "_look", *order)
+    # By range, not by hash, which would put several ranges in one partition and none in others.
+    return both.repartitionByRange(int(parts), "_range").sortWithinPartitions("_range", "_look", *order)
 
 
 PAIR = (
