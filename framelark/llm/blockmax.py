@@ -189,8 +189,9 @@ def searched(
     n, asked = whole.agg(F.count(F.lit(1)), F.count_if("q")).first()
     if not asked:
         return None
-    sample = whole.select("x").distinct().orderBy(F.xxhash64("x"), "x").limit(LEADERS).collect()
-    placed = ordered(whole, np.array([r["x"] for r in sample], np.int64))
+    # The hash covers the id, so copies of one vector do not fill the sample.
+    sample = whole.orderBy(F.xxhash64("vec_id", "x"), "vec_id", "x").limit(LEADERS).select("x").collect()
+    placed = ordered(whole, np.unique(np.array([r["x"] for r in sample], np.int64), axis=0))
     shards = max(-(-n // SHARD_ROWS), min(LEAST_SHARDS, -(-n // LEAST_SHARD_ROWS)))
     dealt = placed.repartitionByRange(shards, "near", "x", "vec_id").sortWithinPartitions("near", "x", "vec_id")
     index = staged(blocks_of(dealt.select("vec_id", "x"), width, block), "blocks")
