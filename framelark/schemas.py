@@ -1,6 +1,7 @@
 """Schemas of the stored entities, as DDL strings."""
 
-# Source shard row: media bytes plus one nested struct of metadata.
+# Source shard row: media bytes plus one nested struct of metadata. The duration is a number of either kind; shards with
+# fractional seconds are read with that field as double (``sources.shard_schema``).
 SHARD_ROW = """
 mp4 binary,
 json struct<
@@ -17,7 +18,7 @@ json struct<
 
 MANIFEST = """
 video_id string, category string, fine_category string, video_key string, metadata_key string,
-channel string, title string, upload_date string, duration bigint, resolution string
+channel string, title string, upload_date string, duration double, resolution string
 """
 
 FRAMES = """

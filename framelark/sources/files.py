@@ -42,7 +42,20 @@ def shard_table(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(paths)), "shard int, path string")
 
 
-def read_shard_table(table: DataFrame, schema: str = SHARD_ROW) -> DataFrame:
+def shard_schema(spark: SparkSession, path: str) -> str:
+    """The schema of the fields that are read, with the duration as the kind of number that a shard has it in.
+
+    Only that file's footer is read; all shards of a source have one schema.
+    """
+    found = spark.read.parquet(path).schema
+    fields = found["json"].dataType if "json" in found.names else T.StructType()
+    if isinstance(fields, T.StructType) and "duration_seconds" in fields.names:
+        kind = fields["duration_seconds"].dataType.simpleString()
+        return SHARD_ROW.replace("duration_seconds: bigint", f"duration_seconds: {kind}")
+    return SHARD_ROW
+
+
+def read_shard_table(table: DataFrame, schema: str | None = None) -> DataFrame:
     """Rows of the shards in a table of them, under the numbers they have there.
 
     What is left of the table is the list of files that the driver plans the scan with; no other file is opened or listed.
@@ -52,22 +65,22 @@ def read_shard_table(table: DataFrame, schema: str = SHARD_ROW) -> DataFrame:
 
 
 def read_shards(
-    spark: SparkSession, paths: list[str], schema: str = SHARD_ROW, numbers: list[int] | None = None
+    spark: SparkSession, paths: list[str], schema: str | None = None, numbers: list[int] | None = None
 ) -> DataFrame:
     """Rows of the listed shards with ``shard`` (place of the file in the list, or its own of ``numbers``) and ``row_pos``
     (place in the file).
 
     Both come from file metadata, so a query that does not select ``mp4`` never reads the media bytes. ``paths`` are
-    full paths, as ``shard_paths`` gives them.
+    full paths, as ``shard_paths`` gives them. Without ``schema`` it is ``shard_schema`` of the first.
     """
     if not paths:
-        fields = T.StructType.fromDDL(schema).add("row_pos", T.LongType()).add("shard", T.IntegerType())
+        fields = T.StructType.fromDDL(schema or SHARD_ROW).add("row_pos", T.LongType()).add("shard", T.IntegerType())
         return spark.createDataFrame([], fields)
-    rows = spark.read.schema(schema).parquet(*paths)
+    rows = spark.read.schema(schema or shard_schema(spark, paths[0])).parquet(*paths)
     # Spark reports paths URL-encoded, and with differing numbers of slashes after the scheme.
-    reported = {re.sub(_SCHEME, "", unquote(f)): re.sub(_SCHEME, "", f) for f in rows.inputFiles()}
+    reported = {re.sub(_SCHEME, "", unquote(f)).lstrip("/"): re.sub(_SCHEME, "", f) for f in rows.inputFiles()}
     given = range(len(paths)) if numbers is None else numbers
-    places = [(reported[re.sub(_SCHEME, "", p)], i) for i, p in zip(given, paths)]
+    places = [(reported[re.sub(_SCHEME, "", p).lstrip("/")], i) for i, p in zip(given, paths)]
     placed = rows.select(
         "*",
         F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_file"),

@@ -9,7 +9,7 @@ from framelark.operators import histogram
 from framelark.operators.gather import gather_frames
 from framelark.plans import frames as frame_plans
 from framelark.plans import ingest
-from framelark.schemas import SHARD_ROW
+from framelark.schemas import MANIFEST, SHARD_ROW
 from framelark.sinks import (
     current_results,
     export_objects,
@@ -21,6 +21,7 @@ from framelark.sinks import (
     write_summary,
 )
 from framelark.sources import (
+    parse_strict,
     read_frame_bytes,
     read_frames,
     read_lines,
@@ -255,3 +256,19 @@ def test_videos_without_frames_stay(spark):
     objects = spark.createDataFrame([("k", "bytes")], "key string, content string")
     found = {r.video_id: (r.contents, r.n_missing) for r in gather_frames(frames, objects).collect()}
     assert found == {"a": ([], 0), "b": ([], 0), "c": (["bytes", None], 1)}
+
+
+def test_fractional_seconds_from_shard_to_frame_plan(spark, tmp_path):
+    rows = [video("a.mp4", duration=62.5), video("b.mp4", duration=0.75), video("c.mp4", duration=None)]
+    schema = SHARD_ROW.replace("duration_seconds: bigint", "duration_seconds: double")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "train-0"))
+    (path,) = [str(p) for p in (tmp_path / "train-0").glob("part-*.parquet")]
+    shards = read_shards(spark, [path])
+    manifest = ingest.build_manifest(shards, "Sports", "p")
+    assert {r.video_id: r.duration for r in manifest.collect()} == {"a": 62.5, "b": 0.75, "c": None}
+    write_jsonl(manifest.drop("shard", "row_pos"), str(tmp_path / "manifest"))
+    again = parse_strict(read_lines(spark, str(tmp_path / "manifest"), "*.json"), MANIFEST)
+    plan = {r.video_id: r for r in frame_plans.frame_plan(again, "p", 16).collect()}
+    assert (plan["a"].source_duration, plan["a"].fps, plan["a"].times[1]) == (62, 0.256, 62.5 / 16)
+    assert (plan["b"].source_duration, plan["b"].fps, plan["b"].times[15]) == (1, 21.333333, 0.75 * 15 / 16)
+    assert plan["c"].source_duration is None and plan["c"].fps is None
