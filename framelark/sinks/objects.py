@@ -3,7 +3,7 @@
 A Python data source: tasks write objects under names of their own attempt, with an index of what they wrote, and return
 the place of the index as their commit message. When all tasks are done, the driver writes one small document that lists the
 indexes of the attempts that count. Only objects in a listed index are visible; what failed, repeated or speculative
-attempts left is in no list, and goes when the job is aborted. The driver handles one message per task, never one per object.
+attempts left is in no list, and goes when the job is aborted, but for what tasks write after that. The driver handles one message per task, never one per object.
 
 Objects are written with ``pyarrow.fs``, so the root is a path or URI that it can open on every executor.
 """
@@ -11,6 +11,7 @@ Objects are written with ``pyarrow.fs``, so the root is a path or URI that it ca
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -78,10 +79,19 @@ class ObjectWriter(DataSourceWriter):
         files.move(aside, f"{root}/_published/{number:012d}-{self.job}.json")
 
     def abort(self, messages) -> None:
+        """Deletes what the job wrote. Tasks that are still ending may write meanwhile; what they leave is in no list."""
         files, root = _opened(self.root)
-        for folder in ("_objects", "_indexes"):
-            if files.get_file_info(f"{root}/{folder}/{self.job}").type == arrow_fs.FileType.Directory:
-                files.delete_dir(f"{root}/{folder}/{self.job}")
+        for _ in range(5):
+            try:
+                left = [f"{root}/{folder}/{self.job}" for folder in ("_objects", "_indexes")]
+                left = [path for path in left if files.get_file_info(path).type == arrow_fs.FileType.Directory]
+                for path in left:
+                    files.delete_dir(path)
+                if not left:
+                    return
+            except OSError:
+                pass
+            time.sleep(0.2)
 
 
 class ObjectSink(DataSource):
