@@ -124,10 +124,8 @@ def run_throughput(spark: SparkSession, sf: str) -> DataFrame:
 
 def _numbered_records(spark: SparkSession, sf: str) -> DataFrame:
     """Inference records read from the lines of a manifest, with their line numbers."""
-    path = new_path(spark, "manifest-lines")
-    fields = F.struct("id", "prompt", "image", "images")
-    fx.inference_records(spark, sf).orderBy("doc_id").select(F.to_json(fields).alias("value")).write.text(path)
-    return parse_strict(with_line_index(text_lines(spark, path, "*.txt")), INFERENCE_MANIFEST)
+    lines = text_lines(spark, fx.write_manifest_lines(spark, sf), "*.txt")
+    return parse_strict(with_line_index(lines), INFERENCE_MANIFEST)
 
 
 def shard_interleave(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from framelark.plans import frames as frame_plans
 from framelark.plans import ingest
 from framelark.plans.results import classified
 from framelark.session import new_path
+from framelark.sinks.versions import exists
 
 CATEGORY = "en"
 PREFIX = "media/en"
@@ -79,13 +82,31 @@ def shard_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def source_files(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder with some of the tables as source files, which an application writes once, before queries read them."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _WRITTEN or not exists(spark, f"{_WRITTEN[key]}/_SUCCESS"):
+        path = new_path(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def write_shards(spark: SparkSession, sf: str) -> str:
-    """``shard_rows`` as one file for each shard, in a folder of its own; its path."""
-    path = new_path(spark, "shards")
+    """``shard_rows`` as one file for each shard; the folder they are in."""
     rows = shard_rows(spark, sf).select(F.format_string("%08d", "shard").alias("part"), "row_pos", "mp4", "json")
     rows = rows.repartition("part").sortWithinPartitions("part", "row_pos").drop("row_pos")
-    rows.write.partitionBy("part").parquet(path)
-    return path
+    return source_files(spark, sf, "shards", lambda path: rows.write.partitionBy("part").parquet(path))
+
+
+def write_manifest_lines(spark: SparkSession, sf: str) -> str:
+    """``inference_records`` as lines of JSON in the order of ``doc_id``; the folder they are in."""
+    fields = F.struct("id", "prompt", "image", "images")
+    lines = inference_records(spark, sf).orderBy("doc_id").select(F.to_json(fields).alias("value"))
+    return source_files(spark, sf, "manifest-lines", lambda path: lines.write.text(path))
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
