@@ -405,16 +405,14 @@ def scan(
     listed = F.broadcast(spark.createDataFrame([(d, n) for n, d, _ in known], "_known string, license_id string"))
     lengths = sorted({n for _, _, n in known})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    some = F.lower("_text").rlike(spans.opening)
+    # The same as ``spans.opening``, without taking up the character before.
+    some = F.lower("_text").rlike(spans.opening.replace(_EDGE, r"(?<![\p{L}\p{N}])", 1))
     # One-element arrays keep words and runs from being made again by every expression that names them.
     runs = once(F.when(some, _let(words_column(F.col("_text"), spans), lambda w: runs_column(w, spans))))
     whole = rows.withColumn("digest", F.sha2(canonical(F.col("_text")).cast("binary"), 256)).withColumn("_runs", runs)
     best = F.array_max(
         F.transform(F.filter("_runs", lambda r: r["whole"]), lambda r: F.struct(r["n"], r["digest"], r["license_id"].alias("license_id")))
     )
-    out = whole.join(listed, F.col("digest") == F.col("_known"), "left")
-    out = out.select("doc_id", F.lit(None).cast("int").alias("line"), "digest", F.coalesce("license_id", best.getField("license_id")).alias("license_id"))
-
     digests = _strings(sorted(d for _, d, _ in known))
     line_digest = lambda n: F.sha2(canonical(F.get(F.split("_text", "\n"), n)).cast("binary"), 256)
     longer = lambda r, s: (s["first"] <= r["first"]) & (s["last"] >= r["last"]) & ((s["n"] > r["n"]) | ((s["n"] == r["n"]) & (s["digest"] < r["digest"])))
@@ -424,9 +422,14 @@ def scan(
         outer = _let(aligned, lambda a: F.filter(a, lambda r: ~F.exists(a, lambda s: longer(r, s))))
         return F.filter(outer, lambda r: (r["first"] != r["last"]) | ~F.array_contains(digests, line_digest(r["first"])))
 
-    inside = rows.filter(some).withColumn("_runs", runs).filter(~F.exists("_runs", lambda r: r["whole"]))
-    inside = inside.select("doc_id", F.explode(reported(F.col("_runs"))).alias("r"))
-    inside = inside.select("doc_id", (F.col("r.first") + 1).cast("int").alias("line"), "r.digest", "r.license_id")
+    # The row of the whole and those of its runs come from one pass over the text.
+    named = whole.join(listed, F.col("digest") == F.col("_known"), "left")
+    no_line, is_whole = F.lit(None).cast("int"), F.exists("_runs", lambda r: r["whole"])
+    own = F.struct(no_line.alias("line"), F.col("digest"), F.coalesce("license_id", best.getField("license_id")).alias("license_id"))
+    row = lambda r: F.struct((r["first"] + 1).cast("int").alias("line"), r["digest"].alias("digest"), r["license_id"].alias("license_id"))
+    runs_of = F.when(F.size("_runs") > 0, F.when(~is_whole, F.transform(reported(F.col("_runs")), row)))
+    every = F.concat(F.array(own), F.coalesce(runs_of, F.slice(F.array(own), 1, 0)))
+    out = named.select("doc_id", F.explode(every).alias("r")).select("doc_id", "r.line", "r.digest", "r.license_id")
 
     lines = rows.filter(F.length("_text") >= min(lengths)).select("doc_id", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
     lines = lines.filter(F.length("_line") >= min(lengths)).select(
@@ -435,7 +438,7 @@ def scan(
     lines = lines.filter(F.length("_plain").isin(lengths)).select(
         "doc_id", "line", F.sha2(F.col("_plain").cast("binary"), 256).alias("digest")
     )
-    return out.unionByName(inside).unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
+    return out.unionByName(lines.join(listed, F.col("digest") == F.col("_known")).drop("_known"))
 
 
 def scan_sql() -> str:
