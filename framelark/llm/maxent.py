@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelark.llm.common import chunks_of, mix64, squeezed, sum_blobs, unsqueezed
+from framelark.llm.common import chunks_of, mix64, squeezed, summed, unsqueezed
 from framelark.session import staged
 
 CHUNK_BYTES = 4_000_000
@@ -154,8 +154,9 @@ def counted(chunks: DataFrame, n_words: int, total: int) -> tuple[DataFrame, int
         dealt, "bucket int, chunk string, word binary, hashes binary, forms binary, counts binary"
     )
     found = staged(split.groupBy("bucket").applyInPandas(added, "chunk string, word binary, sums binary, often binary"), "counts")
-    summary = sum_blobs(found.filter("chunk is null"), [], "sums").first()
-    summed = np.frombuffer(summary["sums"]) if summary else np.zeros(1 + FORMS * BANDS)
+    summary = summed(found.filter("chunk is null"), "sums")
+    if summary is None:
+        summary = np.zeros(1 + FORMS * BANDS)
 
     def placed(pdf: pd.DataFrame) -> pd.DataFrame:
         word = np.concatenate([unsqueezed(w, np.int32) for w in pdf["word"]])
@@ -166,7 +167,7 @@ def counted(chunks: DataFrame, n_words: int, total: int) -> tuple[DataFrame, int
 
     back = found.filter("chunk is not null").groupBy("chunk").applyInPandas(placed, "_chunk string, sums binary, often binary")
     joined = chunks.drop("counts", "n_words", "hashes").join(back, F.col("chunk") == F.col("_chunk")).drop("_chunk")
-    return staged(joined, "counted"), int(summed[0]), summed[1:].reshape(FORMS, BANDS)
+    return staged(joined, "counted"), int(summary[0]), summary[1:].reshape(FORMS, BANDS)
 
 
 # Word forms
@@ -187,8 +188,8 @@ def followers(chunks: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"n": [total.tobytes()]})
 
     rows = chunks.select("tokens", "forms", "held", "sizes").mapInPandas(pairs, "n binary")
-    found = sum_blobs(rows, [], "n", "<f4").first()
-    return np.frombuffer(found["n"], "<f4").reshape(FORMS, FORMS).astype(np.float64) if found else np.zeros((FORMS, FORMS))
+    found = summed(rows, "n", "<f4")
+    return np.zeros((FORMS, FORMS)) if found is None else found.reshape(FORMS, FORMS).astype(np.float64)
 
 
 def form_groups(pairs: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -352,9 +353,8 @@ def fit(chunks: DataFrame, total: int, distinct: int, by_form: np.ndarray, group
                 moved = [((a - b) * np.float32(count)).ravel() for a, b in zip(own, start)]
                 yield pd.DataFrame({"w": [np.concatenate([[count], *moved]).astype("<f4").tobytes()]})
 
-        summed = sum_blobs(rows.filter(part == k).drop("chunk").mapInPandas(steps, "w binary"), [], "w", "<f4").first()
-        if summed:
-            found = np.frombuffer(summed["w"], "<f4")
+        found = summed(rows.filter(part == k).drop("chunk").mapInPandas(steps, "w binary"), "w", "<f4")
+        if found is not None:
             moved = np.split(found[1:] / found[0], np.cumsum([a.size for a in start])[:-1])
             found = [a + m.reshape(a.shape) for a, m in zip(start, moved)]
             weights, squares = found[:2], found[2:]
