@@ -22,17 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from framelark.operators.dedup import last_per_key
+from framelark.sources.files import opened, read_listed
 
 NAME = "framelark_objects"
 _INDEX = "key string, path string, length bigint, job string"
 
 
-def _opened(root: str) -> tuple[arrow_fs.FileSystem, str]:
-    if root.startswith("file:"):
-        root = "/" + root.removeprefix("file:").lstrip("/")
-    return arrow_fs.FileSystem.from_uri(root) if "://" in root else (arrow_fs.LocalFileSystem(), root)
-
-
 @dataclass
 class Written(WriterCommitMessage):
     index: str
@@ -47,7 +42,7 @@ class ObjectWriter(DataSourceWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, iterator) -> Written:
-        files, root = _opened(self.root)
+        files, root = opened(self.root)
         context = TaskContext.get()
         attempt = f"_objects/{self.job}/{context.partitionId():06d}-{context.taskAttemptId()}"
         lines = []
@@ -68,7 +63,7 @@ class ObjectWriter(DataSourceWriter):
         return Written(index if lines else "", len(lines))
 
     def commit(self, messages) -> None:
-        files, root = _opened(self.root)
+        files, root = opened(self.root)
         done = [m for m in messages if m is not None and m.index]
         document = {"job": self.job, "indexes": [m.index for m in done], "objects": sum(m.objects for m in done)}
         files.create_dir(f"{root}/_published", recursive=True)
@@ -80,7 +75,7 @@ class ObjectWriter(DataSourceWriter):
 
     def abort(self, messages) -> None:
         """Deletes what the job wrote. Tasks that are still ending may write meanwhile; what they leave is in no list."""
-        files, root = _opened(self.root)
+        files, root = opened(self.root)
         for _ in range(5):
             try:
                 left = [f"{root}/{folder}/{self.job}" for folder in ("_objects", "_indexes")]
@@ -117,7 +112,7 @@ def published(spark: SparkSession, root: str) -> DataFrame:
 
     Of a key written twice by one job, the one with the greater path counts.
     """
-    files, bare = _opened(root.rstrip("/"))
+    files, bare = opened(root.rstrip("/"))
     folder = files.get_file_info(arrow_fs.FileSelector(f"{bare}/_published", allow_not_found=True))
     jobs, indexes = [], []
     for n, info in enumerate(sorted((f for f in folder if f.base_name[:1].isdigit()), key=lambda f: f.base_name)):
@@ -133,10 +128,5 @@ def published(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_objects(spark: SparkSession, root: str) -> DataFrame:
-    """``key, content, length`` of all visible objects."""
-    listed = published(spark, root)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/_objects")
-    # Cut after the root's own part of the listed path.
-    below = F.concat(F.lit("_objects/"), F.regexp_extract("path", r"^.*/_objects/(.*)$", 1))
-    stored = files.select(below.alias("path"), "content")
-    return listed.join(stored, "path").select("key", "content", "length")
+    """``key, content, length`` of all visible objects, opened by the names in the indexes; their folders are not listed."""
+    return read_listed(published(spark, root), root).select("key", "content", "length")

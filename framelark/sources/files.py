@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelark.schemas import SHARD_ROW
 
+#: Most files, and bytes, of a task that opens files by name.
+TASK_FILES, TASK_BYTES = 2000, 64_000_000
+#: Contents that such a task holds before it passes them on; a longer file is passed on by itself.
+BATCH_BYTES = 4_000_000
+
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = True) -> list[str]:
     """Sorted paths of the files (also the empty ones) below ``path``. No file is opened.
@@ -90,3 +98,49 @@ def read_shards(
     # bytes would be shuffled to number them.
     named = F.broadcast(spark.createDataFrame(places, "_file string, shard int"))
     return placed.join(named, "_file").drop("_file")
+
+
+def opened(root: str) -> tuple[arrow_fs.FileSystem, str]:
+    """The file system of ``root``, and its path there."""
+    if root.startswith("file:"):
+        root = "/" + root.removeprefix("file:").lstrip("/")
+    return arrow_fs.FileSystem.from_uri(root) if "://" in root else (arrow_fs.LocalFileSystem(), root)
+
+
+def read_listed(listed: DataFrame, root: str) -> DataFrame:
+    """``listed`` with ``content``, the bytes of the file at ``path`` below ``root``. Files that are gone are left out.
+
+    ``listed`` has ``path`` and ``length`` of each file. Tasks open files by name: no folder is listed, and the driver, which
+    would get all names and plan a scan of them, sees none.
+    """
+    n, size = listed.agg(F.count(F.lit(1)), F.sum("length")).first()
+    tasks = max(1, -(-n // TASK_FILES), -(-(size or 0) // TASK_BYTES))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, bare = opened(root.rstrip("/"))
+        for batch in batches:
+            rows, contents = [], []
+
+            def held(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                part = batch.take(pa.array(rows, pa.int64()))
+                columns = [*part.columns, pa.array(contents, pa.binary())]
+                return pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "content"])
+
+            size = 0
+            for i, path in enumerate(batch.column("path").to_pylist()):
+                try:
+                    with files.open_input_stream(f"{bare}/{path}") as found:
+                        content = found.read()
+                except FileNotFoundError:
+                    continue
+                if rows and size + len(content) > BATCH_BYTES:
+                    yield held()
+                    rows, contents, size = [], [], 0
+                rows.append(i)
+                contents.append(content)
+                size += len(content)
+            if rows:
+                yield held()
+
+    schema = T.StructType([*listed.schema.fields, T.StructField("content", T.BinaryType())])
+    return listed.repartition(tasks, "path").mapInArrow(read, schema)
