@@ -18,7 +18,7 @@ from framelark.plans import ingest, labelling, results, training
 from framelark.queries import fixtures as fx
 from framelark.schemas import CONTEXT_LIMITS, FRAMES, INFERENCE_MANIFEST, MANIFEST
 from framelark.session import new_path
-from framelark.sinks.objects import read_objects, write_objects
+from framelark.sinks.objects import published, read_objects, write_objects
 from framelark.sources import (
     list_files,
     read_frames,
@@ -301,7 +301,7 @@ def frames_objects(spark: SparkSession, sf: str) -> DataFrame:
     key = F.concat(F.lit(f"{fx.PREFIX}/"), "video_id", F.lit("/frames.json"))
     root = new_path(spark, "frame-objects")
     write_objects(plans.select(key.alias("key"), F.to_json(F.struct("*")).alias("content")), "key", "content", root)
-    return _shown_frames(read_frames(spark, root + "/_objects"))
+    return _shown_frames(read_frames(spark, root, published(spark, root)))
 
 
 def frames_gather_ordered(spark: SparkSession, sf: str) -> DataFrame:
